@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from docweave.llm.contamination import op3_decontaminate
+from docweave.llm.jaccard import op1_jaccard_join
+from docweave.llm.katz import op2_katz
 from docweave.llm.mixing import op5_mix_sources
 from docweave.llm.quality import op6_quality
 from docweave.llm.secrets import op4_secret_scan
 from docweave.llm.toxicity import op9_toxicity
 
-QUERIES = {f.__name__: f for f in (op3_decontaminate, op4_secret_scan, op5_mix_sources, op6_quality, op9_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_jaccard_join, op2_katz, op3_decontaminate, op4_secret_scan, op5_mix_sources, op6_quality, op9_toxicity)}
 ORACLE_SQL: dict[str, str] = {}
