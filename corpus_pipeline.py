@@ -1,12 +1,56 @@
-"""Corpus preparation: toxicity, near duplicates, decontamination, secrets, mixing."""
+"""Corpus preparation: toxicity, near duplicates, decontamination, secrets, mixing.
+
+Every stage takes (spark, docs, sf_dir) and all rows that the one before kept.
+All stages but the last return the columns of documents; the last returns, for
+every document, the words that the mix takes of it.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
-ORACLE_SQL = None
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from docweave.llm import contamination, jaccard, mixing, secrets, toxicity
+
+
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents scored 0.5 or more go."""
+    return toxicity.drop_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group stays: five words, similarity 0.8 or more."""
+    return jaccard.keep_one(docs, k=5, num=80, den=100)
+
+
+def contamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark passage go."""
+    return contamination.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are masked in the text; every document stays."""
+    out = secrets.redact_secrets(docs)
+    return out.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The words taken of every document, by Sainte-Lague quotas."""
+    return mixing.mix_sources(mixing.count_words(docs.select("doc_id", "source", "text"), "text", "size"))
+
+
+STAGES = [
+    ("toxicity", toxicity_stage),
+    ("ngram_jaccard_join", near_duplicate_stage),
+    ("benchmark_decontamination", contamination_stage),
+    ("secret_scans", secret_stage),
+    ("mixing_sources", mixing_stage),
+]
+
+ORACLE_SQL = None  # learnt and iterative stages; tests hold them against brute force
 
 
-def run(spark, sf_dir: str):
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES:
         docs = stage(spark, docs, sf_dir)

@@ -6,6 +6,9 @@ of whole texts, so memory follows the chunk size and not the corpus.
 
 from __future__ import annotations
 
+import sys
+from types import ModuleType
+
 import numpy as np
 import pyarrow as pa
 
@@ -13,7 +16,6 @@ U64 = np.uint64
 _R = pow(0x9E3779B97F4A7C15, 1, 1 << 64) | 1
 _R_INV = pow(_R, -1, 1 << 64)
 _BYTE = np.random.Generator(np.random.PCG64(20240229)).integers(0, 1 << 64, 256, dtype=np.uint64)
-_POW: dict[str, np.ndarray] = {}
 
 SPACE = np.ones(256, bool)  # words are runs of anything but ASCII white space
 SPACE[[0x20, 9, 10, 11, 12, 13]] = False
@@ -50,13 +52,14 @@ def chunks(offs: np.ndarray, most: int = 2_000_000):
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the hash base and of its inverse, modulo 2**64."""
-    if not _POW or len(_POW["r"]) < n:
-        size = max(n, 1 << 20)
-        for k, b in (("r", _R), ("i", _R_INV)):
-            x = np.full(size, b, U64)
+    # kept outside this module, which travels by value with every function
+    kept = sys.modules.setdefault("_docweave_powers", ModuleType("_docweave_powers")).__dict__
+    if len(kept.get("r", ())) < n:
+        for k, base in (("r", _R), ("i", _R_INV)):
+            x = np.full(max(n, 1 << 20), base, U64)
             x[0] = 1
-            _POW[k] = np.multiply.accumulate(x)
-    return _POW["r"][:n], _POW["i"][:n]
+            kept[k] = np.multiply.accumulate(x)
+    return kept["r"][:n], kept["i"][:n]
 
 
 def mix(x: np.ndarray) -> np.ndarray:

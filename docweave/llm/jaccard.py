@@ -52,8 +52,8 @@ def gram_sets(data: np.ndarray, offs: np.ndarray, k: int):
 
 
 def bitmap_words(n: np.ndarray) -> np.ndarray:
-    """64-bit words of a set's bitmap: a power of two with at least two bits a member, 8 at least."""
-    return np.maximum(8, 1 << np.ceil(np.log2(np.maximum(n, 1) / 32.0)).clip(0).astype(np.int64))
+    """64-bit words of a set's bitmap: a power of two with at least a bit a member, 2 at least."""
+    return np.maximum(2, 1 << np.ceil(np.log2(np.maximum(n, 1) / 64.0)).clip(0).astype(np.int64))
 
 
 def bitmap(g: np.ndarray, words: int) -> np.ndarray:
@@ -158,6 +158,46 @@ def candidate_pairs(bits: list[np.ndarray], n: np.ndarray, num: int, den: int):
                 yield own[i], wide[j]
 
 
+def small_cells(cell: np.ndarray, n: np.ndarray, bits: np.ndarray, at: np.ndarray, num: int, den: int):
+    """``candidate_pairs`` for many cells of at most FAN sets, whose trees are single leaves, all at once.
+
+    ``cell`` is sorted; ``bits`` holds the bitmaps one after the other, from ``at`` on.
+    """
+    start = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]]))
+    size = np.diff(start, append=len(cell))
+    words = np.diff(at)
+    ii, jj = [], []
+    for m in np.unique(size[size > 1]).tolist():
+        x, y = np.triu_indices(m, 1)
+        s = start[size == m]
+        ii.append((s[:, None] + x[None]).ravel())
+        jj.append((s[:, None] + y[None]).ravel())
+    if not ii:
+        return
+    i, j = np.concatenate(ii), np.concatenate(jj)
+    swap = words[i] > words[j]
+    i, j = np.where(swap, j, i), np.where(swap, i, j)
+    ok = (n[j] * den >= n[i] * num) & (n[i] * den >= n[j] * num)
+    i, j = i[ok], j[ok]
+    ones = np.concatenate([[0], np.cumsum(np.bitwise_count(bits), dtype=np.int64)])
+    for w in np.unique(words[i]).tolist():
+        for wide in (w, 2 * w):
+            use = np.flatnonzero((words[i] == w) & (words[j] == wide))
+            step = max(1, 1_000_000 // w)
+            for k in range(0, len(use), step):
+                x, y = i[use[k : k + step]], j[use[k : k + step]]
+                span = np.arange(w)[None]
+                a, b = bits[at[x][:, None] + span], bits[at[y][:, None] + span]
+                if wide > w:
+                    b = b | bits[at[y][:, None] + span + w]
+                    own = _pop(b)
+                else:
+                    own = ones[at[y] + w] - ones[at[y]]
+                most = _pop(a & b) + np.minimum(n[x] - (ones[at[x] + w] - ones[at[x]]), n[y] - own)
+                hit = most * (num + den) >= num * (n[x] + n[y])
+                yield x[hit], y[hit]
+
+
 def _roots(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     """Merge the components of pairs (i, j) in an array of component labels."""
     while True:
@@ -169,24 +209,29 @@ def _roots(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
             label = label[label]
 
 
-def _cells(batches, key: str):
-    """Consecutive rows with an equal key, as lists of columns; rows come sorted by the key."""
-    held, last = None, None
+def _cells(batches, key: str, rows: int = 1):
+    """Tables of whole cells (rows with an equal key) of about ``rows`` rows or more; input comes sorted by the key."""
+    held: list = []
+    count = 0
     for b in batches:
         k = b.column(b.schema.get_field_index(key)).to_numpy()
         if not len(k):
             continue
-        cut = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
-        for a, z in zip(cut, np.append(cut[1:], len(k)), strict=True):
-            part = pa.Table.from_batches([b.slice(a, z - a)])
-            if last is not None and k[a] == last:
-                held = pa.concat_tables([held, part])
-            else:
-                if held is not None:
-                    yield held
-                held, last = part, k[a]
-    if held is not None:
-        yield held
+        cut = np.flatnonzero(np.concatenate([[not held or last != k[0]], k[1:] != k[:-1]]))
+        at = 0
+        for z in cut.tolist():
+            if count + z - at >= rows:
+                if z > at:
+                    held.append(b.slice(at, z - at))
+                if held:
+                    yield pa.Table.from_batches(held)
+                held, count, at = [], 0, z
+        if at < len(k):
+            held.append(b.slice(at))
+            count += len(k) - at
+        last = k[-1]
+    if held:
+        yield pa.Table.from_batches(held)
 
 
 def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -240,25 +285,28 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
                     pre.append(g[order[cut[d] : cut[d + 1]][prefix[cut[d] : cut[d + 1]]]].astype(np.int64))
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.array(n, pa.int64()), pa.array(digest.astype(np.int64), pa.int64()), pa.array(sig, pa.binary()), pa.array(pre, pa.list_(pa.int64()))], names=["_key", "n", "node", "sig", "prefix"])
 
+    def brief(batches):
+        for b in batches:
+            data, offs = X.column_bytes(b.column(1))
+            for i, j in X.chunks(offs):
+                *_, n, _, digest = sets_of(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i])
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.array(n, pa.int64()), pa.array(digest.astype(np.int64), pa.int64())], names=["_key", "n", "node"])
+
     # one row per distinct set; the key is any key of the set, to find its text again
     texts = src.mapInArrow(describe, "_key bigint, n bigint, node bigint, sig binary, prefix array<bigint>")
-    rows = saved(texts.select("_key", "n", "node", "sig", "prefix"))
-    plain = rows.select("_key", "n", "node")
-    nodes = rows.where("n > 0").groupBy("node").agg(F.min("_key").alias("_key"), F.first("n").alias("n"), F.first("sig").alias("sig"), F.first("prefix").alias("prefix"), F.count(F.lit(1)).alias("rows"))
-    nodes = saved(nodes)
+    plain = src.mapInArrow(brief, "_key bigint, n bigint, node bigint")
+    nodes = saved(texts.where("n > 0").groupBy("node").agg(F.min_by(F.struct("_key", "n", "sig", "prefix"), F.xxhash64("_key")).alias("x")).select("node", "x.*"))
 
     def meet(batches):  # cells: the nodes that share a prefix member, named by who they are
-        g, d = [], []
-        for b in batches:
-            g.append(b.column(0).to_numpy())
-            d.append(b.column(1).to_numpy())
-        if not g:
+        got = [[b.column(i).to_numpy() for i in range(3)] for b in batches]
+        if not got:
             return
-        g, d = np.concatenate(g), np.concatenate(d)
-        order = np.lexsort((d, g))
-        g, d = g[order], d[order]
+        g, d, n = (np.concatenate([x[i] for x in got]) for i in range(3))
+        order = np.lexsort((d, n, g))
+        g, d, n = g[order], d[order], n[order]
         new = np.ones(len(g), bool)
-        new[1:] = g[1:] != g[:-1]
+        # a gap in the sizes that no link can span ends a cell, too
+        new[1:] = (g[1:] != g[:-1]) | (n[:-1].astype(np.int64) * den < n[1:].astype(np.int64) * num)
         at = np.flatnonzero(new)
         size = np.diff(at, append=len(g))
         who = np.add.reduceat(X.mix(d.astype(np.uint64)), at) if len(at) else at.astype(np.uint64)
@@ -272,21 +320,32 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
             yield pa.RecordBatch.from_arrays([pa.array(np.repeat(who[p].astype(np.int64), m)), pa.array(d[at_]), pa.array(np.repeat(m, m))], names=["cell", "node", "m"])
 
     # (member, node) pairs of 16 bytes; a member shared by very many nodes still is a light group
-    dealt = nodes.select(F.explode("prefix").alias("g"), "node").repartition(parts, "g")
+    dealt = nodes.select(F.explode("prefix").alias("g"), "node", F.col("n").cast("int").alias("n")).repartition(parts, "g")
     cells = saved(dealt.mapInArrow(meet, "cell bigint, node bigint, m bigint").distinct())
     large = cells.where(F.col("m") > CELL)
     hub = large.groupBy("cell").agg(F.min("node").alias("hub"))
     stars = large.join(hub, "cell").select(F.col("node").alias("a"), F.col("hub").alias("b"))
 
     def cluster(batches):
-        for t in _cells(batches, "cell"):
-            node, n = t.column("node").to_numpy(), t.column("n").to_numpy()
+        for t in _cells(batches, "cell", 4000):
+            cell, node, n = t.column("cell").to_numpy(), t.column("node").to_numpy(), t.column("n").to_numpy()
             bits = [np.frombuffer(x.as_buffer(), np.uint64) for x in t.column("sig")]
-            label = np.arange(len(node))
-            for i, j in candidate_pairs(bits, n, num, den):
-                label = _roots(label, i, j)
-            away = label != np.arange(len(node))
-            yield pa.RecordBatch.from_arrays([pa.array(node[away]), pa.array(node[label[away]])], names=["a", "b"])
+            start = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]]))
+            size = np.diff(start, append=len(cell))
+            few = np.repeat(size <= FAN, size)
+            found = []
+            if few.any():
+                own = np.flatnonzero(few)
+                at = np.concatenate([[0], np.cumsum([len(bits[i]) for i in own])])
+                found += [(own[i], own[j]) for i, j in small_cells(cell[own], n[own], np.concatenate([bits[i] for i in own]), at, num, den)]
+            for s, m in zip(start[size > FAN].tolist(), size[size > FAN].tolist(), strict=True):
+                label = np.arange(m)
+                for i, j in candidate_pairs(bits[s : s + m], n[s : s + m], num, den):
+                    label = _roots(label, i, j)
+                away = np.flatnonzero(label != np.arange(m))
+                found.append((s + away, s + label[away]))
+            for i, j in found:
+                yield pa.RecordBatch.from_arrays([pa.array(node[i]), pa.array(node[j])], names=["a", "b"])
 
     small = cells.where(F.col("m") <= CELL).join(nodes.select("node", "n", "sig"), "node").select("cell", "node", "n", "sig")
     near = small.repartition(parts, "cell").sortWithinPartitions("cell").mapInArrow(cluster, "a bigint, b bigint")
@@ -303,13 +362,19 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
                 for d in range(j - i):
                     if digest[d].astype(np.int64) == node[i + d]:
                         own = g[cut[d] : cut[d + 1]] >> np.uint64(16)
-                        yield pa.RecordBatch.from_arrays([pa.array([node[i + d]]), pa.array([X.pack(g=np.sort(own))], pa.binary())], names=["node", "members"])
+                        rest = [b.column(b.schema.get_field_index(c)).slice(i + d, 1) for c in ("node", "cluster", "m", "pivot")]
+                        yield pa.RecordBatch.from_arrays([*rest, pa.array([X.pack(g=np.sort(own))], pa.binary())], names=["node", "cluster", "m", "pivot", "members"])
 
-    texts2 = src.select(F.xxhash64("_key").alias("_h"), "_text").join(member.select("_h", "node"), "_h")
-    sets = saved(texts2.mapInArrow(whole, "node bigint, members binary").dropDuplicates(["node"]).join(member.drop("_h"), "node"))
+    def sets(of: DataFrame) -> DataFrame:
+        found = src.select(F.xxhash64("_key").alias("_h"), "_text").join(of, "_h").drop("_h")
+        return found.mapInArrow(whole, "node bigint, cluster bigint, m bigint, pivot bigint, members binary")
 
     def link(batches):
         for t in _cells(batches, "cell"):
+            _, once = np.unique(t.column("node").to_numpy(), return_index=True)  # repeated rows
+            t = t.take(once)
+            if len(once) < 2:
+                continue
             node, side = t.column("node").to_numpy(), t.column("side").to_numpy()
             own = [X.unpack(x.as_buffer())["g"] for x in t.column("members")]
             n = np.array([len(x) for x in own])
@@ -350,21 +415,23 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
     chunk = F.pmod(F.xxhash64("node", F.lit(7)), chunks)
     cell = lambda *c: F.xxhash64(*c)
     common = ["node", "members"]
-    own = sets.select(*common, cell("cluster", chunk).alias("cell"), F.col("node").alias("comp"), F.lit(0).alias("side"))
-    pivot = sets.where((F.col("node") == F.col("pivot")) & (chunks > 1)).withColumn("_own", chunk).withColumn("_c", F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1)))
-    pivot = pivot.where("_c <> _own").select(*common, cell("cluster", "_c").alias("cell"), F.col("node").alias("comp"), F.lit(0).alias("side"))
-    found = saved(links_of(own.union(pivot)))
-    wide = sets.where(chunks > 1)
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
+    # a pivot goes to all chunks of its cluster, any other node to its own
+    where = F.when((F.col("node") == F.col("pivot")) & (chunks > 1), F.sequence(F.lit(0).cast("long"), chunks - 1)).otherwise(F.array(chunk))
+    first = sets(member).select(*common, "cluster", F.explode(where).alias("_c")).select(*common, cell("cluster", "_c").alias("cell"), F.col("node").alias("comp"), F.lit(0).alias("side"))
+    found = saved(links_of(first))
+    wide = member.where(chunks > 1)
     if wide.limit(1).count():
         comp = components(found)
         known = wide.join(comp, "node", "left").withColumn("comp", F.coalesce("component", "node")).drop("component")
         known = saved(known)
         by = known.groupBy("cluster", "comp").agg(F.count(F.lit(1)).alias("c"))
         main = by.groupBy("cluster").agg(F.max_by("comp", F.struct("c", "comp")).alias("main"), (F.sum("c") - F.max("c")).alias("rest"))
-        known = known.join(main.where("rest > 0"), "cluster")
+        left = known.join(main.where("rest > 0"), "cluster").withColumn("rest", F.col("rest").cast("long"))
+        full = sets(left.select("node", "_h", "cluster", "m", "pivot")).select("node", "members")
+        known = full.join(left, "node")
         rest_chunks = F.ceil(F.col("rest") / CHUNK)
         rest_chunk = F.pmod(F.xxhash64("node", F.lit(9)), rest_chunks)
-        every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
         inside = known.where("comp = main").withColumn("_j", every(rest_chunks)).select(*common, cell("cluster", chunk, "_j", F.lit(1)).alias("cell"), "comp", F.lit(1).alias("side"))
         outside = known.where("comp <> main").withColumn("_i", every(chunks)).select(*common, cell("cluster", "_i", rest_chunk, F.lit(1)).alias("cell"), "comp", F.lit(2).alias("side"))
         pairs = known.where("comp <> main").withColumn("_o", rest_chunk).withColumn("_j", every(rest_chunks))
@@ -377,13 +444,13 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", **options) -> DataFrame:
-    """The rows whose key names their component, each once: one document of every group stays.
+    """The rows whose key names their component: one document of every group stays, with its columns.
 
-    Rows with an empty set or a null key stay; equal keys keep one row.
+    Rows with an empty set or a null key stay; rows with equal keys stay or go together.
     """
-    comp = jaccard_components(docs, key=key, **options).select(F.col(key).alias("_k"), "component_id").where("_k is null or _k = component_id").select("_k").distinct()
-    keyed = docs.dropDuplicates([key]).join(comp, docs[key] == comp["_k"], "left_semi")
-    return keyed.union(docs.where(F.col(key).isNull()))
+    comp = jaccard_components(docs, key=key, **options).where(F.col(key).isNotNull())
+    lost = comp.groupBy(F.col(key).alias("_lost")).agg(F.max((F.col(key) == F.col("component_id")).cast("int")).alias("stays")).where("stays = 0")
+    return docs.join(lost.select("_lost"), docs[key] == F.col("_lost"), "left_anti")
 
 
 def op1_jaccard_join(spark, sf_dir: str) -> DataFrame:

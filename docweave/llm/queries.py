@@ -7,8 +7,10 @@ from docweave.llm.jaccard import op1_jaccard_join
 from docweave.llm.katz import op2_katz
 from docweave.llm.mixing import op5_mix_sources
 from docweave.llm.quality import op6_quality
+from docweave.llm.repeats import op7_suffix_trees, op8_previous_factors
 from docweave.llm.secrets import op4_secret_scan
 from docweave.llm.toxicity import op9_toxicity
+from docweave.llm.vectors import op10_itq_near_dedup
 
-QUERIES = {f.__name__: f for f in (op1_jaccard_join, op2_katz, op3_decontaminate, op4_secret_scan, op5_mix_sources, op6_quality, op9_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_jaccard_join, op2_katz, op3_decontaminate, op4_secret_scan, op5_mix_sources, op6_quality, op7_suffix_trees, op8_previous_factors, op9_toxicity, op10_itq_near_dedup)}
 ORACLE_SQL: dict[str, str] = {}
