@@ -2,5 +2,219 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from docweave.functions import scalars as S
+from docweave.operators import quality as Q
+from docweave.operators import sequences as O
+from docweave.sources.html_dom import dom_rows
+from docweave.sources.tables import table
+
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+@query()
+def parse_pages_dom(spark, d):
+    return Q.page_status(dom_rows(table(spark, d, "pages")))
+
+
+@query("select tag, count(*) as n, count(distinct page_id) as pages from (select page_id, unnest(regexp_extract_all(html, '<([a-z][a-z0-9]*)', 1)) as tag from pages) group by tag")
+def tag_histogram(spark, d):
+    return dom_rows(table(spark, d, "pages")).where("kind = 'element'").groupBy("tag").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("page_id").alias("pages"))
+
+
+@query("select page_id, nullif(trim(regexp_extract(html, '<title>([^<]*)</title>', 1)), '') as title from pages")
+def title_extract(spark, d):
+    return table(spark, d, "pages").select("page_id", F.nullif(F.trim(F.regexp_extract("html", "<title>([^<]*)</title>", 1)), F.lit("")).alias("title"))
+
+
+@query("select page_id, len(regexp_extract_all(html, '<a [^>]*href=\"([^\"]*)\"', 1)) as n_links, array_to_string(regexp_extract_all(html, '<a [^>]*href=\"([^\"]*)\"', 1), ' ') as links from pages")
+def link_extract(spark, d):
+    links = F.regexp_extract_all("html", F.lit('<a [^>]*href="([^"]*)"'), 1)
+    return table(spark, d, "pages").select("page_id", F.size(links).cast("long").alias("n_links"), F.array_join(links, " ").alias("links"))
+
+
+_TAIL = "regexp_extract(regexp_replace(url, '[?#].*$', ''), '([^/]*)$', 1)"
+
+
+@query("select page_id, regexp_replace(url, '[?#].*$', '') as canonical, regexp_extract(url, '^[a-z]+://([^/]+)', 1) as host, case when regexp_extract(regexp_replace(url, '[?#].*$', ''), '([0-9]+)$', 1) <> '' then regexp_extract(regexp_replace(url, '[?#].*$', ''), '([0-9]+)$', 1) else substr(sha256(regexp_replace(url, '[?#].*$', '')), 1, 32) end as identity from pages")
+def url_identity(spark, d):
+    u = F.col("url")
+    return table(spark, d, "pages").select("page_id", S.canonical_url(u).alias("canonical"), S.url_host(u).alias("host"), S.url_identity(u).alias("identity"))
+
+
+@query(f"select page_id, case when regexp_matches({_TAIL}, '^[0-9]+$') then 'numeric' when regexp_matches({_TAIL}, '^[0-9a-f-]{{32,36}}$') then 'opaque' else regexp_extract({_TAIL}, '^([a-z]*)', 1) end as family from pages")
+def source_family(spark, d):
+    return table(spark, d, "pages").select("page_id", S.source_family(F.col("url")).alias("family"))
+
+
+@query("select regexp_extract(url, '^[a-z]+://([^/]+)', 1) as host, count(*) as pages, count(distinct url) as urls from pages group by 1 having count(distinct page_id) > 1")
+def url_conflicts(spark, d):
+    g = table(spark, d, "pages").groupBy(S.url_host(F.col("url")).alias("host"))
+    return g.agg(F.count(F.lit(1)).alias("pages"), F.count_distinct("url").alias("urls"), F.count_distinct("page_id").alias("_n")).where("_n > 1").drop("_n")
+
+
+@query("select identity, min(doc_id) as preferred, count(*) as captures from (select doc_id, sha256(text) as identity from documents) group by identity")
+def inventory_preferred(spark, d):
+    # as one aggregation: equal texts need not meet in one task
+    return table(spark, d, "documents").groupBy(F.sha2("text", 256).alias("identity")).agg(F.min("doc_id").alias("preferred"), F.count(F.lit(1)).alias("captures"))
+
+
+@query("select doc_id, min(doc_id) over (partition by sha256(text)) as duplicate_of from documents qualify doc_id <> min(doc_id) over (partition by sha256(text))")
+def duplicate_captures(spark, d):
+    rows = table(spark, d, "documents").select("doc_id", F.sha2("text", 256).alias("h"))
+    first = rows.groupBy("h").agg(F.min("doc_id").alias("duplicate_of"))
+    return rows.join(first, "h").where("doc_id <> duplicate_of").select("doc_id", "duplicate_of")
+
+
+@query("select conv_id, count(*) as turns, sha256(string_agg(text, chr(10) order by turn)) as text_sha256 from conversations group by conv_id")
+def text_conservation(spark, d):
+    g = table(spark, d, "conversations").groupBy("conv_id")
+    texts = F.transform(F.array_sort(F.collect_list(F.when(F.col("text").isNotNull(), F.struct("turn", "text")))), lambda x: x["text"])
+    return g.agg(F.count(F.lit(1)).alias("turns"), F.sha2(F.array_join(texts, "\n"), 256).alias("text_sha256"))
+
+
+@query("select user_id, event_type, count(*) as n, round(sum(value), 4) as total from events group by user_id, event_type")
+def issue_summary(spark, d):
+    return table(spark, d, "events").groupBy("user_id", "event_type").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 4).alias("total"))
+
+
+@query("select user_id, count(*) as n, count(distinct event_type) as kinds, max(case when event_type = 'error' then 1 else 0 end) as failed from events group by user_id")
+def tab_status(spark, d):
+    return table(spark, d, "events").groupBy("user_id").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("event_type").alias("kinds"), F.max(F.when(F.col("event_type") == "error", 1).otherwise(0)).alias("failed"))
+
+
+@query("select d.source, count(*) as docs, count(l.doc_id) as labelled, sum(case when l.quality = 1 then 1 else 0 end)::bigint as good from documents d left join labels l using (doc_id) group by d.source")
+def doc_quality(spark, d):
+    docs, labels = table(spark, d, "documents").select("doc_id", "source"), table(spark, d, "labels").select("doc_id", "quality")
+    j = docs.join(labels.withColumn("l", F.col("doc_id")), "doc_id", "left")
+    return j.groupBy("source").agg(F.count(F.lit(1)).alias("docs"), F.count("l").alias("labelled"), F.sum(F.when(F.col("quality") == 1, 1).otherwise(0)).alias("good"))
+
+
+@query("select l_orderkey, l_linenumber, count(*) as n from lineitem group by 1, 2 having count(*) > 1")
+def duplicate_numbers(spark, d):
+    return table(spark, d, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+
+
+@query("with u as (select distinct l_orderkey, l_linenumber from lineitem), g as (select *, l_linenumber - row_number() over (partition by l_orderkey order by l_linenumber) as grp from u) select l_orderkey, min(l_linenumber) as first_number, max(l_linenumber) as last_number, count(*) as run_length from g group by l_orderkey, grp")
+def counter_runs(spark, d):
+    return O.counter_runs(table(spark, d, "lineitem"), ["l_orderkey"], "l_linenumber")
+
+
+_LEVEL = "case event_type when 'click' then 0 when 'purchase' then 1 when 'signup' then 2 else 3 end"
+
+
+@query(f"with e as (select event_id, user_id, ts, {_LEVEL} as level from events) select a.event_id, a.level, (select arg_max(b.event_id, (b.ts, b.event_id)) from e b where b.user_id = a.user_id and b.level < a.level and (b.ts, b.event_id) < (a.ts, a.event_id)) as parent from e a")
+def nearest_parent(spark, d):
+    return O.nearest_parent(table(spark, d, "events").select("event_id", "user_id", "ts", "event_type"), ["user_id"], ["ts"], "event_id", F.expr(_LEVEL), 4).select("event_id", "level", "parent")
+
+
+@query("select l_orderkey, l_linenumber, case when l_linenumber = coalesce(lag(l_linenumber) over w, 0) + 1 then 1 else 0 end + case when lead(l_linenumber) over w = l_linenumber + 1 then 1 else 0 end as score from (select distinct l_orderkey, l_linenumber from lineitem) window w as (partition by l_orderkey order by l_linenumber)")
+def clause_scores(spark, d):
+    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber")
+    n = F.col("l_linenumber")
+    before = (n == F.coalesce(F.lag(n).over(w), F.lit(0)) + 1).cast("int")
+    after = F.coalesce((F.lead(n).over(w) == n + 1).cast("int"), F.lit(0))
+    return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber").distinct().withColumn("score", before + after)
+
+
+@query("select event_id, count(*) over (partition by user_id order by ts, event_id rows between 1 following and unbounded following) as rest, lead(event_type) over (partition by user_id order by ts, event_id) as next_type from events")
+def suffix_count(spark, d):
+    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    return table(spark, d, "events").select("event_id", F.count(F.lit(1)).over(w.rowsBetween(1, Window.unboundedFollowing)).alias("rest"), F.lead("event_type").over(w).alias("next_type"))
+
+
+@query("select event_id, min(event_id) over (partition by user_id, event_type order by ts, event_id rows between 1 following and 1 following) as next_peer from events")
+def next_peer(spark, d):
+    return table(spark, d, "events").select("event_id", F.lead("event_id").over(Window.partitionBy("user_id", "event_type").orderBy("ts", "event_id")).alias("next_peer"))
+
+
+@query("select a.l_orderkey, a.l_linenumber as a, b.l_linenumber as b, count(*) as n from lineitem a join lineitem b on a.l_orderkey = b.l_orderkey and a.l_linenumber < b.l_linenumber and a.l_shipdate < b.l_shipdate + interval 7 day and b.l_shipdate < a.l_shipdate + interval 7 day group by 1, 2, 3")
+def overlap_pairs(spark, d):
+    rows = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_shipdate").alias("s"), (F.col("l_shipdate") + F.expr("interval 7 days")).alias("e"))
+    return O.overlap_pairs(rows, "l_orderkey", "l_linenumber", "s", "e").groupBy("l_orderkey", "a", "b").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("select event_id, last_value(case when event_type = 'purchase' then value end ignore nulls) over (partition by user_id order by ts, event_id rows between unbounded preceding and 1 preceding) as previous_value from events")
+def asof_previous(spark, d):
+    return O.asof_previous(table(spark, d, "events"), ["user_id"], ["ts", "event_id"], F.when(F.col("event_type") == "purchase", F.col("value")), "previous_value").select("event_id", "previous_value")
+
+
+@query("select o.o_orderkey, coalesce(l.n, 0) as actual, coalesce(l.top, 0) as declared from orders o left join (select l_orderkey, count(*) as n, max(l_linenumber) as top from lineitem group by 1) l on o.o_orderkey = l.l_orderkey where coalesce(l.n, 0) <> coalesce(l.top, 0)")
+def declared_vs_actual(spark, d):
+    lines = table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count(F.lit(1)).alias("actual"), F.max("l_linenumber").alias("declared"))
+    j = table(spark, d, "orders").select("o_orderkey").join(lines, "o_orderkey", "left")
+    return j.select("o_orderkey", F.coalesce("actual", F.lit(0)).alias("actual"), F.coalesce("declared", F.lit(0)).alias("declared")).where("actual <> declared")
+
+
+@query("select doc_id from documents where doc_id not in (select doc_id from labels)")
+def audit_anti(spark, d):
+    return table(spark, d, "documents").select("doc_id").join(table(spark, d, "labels"), "doc_id", "left_anti")
+
+
+@query("select doc_id from documents where doc_id in (select doc_id from labels)")
+def audit_semi(spark, d):
+    return table(spark, d, "documents").select("doc_id").join(table(spark, d, "labels"), "doc_id", "left_semi")
+
+
+@query("select coalesce(a.doc_id, b.doc_id) as doc_id, coalesce(a.n, 0) as n_left, coalesce(b.n, 0) as n_right from (select doc_id, count(*) as n from documents group by 1) a full join (select doc_id, count(*) as n from labels group by 1) b on a.doc_id = b.doc_id")
+def audit_full_outer(spark, d):
+    return Q.key_audit(table(spark, d, "documents"), table(spark, d, "labels"), "doc_id")
+
+
+@query("select source, lang, count(*) as n, sum(n_chars)::bigint as chars from documents group by rollup (source, lang)")
+def type_delta(spark, d):
+    return table(spark, d, "documents").rollup("source", "lang").agg(F.count(F.lit(1)).alias("n"), F.sum("n_chars").alias("chars"))
+
+
+@query("select k as key, count(*) as n from (select unnest(json_keys(props)) as k from events) group by k")
+def vocab_counts(spark, d):
+    return table(spark, d, "events").select(F.explode(F.json_object_keys("props")).alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("with r as (select lang, doc_id, sha256('wave' || doc_id::varchar) as h, row_number() over (partition by lang order by sha256('wave' || doc_id::varchar), doc_id) as rank_in_group from documents) select lang, doc_id, rank_in_group from r order by rank_in_group, h, doc_id limit 100")
+def balanced_sample_single_key(spark, d):
+    return O.balanced_sample(table(spark, d, "documents"), "lang", "doc_id", "wave", 100)
+
+
+@query("select event_type, count(*) as attempts, sum(case when value > 50 then 1 else 0 end)::bigint as accepted, round(sum(case when value > 50 then 1 else 0 end) / nullif(count(*), 0)::double, 6) as rate from events group by event_type")
+def acquisition_rates(spark, d):
+    ok = F.sum(F.when(F.col("value") > 50, 1).otherwise(0))
+    return table(spark, d, "events").groupBy("event_type").agg(F.count(F.lit(1)).alias("attempts"), ok.alias("accepted"), F.round(ok / F.nullif(F.count(F.lit(1)), F.lit(0)), 6).alias("rate"))
+
+
+@query("with m as (select date_trunc('month', o_orderdate)::date as wave, count(*) as n from orders group by 1) select wave, n, n - coalesce(lag(n) over (order by wave), 0) as delta, sum(n) over (order by wave rows between 2 preceding and current row)::bigint as last_three from m")
+def wave_convergence(spark, d):
+    m = table(spark, d, "orders").groupBy(F.trunc(F.col("o_orderdate").cast("date"), "month").alias("wave")).agg(F.count(F.lit(1)).alias("n"))
+    w = Window.orderBy("wave")  # one row a month
+    return m.select("wave", "n", (F.col("n") - F.coalesce(F.lag("n").over(w), F.lit(0))).alias("delta"), F.sum("n").over(w.rowsBetween(-2, 0)).alias("last_three"))
+
+
+@query("select doc_id, len(list_distinct(regexp_extract_all(text, '[0-9]+'))) as n_numbers, regexp_extract(text, '[0-9]+') as first_number from documents")
+def number_mentions(spark, d):
+    n = S.numbers(F.col("text"))
+    return table(spark, d, "documents").select("doc_id", F.size(n).cast("long").alias("n_numbers"), F.regexp_extract("text", "([0-9]+)", 1).alias("first_number"))
+
+
+@query("select sha256(text) as artifact, count(*) as n, count(distinct conv_id) as conversations from conversations group by 1 having count(distinct conv_id) >= 2")
+def page_artifacts(spark, d):
+    g = table(spark, d, "conversations").groupBy(F.sha2("text", 256).alias("artifact"))
+    return g.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("conv_id").alias("conversations")).where("conversations >= 2")
+
+
+@query("select user_id, count(case when event_type = 'click' then 1 end) as clicks, count(case when event_type = 'purchase' then 1 end) as purchases, count(case when event_type = 'signup' then 1 end) as signups, min(ts) as first_ts from events group by user_id")
+def history_pivot(spark, d):
+    c = lambda k: F.count(F.when(F.col("event_type") == k, 1))
+    return table(spark, d, "events").groupBy("user_id").agg(c("click").alias("clicks"), c("purchase").alias("purchases"), c("signup").alias("signups"), F.min("ts").alias("first_ts"))
