@@ -45,7 +45,7 @@ def sainte_lague(votes: np.ndarray, seats: int, most: np.ndarray | None = None)
     the cost does not depend on the number of seats.
     """
     votes = np.asarray(votes, float)
-    most = np.full(len(votes), np.iinfo(np.int64).max // 4) if most is None else np.asarray(most, np.int64)
+    most = np.full(len(votes), seats, np.int64) if most is None else np.asarray(most, np.int64)
     most = np.where(votes > 0, most, 0)
     seats = int(min(seats, most.sum()))
     if seats <= 0:
@@ -64,10 +64,9 @@ def sainte_lague(votes: np.ndarray, seats: int, most: np.ndarray | None = None)
         else:
             hi = mid
     got = at(hi)
-    while (short := seats - got.sum()) > 0:
+    while got.sum() < seats:
         q = np.where(got < most, votes / (2 * got + 1), -1.0)
-        best = np.argsort(-q, kind="stable")[: max(1, min(int(short), 1))]
-        got[best] += 1
+        got[np.argmax(q)] += 1
     return got
 
 

@@ -187,7 +187,10 @@ def viterbi(u: np.ndarray, t: np.ndarray, begins: np.ndarray) -> np.ndarray:
     u = u.copy()
     u[begins, I] -= 1e4
     reach = t[t > -1e3].max() - t[t > -1e3].min()
-    sure = u[:, O] - np.maximum(u[:, B], u[:, I]) > 2 * reach + 1e-9
+    # made outside, a token may force the next one from inside to begin: three transitions and that token's loss
+    loss = np.zeros(n)
+    loss[:-1] = np.where(begins[1:], 0, np.maximum(u[1:, I] - u[1:, B], 0))
+    sure = u[:, O] - np.maximum(u[:, B], u[:, I]) > 3 * reach + loss + 1e-9
     unsure = ~sure
     open_ = unsure.copy()
     open_[1:] &= sure[:-1] | begins[1:]
