@@ -6,6 +6,7 @@ of whole texts, so memory follows the chunk size and not the corpus.
 
 from __future__ import annotations
 
+import ctypes
 import sys
 from types import ModuleType
 
@@ -192,3 +193,21 @@ def pack_sorted(keys: np.ndarray) -> np.ndarray:
 
 def unpack_sorted(d: np.ndarray) -> np.ndarray:
     return np.cumsum(d, dtype=U64)
+
+
+def dense_ranks(x: np.ndarray) -> np.ndarray:
+    """Ranks 0, 1, ... of equal values, in their order."""
+    order = np.argsort(x)
+    y = x[order]
+    out = np.empty(len(x), np.int64)
+    out[order] = np.cumsum(np.concatenate([[False], y[1:] != y[:-1]])) if len(x) else out
+    return out
+
+
+def release() -> None:
+    """Give freed memory of a Python worker back to the system."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass

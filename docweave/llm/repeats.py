@@ -23,6 +23,7 @@ from docweave.llm import _text as X
 from docweave.llm._spark import parts_of
 from docweave.llm.katz import part_of
 
+SLICE = 1_000_000  # symbols that suffix structures are built over at once
 LAST = np.iinfo(np.int64).max  # stands for a null key: larger than all others
 
 
@@ -74,20 +75,23 @@ def run_hash(sym: np.ndarray, s: np.ndarray, e: np.ndarray, anchor: np.ndarray,
 
 def _ranks(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Order-preserving ranks of pairs."""
-    _, r = np.unique(a.astype(np.uint64) << np.uint64(32) | b.astype(np.uint64), return_inverse=True)
-    return r
+    return X.dense_ranks(a.astype(np.uint64) << np.uint64(32) | b.astype(np.uint64))
 
 
-def window_ranks(sym: np.ndarray, size: int) -> np.ndarray:
-    """Rank of each suffix by its first ``size`` symbols (prefix doubling); the last size - 1 have none that counts."""
-    _, r = np.unique(sym, return_inverse=True)
-    r, have = r.astype(np.int64) + 1, 1
-    while have < size:
-        step = min(have, size - have)
+def window_ranks(sym: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
+    """Rank of the suffixes at ``starts`` by their first ``size`` symbols, by prefix doubling."""
+    if sym.dtype == np.uint8 and size >= 8:
+        x, have = np.zeros(len(sym), np.uint64), 8
+        for k in range(8):  # eight bytes at once to begin with
+            x[: len(sym) - k] |= sym[k:].astype(np.uint64) << np.uint64(56 - 8 * k)
+        r = X.dense_ranks(x)
+    else:
+        r, have = X.dense_ranks(sym), 1
+    while 2 * have < size:
         b = np.zeros(len(r), np.int64)
-        b[: len(r) - step] = r[step:]
-        r, have = _ranks(r, b) + 1, have + step
-    return r
+        b[: len(r) - have] = r[have:]
+        r, have = _ranks(r, b), 2 * have
+    return _ranks(r[starts], r[starts + size - have]) if have < size else X.dense_ranks(r[starts])
 
 
 def previous_factors(order: np.ndarray, rank: np.ndarray, doc: np.ndarray) -> np.ndarray:
@@ -121,11 +125,11 @@ def previous_factors(order: np.ndarray, rank: np.ndarray, doc: np.ndarray) -> np
 
 def solve_by_lpf(sym: np.ndarray, starts: np.ndarray, doc: np.ndarray, size: int, group: int = 0) -> np.ndarray:
     """For the windows at ``starts`` whether a smaller document holds them, by the suffix array."""
-    rank = window_ranks(sym, size)[starts]
+    rank = window_ranks(sym, starts, size)
     return previous_factors(np.argsort(rank, kind="stable"), rank, doc)
 
 
-def solve_by_trees(sym: np.ndarray, starts: np.ndarray, doc: np.ndarray, size: int, group: int = 2_000_000) -> np.ndarray:
+def solve_by_trees(sym: np.ndarray, starts: np.ndarray, doc: np.ndarray, size: int, group: int = 250_000) -> np.ndarray:
     """The same by suffix trees: variable-length prefixes split the suffixes, then each group's subtree is built.
 
     A prefix grows (1, 2, 4, ... symbols) for the groups that are still larger
@@ -133,7 +137,7 @@ def solve_by_trees(sym: np.ndarray, starts: np.ndarray, doc: np.ndarray, size: i
     the maximal repeats; all leaves below one hold the same window.
     """
     out = np.zeros(len(starts), bool)
-    _, base = np.unique(sym, return_inverse=True)
+    base = X.dense_ranks(sym)
     todo = [(np.arange(len(starts)), np.zeros(len(starts), np.int64), 0)]
     while todo:
         own, key, depth = todo.pop()
@@ -174,8 +178,7 @@ def _subtree(base: np.ndarray, starts: np.ndarray, key: np.ndarray, size: int) -
         pair = base[starts[live] + k].astype(np.uint64) << np.uint64(32)
         if k + 1 < size:
             pair |= base[starts[live] + k + 1].astype(np.uint64)
-        _, pair = np.unique(pair, return_inverse=True)
-        r = _ranks(rank[live], pair)
+        r = _ranks(rank[live], X.dense_ranks(pair))
         count = np.bincount(r)
         alone = count[r] == 1  # a leaf edge: nothing repeats below
         result[live[alone]] = spare + np.arange(int(alone.sum()))
@@ -184,18 +187,17 @@ def _subtree(base: np.ndarray, starts: np.ndarray, key: np.ndarray, size: int) -
         live = live[~alone]
         if not len(live):
             return result
-    _, r = np.unique(rank[live], return_inverse=True)
-    result[live] = spare + r
+    result[live] = spare + X.dense_ranks(rank[live])
     return result
 
 
 def mark_repeats(docs: DataFrame, by_words: bool, size: int, q: int, solve: Callable, finish: Callable, schema: str, text: str = "text", key: str = "doc_id") -> DataFrame:
     """Apply ``finish`` to every text with the mask of its symbols that repeat a smaller document's window."""
     spark = docs.sparkSession
-    buckets = parts_of(spark)
-    parts = max(2, buckets // 2)
+    tasks = parts_of(spark)
+    buckets = parts = 4 * tasks  # keys of both kinds, several to a task so that tasks are alike
     src = docs.select(F.col(key).cast("long").alias("_key"), F.col(text).alias("_text"))
-    dealt = src.withColumn("bk", F.pmod(F.xxhash64("_key", "_text"), F.lit(buckets)).cast("int")).repartition(buckets, "bk")
+    dealt = src.withColumn("bk", F.pmod(F.xxhash64("_key", "_text"), F.lit(buckets)).cast("int")).repartition(tasks, "bk")
 
     def scan(batch_key, batch_text):
         """Runs of some rows, chunk by chunk."""
@@ -214,6 +216,7 @@ def mark_repeats(docs: DataFrame, by_words: bool, size: int, q: int, solve: Call
                 pick = pa.array(np.flatnonzero(bk == k))
                 for keys, _, _, _, _, _, _, (t, _, _, _, a) in scan(b.column(0).take(pick), b.column(1).take(pick)):
                     held.setdefault(k, []).append(_owners(a, keys[t], np.zeros(len(a), bool)))
+            X.release()
         for k, got in held.items():
             a, w, many = _owners(*(np.concatenate([x[i] for x in got]) for i in range(3)))
             p = part_of(a, parts)  # ascending, as the anchors are
@@ -241,8 +244,8 @@ def mark_repeats(docs: DataFrame, by_words: bool, size: int, q: int, solve: Call
                 if len(own):
                     yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([X.pack(a=X.pack_sorted(own))], pa.binary())], names=["bk", "blob"])
 
-    asked = dealt.mapInArrow(ask, "part int, bk int, blob binary").repartition(parts, "part")
-    shared = asked.mapInArrow(share, "bk int, blob binary").repartition(buckets, "bk")
+    asked = dealt.mapInArrow(ask, "part int, bk int, blob binary").repartition(tasks, "part")
+    shared = asked.mapInArrow(share, "bk int, blob binary").repartition(tasks, "bk")
 
     def send(key, rows, told):  # distinct runs with a shared anchor, and their smallest key in the bucket
         if not told.num_rows:
@@ -277,9 +280,11 @@ def mark_repeats(docs: DataFrame, by_words: bool, size: int, q: int, solve: Call
             out[0].append(i)
             out[1].append(rows.column("bk")[0].as_py())
             out[2].append(X.pack(h=h[own], a=X.pack_sorted(a[own]), k=kk[own], m=m[own].astype(np.uint8), o=place[own].astype(np.uint8), **words))
+        del texts
+        X.release()
         return pa.table({"part": pa.array(out[0], pa.int32()), "bk": pa.array(out[1], pa.int32()), "blob": pa.array(out[2], pa.binary())})
 
-    sent = dealt.groupBy("bk").cogroup(shared.groupBy("bk")).applyInArrow(send, "part int, bk int, blob binary").repartition(parts, "part")
+    sent = dealt.groupBy("bk").cogroup(shared.groupBy("bk")).applyInArrow(send, "part int, bk int, blob binary").repartition(tasks, "part")
 
     def decide(batches):  # per run a mask of the windows that a smaller document holds
         by: dict[int, list] = {}
@@ -304,27 +309,29 @@ def mark_repeats(docs: DataFrame, by_words: bool, size: int, q: int, solve: Call
             # an anchor with different runs: compare their windows, each kind of run once, for its smallest key
             ua, of = np.unique(a[one], return_inverse=True)
             several = (np.bincount(of) > 1)[of]
-            if several.any():
-                kinds = np.flatnonzero(several)
-                src_at, src_m = at[one[kinds]], m[one[kinds]]
-                span = src_m + size - 1
-                idx = np.repeat(src_at - (np.cumsum(span) - span), span) + np.arange(span.sum())
-                own = sym[idx]
-                s0 = np.cumsum(span) - span
-                starts = np.repeat(s0 - (np.cumsum(src_m) - src_m), src_m) + np.arange(src_m.sum())
-                doc = np.repeat(least[kinds], src_m)
-                hit = solve(own, starts, doc, size)
-                bit = np.arange(src_m.sum()) - np.repeat(np.cumsum(src_m) - src_m, src_m)
-                value = np.where(hit, np.uint64(1) << bit.astype(np.uint64), np.uint64(0))
-                fine = np.zeros(len(uh), np.uint64)
-                fine[kinds] = np.bitwise_or.reduceat(value, np.cumsum(src_m) - src_m)
-                mask |= fine[kind]
+            kinds = np.flatnonzero(several)
+            kinds = kinds[np.argsort(of[kinds], kind="stable")]
+            fine = np.zeros(len(uh), np.uint64)
+            if len(kinds):  # whole anchors, SLICE symbols at a time
+                total = np.cumsum(m[one[kinds]] + size - 1)
+                edge = np.append(np.flatnonzero(np.diff(of[kinds], prepend=-1)), len(kinds))
+                lo = 0
+                while lo < len(kinds):
+                    most = np.searchsorted(total, (total[lo - 1] if lo else 0) + SLICE, "right")
+                    hi = int(edge[max(np.searchsorted(edge, most, "right") - 1, 0)])
+                    hi = hi if hi > lo else int(edge[np.searchsorted(edge, lo, "right")])
+                    own = kinds[lo:hi]
+                    fine[own] = _masks(sym, at[one[own]], m[one[own]], least[own], size, solve)
+                    lo = hi
+            mask |= fine[kind]
             for i, (b, _) in enumerate(rows):
                 own = np.flatnonzero(bk == i)
                 own = own[np.argsort(h[own])]
                 yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([X.pack(h=X.pack_sorted(h[own]), k=k[own], x=mask[own])], pa.binary())], names=["bk", "blob"])
+            del got, body, sym, h, a, k, m, kind, uh
+            X.release()
 
-    decided = sent.mapInArrow(decide, "bk int, blob binary").repartition(buckets, "bk")
+    decided = sent.mapInArrow(decide, "bk int, blob binary").repartition(tasks, "bk")
 
     def close(key, rows, told):
         got = [X.unpack(x.as_buffer()) for x in told.column("blob")] if told.num_rows else []
@@ -353,6 +360,16 @@ def mark_repeats(docs: DataFrame, by_words: bool, size: int, q: int, solve: Call
     return dealt.groupBy("bk").cogroup(decided.groupBy("bk")).applyInArrow(close, schema)
 
 
+def _masks(sym: np.ndarray, at: np.ndarray, m: np.ndarray, least: np.ndarray, size: int, solve: Callable) -> np.ndarray:
+    """Bits of the windows of some runs that a smaller document among them holds."""
+    span = m + size - 1
+    s0, w0 = np.cumsum(span) - span, np.cumsum(m) - m
+    own = sym[np.repeat(at - s0, span) + np.arange(span.sum())]
+    bit = np.arange(m.sum()) - np.repeat(w0, m)
+    hit = solve(own, np.repeat(s0, m) + bit, np.repeat(least, m), size)
+    return np.bitwise_or.reduceat(np.where(hit, np.uint64(1) << bit.astype(np.uint64), np.uint64(0)), w0)
+
+
 def _owners(a: np.ndarray, w: np.ndarray, many: np.ndarray):
     """Distinct anchors with one document that has each, and whether different ones do."""
     order = np.lexsort((w, a))
