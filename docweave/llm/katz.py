@@ -23,7 +23,7 @@ from docweave.llm._spark import parts_of, saved
 K = 5  # counts above K are not discounted
 MASK = np.uint64((1 << 56) - 1)  # hashes are cut to 7 bytes
 START, END = np.uint64(1), np.uint64(2)
-BUFFER = 2_000_000  # tokens held by a map task before it sends messages
+BUFFER = 1_200_000  # tokens held by a map task before it sends messages
 
 
 def discounts(n: np.ndarray) -> np.ndarray:
@@ -167,7 +167,7 @@ def bigrams(docs: DataFrame, parts: int, heavy: np.ndarray) -> DataFrame:
                 own, d = np.unique(ref[a:z], return_inverse=True)
                 blob = X.pack(
                     uc=X.pack_sorted(uc), ci=ci.astype(np.uint32), w=pw[at], n=np.diff(at, append=z - a).astype(np.uint32), t=np.add.reduceat(train[a:z].astype(np.uint32), at),
-                    d=d.astype(np.uint32), row=rows[own], key=keys[own], null=nulls[own],
+                    d=d.astype(np.uint32), g=rows[:1], row=rows[own], key=keys[own], null=nulls[own],
                 )
                 yield pa.RecordBatch.from_arrays([pa.array([p], pa.int32()), pa.array([blob], pa.binary())], names=["part", "blob"])
 
@@ -189,6 +189,7 @@ def bigrams(docs: DataFrame, parts: int, heavy: np.ndarray) -> DataFrame:
                 if size > BUFFER:
                     yield from flush()
                     held, size, docs_held = [], 0, 0
+                    X.release()
         if held:
             yield from flush()
 
@@ -243,7 +244,7 @@ def katz_scores(docs: DataFrame, train, text: str = "text", key: str = "doc_id",
     Other columns are ignored, whatever their names.
     """
     spark = docs.sparkSession
-    parts = parts or max(2, parts_of(spark) // 2)
+    parts = parts or max(2, parts_of(spark))
     src = docs.select(F.monotonically_increasing_id().alias("_row"), F.col(key).cast("long").alias("_key"), F.col(text).alias("_text"), F.coalesce(train, F.lit(False)).alias("_train"))
     table = saved(unigrams(src, parts))
     total = table.agg(F.coalesce(F.sum("v"), F.lit(0)).alias("v"), F.coalesce(F.sum("n"), F.lit(0)).alias("n"), *[F.coalesce(F.sum(F.get("r", F.lit(i))), F.lit(0)).alias(f"r{i}") for i in range(K + 2)]).first()
@@ -344,15 +345,29 @@ def katz_scores(docs: DataFrame, train, text: str = "text", key: str = "doc_id",
             pair = np.repeat(place[at : at + m], x["n"])
             at += m
             docs_, z = x["d"], len(x["row"])
-            out.append(pa.table({
-                "_row": pa.array(x["row"], pa.int64()), "_key": pa.array(x["key"], pa.int64(), mask=x["null"]), "n": pa.array(np.bincount(docs_, minlength=z), pa.int64()),
-                "known": pa.array(np.bincount(docs_, weights=count[pair] > 0, minlength=z).astype(np.int64), pa.int64()),
-                "base": pa.array(np.bincount(docs_, weights=base[pair], minlength=z), pa.float64()), "logp": pa.array(np.bincount(docs_, weights=logp[pair], minlength=z), pa.float64()),
-            }))
-        return pa.concat_tables(out)
-
-    rows = dealt.groupBy("part").cogroup(told_all.groupBy("part")).applyInArrow(score, "_row bigint, _key bigint, n bigint, known bigint, base double, logp double")
-    sums = rows.groupBy("_row", "_key").agg(F.sum("n").alias("n_tokens"), F.sum("known").alias("n_known"), F.sum("base").alias("base_score"), F.sum("logp").alias("score"))
+            blob = X.pack(
+                row=x["row"], key=x["key"], null=x["null"], n=np.bincount(docs_, minlength=z).astype(np.int32), known=np.bincount(docs_, weights=count[pair] > 0, minlength=z).astype(np.int32),
+                base=np.bincount(docs_, weights=base[pair], minlength=z), logp=np.bincount(docs_, weights=logp[pair], minlength=z),
+            )
+            out.append((int(x["g"][0]), blob))
+        X.release()
+        return pa.table({"g": pa.array([g for g, _ in out], pa.int64()), "blob": pa.array([b for _, b in out], pa.binary())})
+
+    def add(batches):  # the parts' sums of a buffer's documents
+        by: dict[int, list] = {}
+        for b in batches:
+            for g, blob in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                by.setdefault(g, []).append(blob)
+        for blobs in by.values():
+            got = [X.unpack(b.as_buffer()) for b in blobs]
+            rows = np.concatenate([x["row"] for x in got])
+            _, one, at = np.unique(rows, return_index=True, return_inverse=True)
+            total = lambda c: np.bincount(at, weights=np.concatenate([x[c] for x in got]), minlength=len(one))  # noqa: B023,E731
+            nulls, keys = np.concatenate([x["null"] for x in got])[one], np.concatenate([x["key"] for x in got])[one]
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64(), mask=nulls.astype(bool)), pa.array(total("n").astype(np.int64)), pa.array(total("known").astype(np.int64)), pa.array(total("base")), pa.array(total("logp"))], names=["_key", "n_tokens", "n_known", "base_score", "score"])
+
+    rows = dealt.groupBy("part").cogroup(told_all.groupBy("part")).applyInArrow(score, "g bigint, blob binary")
+    sums = rows.repartition(parts, "g").mapInArrow(add, "_key bigint, n_tokens bigint, n_known bigint, base_score double, score double")
     return sums.select(F.col("_key").alias(key), "n_tokens", "n_known", F.lit(uni.n).cast("long").alias("train_tokens"), "base_score", "score")
 
 
