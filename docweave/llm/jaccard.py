@@ -29,6 +29,7 @@ from docweave.llm.katz import MASK, frequent_counts, unigrams
 CELL = 2000  # larger cells become one cluster without a look inside
 CHUNK = 1500  # nodes of a cluster that meet in one task
 FAN = 16
+BLOOM = 1 << 24  # bits
 
 
 def gram_sets(data: np.ndarray, offs: np.ndarray, k: int):
@@ -353,21 +354,34 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
     sizes = clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("m"), F.min_by("node", F.xxhash64("node")).alias("pivot"))
     member = saved(clusters.join(sizes, "cluster").join(nodes.select("node", "_key"), "node").select("node", F.xxhash64("_key").alias("_h"), "cluster", "m", "pivot"))
 
-    def whole(batches):
-        for b in batches:
-            data, offs = X.column_bytes(b.column(b.schema.get_field_index("_text")))
-            node = b.column(b.schema.get_field_index("node")).to_numpy()
-            for i, j in X.chunks(offs):
-                _, g, _, _, _, n, cut, digest = sets_of(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i])
-                for d in range(j - i):
-                    if digest[d].astype(np.int64) == node[i + d]:
-                        own = g[cut[d] : cut[d + 1]] >> np.uint64(16)
-                        rest = [b.column(b.schema.get_field_index(c)).slice(i + d, 1) for c in ("node", "cluster", "m", "pivot")]
-                        yield pa.RecordBatch.from_arrays([*rest, pa.array([X.pack(g=np.sort(own))], pa.binary())], names=["node", "cluster", "m", "pivot", "members"])
-
     def sets(of: DataFrame) -> DataFrame:
-        found = src.select(F.xxhash64("_key").alias("_h"), "_text").join(of, "_h").drop("_h")
-        return found.mapInArrow(whole, "node bigint, cluster bigint, m bigint, pivot bigint, members binary")
+        """Whole sets of the nodes of ``of``.
+
+        A bitmap of BLOOM bits, the same at any size, tells most other texts
+        apart before the join; whom it lets pass wrongly the join drops.
+        """
+        bit = F.pmod(F.col("node").bitwiseXOR(F.col("_h")), F.lit(BLOOM))
+        marks = of.select(bit.alias("b")).groupBy(F.shiftright("b", 15).alias("k")).agg(F.bitmap_construct_agg(F.col("b").bitwiseAND(F.lit(32767))).alias("m")).collect()
+        bloom = np.zeros(BLOOM // 8, np.uint8)
+        for r in marks:  # at most BLOOM / 8 bytes in all
+            bloom[r["k"] * 4096 : (r["k"] + 1) * 4096] = np.frombuffer(r["m"], np.uint8)
+        shared = spark.sparkContext.broadcast(bloom)
+
+        def whole(batches):
+            for b in batches:
+                data, offs = X.column_bytes(b.column(1))
+                for i, j in X.chunks(offs):
+                    _, g, _, _, _, n, cut, digest = sets_of(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i])
+                    digest, h = digest.astype(np.int64), b.column(0).slice(i, j - i).to_numpy()
+                    k = (digest ^ h) % BLOOM
+                    pick = np.flatnonzero((n > 0) & (shared.value[k >> 3] >> (k & 7) & 1 > 0))
+                    for lo in range(0, len(pick), 500):
+                        p = pick[lo : lo + 500]
+                        own = [X.pack(g=np.sort(g[cut[d] : cut[d + 1]] >> np.uint64(16))) for d in p]
+                        yield pa.RecordBatch.from_arrays([pa.array(digest[p]), pa.array(h[p]), pa.array(own, pa.binary())], names=["node", "_h", "members"])
+
+        found = src.select(F.xxhash64("_key").alias("_h"), "_text").mapInArrow(whole, "node bigint, _h bigint, members binary")
+        return found.join(of, ["node", "_h"]).drop("_h")
 
     def link(batches):
         for t in _cells(batches, "cell"):
