@@ -28,6 +28,7 @@ from docweave.llm.katz import MASK, frequent_counts, unigrams
 
 CELL = 2000  # larger cells become one cluster without a look inside
 CHUNK = 1500  # nodes of a cluster that meet in one task
+MEMBERS = 2_000_000  # about the members of their sets, unless one set has more
 FAN = 16
 BLOOM = 1 << 24  # bits
 
@@ -351,8 +352,11 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
     small = cells.where(F.col("m") <= CELL).join(nodes.select("node", "n", "sig"), "node").select("cell", "node", "n", "sig")
     near = small.repartition(parts, "cell").sortWithinPartitions("cell").mapInArrow(cluster, "a bigint, b bigint")
     clusters = components(near.union(stars)).select("node", F.col("component").alias("cluster"))
-    sizes = clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("m"), F.min_by("node", F.xxhash64("node")).alias("pivot"))
-    member = saved(clusters.join(sizes, "cluster").join(nodes.select("node", "_key"), "node").select("node", F.xxhash64("_key").alias("_h"), "cluster", "m", "pivot"))
+    member = saved(clusters.join(nodes.select("node", "_key", "n"), "node").select("node", F.xxhash64("_key").alias("_h"), "cluster", "n"))
+    # the number of chunks follows the nodes and the members of their sets
+    split = lambda m, n: F.ceil(F.greatest(m / CHUNK, n / MEMBERS))
+    sizes = member.groupBy("cluster").agg(split(F.count(F.lit(1)), F.sum("n")).alias("chunks"), F.min_by("node", F.xxhash64("node")).alias("pivot"))
+    member = saved(member.join(sizes, "cluster"))
 
     def sets(of: DataFrame) -> DataFrame:
         """Whole sets of the nodes of ``of``.
@@ -421,11 +425,14 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
                         a.append(node[x])
                         b.append(node[y])
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+            if len(once) > CHUNK // 4:
+                t = own = bits = None
+                X.release()
 
     def links_of(rows: DataFrame) -> DataFrame:  # side 0: all pairs; sides 1 and 2: pairs across
         return rows.repartition(parts, "cell").sortWithinPartitions("cell").mapInArrow(link, "a bigint, b bigint")
 
-    chunks = F.ceil(F.col("m") / CHUNK)
+    chunks = F.col("chunks")
     chunk = F.pmod(F.xxhash64("node", F.lit(7)), chunks)
     cell = lambda *c: F.xxhash64(*c)
     common = ["node", "members"]
@@ -439,12 +446,14 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
         comp = components(found)
         known = wide.join(comp, "node", "left").withColumn("comp", F.coalesce("component", "node")).drop("component")
         known = saved(known)
-        by = known.groupBy("cluster", "comp").agg(F.count(F.lit(1)).alias("c"))
-        main = by.groupBy("cluster").agg(F.max_by("comp", F.struct("c", "comp")).alias("main"), (F.sum("c") - F.max("c")).alias("rest"))
-        left = known.join(main.where("rest > 0"), "cluster").withColumn("rest", F.col("rest").cast("long"))
-        full = sets(left.select("node", "_h", "cluster", "m", "pivot")).select("node", "members")
+        by = known.groupBy("cluster", "comp").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("s"))
+        top = F.struct("c", "comp", "s")
+        main = by.groupBy("cluster").agg(F.max(top).alias("t"), F.sum("c").alias("c"), F.sum("s").alias("s"))
+        main = main.where("c > t.c").select("cluster", F.col("t.comp").alias("main"), split(F.col("c") - F.col("t.c"), F.col("s") - F.col("t.s")).alias("rest_chunks"))
+        left = known.join(main, "cluster")
+        full = sets(left.select("node", "_h")).select("node", "members")
         known = full.join(left, "node")
-        rest_chunks = F.ceil(F.col("rest") / CHUNK)
+        rest_chunks = F.col("rest_chunks")
         rest_chunk = F.pmod(F.xxhash64("node", F.lit(9)), rest_chunks)
         inside = known.where("comp = main").withColumn("_j", every(rest_chunks)).select(*common, cell("cluster", chunk, "_j", F.lit(1)).alias("cell"), "comp", F.lit(1).alias("side"))
         outside = known.where("comp <> main").withColumn("_i", every(chunks)).select(*common, cell("cluster", "_i", rest_chunk, F.lit(1)).alias("cell"), "comp", F.lit(2).alias("side"))
