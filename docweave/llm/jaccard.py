@@ -251,7 +251,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
     src = docs.select(F.col(key).cast("long").alias("_key"), F.col(text).alias("_text"))
     counts = saved(unigrams(src.withColumn("_train", F.lit(True)), max(2, parts // 2)))
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
-    often, seen = frequent_counts(counts, max(100, total // 4096))  # at most 4096 words, or a hundredth of a small corpus
+    often, seen = frequent_counts(counts, max(100, total // 65536))  # at most 65536 words, or a hundredth of a small corpus
     rank = np.log2(np.maximum(seen, 1)).astype(np.int64) + 1
 
     def sets_of(data, offs):
