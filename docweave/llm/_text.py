@@ -42,13 +42,18 @@ def column_bytes(arr) -> tuple[np.ndarray, np.ndarray]:
     return raw[offs[0] : offs[-1]], offs - offs[0]
 
 
-def chunks(offs: np.ndarray, most: int = 2_000_000):
-    """Ranges of whole texts holding about ``most`` bytes each."""
+def chunks(offs: np.ndarray, most: int = 1_000_000):
+    """Ranges of whole texts holding about ``most`` bytes each; afterwards freed memory goes back.
+
+    Workers outlive their stage, so what one stage held must not stay with the next.
+    """
     i, n = 0, len(offs) - 1
     while i < n:
         j = max(i + 1, int(np.searchsorted(offs, offs[i] + most, "right")) - 1)
         yield i, min(j, n)
         i = min(j, n)
+    if n and offs[-1] > most:
+        release()
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:

@@ -161,7 +161,7 @@ def match_benchmark(docs: DataFrame, bench: DataFrame, text: str = "text", windo
                 data, offs = X.column_bytes(b.column(at))
                 old_hit, old_items, old_long = b.column(k + 1).to_pylist(), b.column(k + 2).to_pylist(), b.column(k + 3).to_pylist()
                 n, hits, items, longest = [], [], [], []
-                for i, j in X.chunks(offs, 4_000_000):
+                for i, j in X.chunks(offs, 2_000_000):
                     hit, pairs, lm, first, _, _ = chunk_matches(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i], block)
                     n += np.diff(first).tolist()
                     by = [[] for _ in range(j - i)]
