@@ -13,6 +13,19 @@ def parts_of(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+def small_batches(spark: SparkSession, most: int = 4 << 20) -> None:
+    """Arrow batches of at most ``most`` bytes, or of one row, from now on; a lower setting stays.
+
+    The default of 64 MB is held several times over by the JVM, and again by
+    the Python worker, of every task.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = str(spark.conf.get(name, "64m")).lower().rstrip("b")
+    size = int(now[:-1]) << {"k": 10, "m": 20, "g": 30}[now[-1]] if now[-1] in "kmg" else int(now)
+    if size > most:
+        spark.conf.set(name, str(most))
+
+
 def saved(df: DataFrame) -> DataFrame:
     """The same rows from reliable storage, in the cluster's checkpoint folder; lineage ends here.
 

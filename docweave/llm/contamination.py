@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docweave.llm import _text as X
+from docweave.llm._spark import small_batches
 
 #: Bytes of benchmark text in one broadcast block.
 BLOCK_BYTES = 8_000_000
@@ -145,6 +146,7 @@ def match_benchmark(docs: DataFrame, bench: DataFrame, text: str = "text", windo
     on either side gives no hits.  Columns of ``docs`` named like an added one
     are replaced; ``bench`` may have any further columns.
     """
+    small_batches(docs.sparkSession)
     cols = [c for c in docs.columns if c.lower() not in ("n_words", "n_hit", "items", "longest_match", "hit_spans")]
     plain = docs.select(*[docs[c] for c in cols])
     state = T.StructType([*plain.schema.fields, T.StructField("_n", T.LongType()), T.StructField("_hit", T.BinaryType()), T.StructField("_items", T.ArrayType(T.StringType())), T.StructField("_long", T.LongType())])

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docweave.llm import _text as X
-from docweave.llm._spark import components, parts_of, saved
+from docweave.llm._spark import components, parts_of, saved, small_batches
 from docweave.llm.katz import MASK, frequent_counts, unigrams
 
 CELL = 2000  # larger cells become one cluster without a look inside
@@ -247,6 +247,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
     empty table gives none.  Other columns are ignored, whatever their names.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     parts = parts_of(spark)
     src = docs.select(F.col(key).cast("long").alias("_key"), F.col(text).alias("_text"))
     counts = saved(unigrams(src.withColumn("_train", F.lit(True)), max(2, parts // 2)))

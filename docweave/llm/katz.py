@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from docweave.llm import _learn as L
 from docweave.llm import _text as X
-from docweave.llm._spark import parts_of, saved
+from docweave.llm._spark import parts_of, saved, small_batches
 
 K = 5  # counts above K are not discounted
 MASK = np.uint64((1 << 56) - 1)  # hashes are cut to 7 bytes
@@ -244,6 +244,7 @@ def katz_scores(docs: DataFrame, train, text: str = "text", key: str = "doc_id",
     Other columns are ignored, whatever their names.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     parts = parts or max(2, parts_of(spark))
     src = docs.select(F.monotonically_increasing_id().alias("_row"), F.col(key).cast("long").alias("_key"), F.col(text).alias("_text"), F.coalesce(train, F.lit(False)).alias("_train"))
     table = saved(unigrams(src, parts))

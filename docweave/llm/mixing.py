@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docweave.llm import _text as X
+from docweave.llm._spark import small_batches
 
 
 def targets(sizes: list[int], weights: list[float], total: float, most: float) -> list[float]:
@@ -72,6 +73,7 @@ def sainte_lague(votes: np.ndarray, seats: int, most: np.ndarray | None = None)
 
 def count_words(df: DataFrame, text: str, out: str) -> DataFrame:
     """Append the number of white-space separated words; null texts have none."""
+    small_batches(df.sparkSession)
     cols = [c for c in df.columns if c != text]
     src = df.select(*cols, text)
 

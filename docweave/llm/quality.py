@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from docweave.llm import _learn as L
 from docweave.llm import _text as X
+from docweave.llm._spark import small_batches
 
 WORDS = 1 << 16
 BINS = 16
@@ -136,6 +137,7 @@ def score_quality(docs: DataFrame, model: dict | None, text: str = "text", out:
     0.5, and with one class only it is that class.  A clashing score column is
     replaced.
     """
+    small_batches(docs.sparkSession)
     cols = [c for c in docs.columns if c.lower() != out.lower()]
     plain = docs.select(*[docs[c] for c in cols])
     shared, at = docs.sparkSession.sparkContext.broadcast(model), cols.index(text)

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docweave.llm import _text as X
+from docweave.llm._spark import small_batches
 
 KINDS = ("assign", "access", "hex", "crf")
 ASSIGN = re.compile(r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -281,6 +282,29 @@ def crf_spans(data: np.ndarray, offs: np.ndarray, model: dict):
     return out
 
 
+def _found(texts: list, data: np.ndarray, offs: np.ndarray, model: dict | None) -> list[list[tuple[int, int, int]]]:
+    """For every text the sorted (start, kind, end) of patterns and decoded spans, in code points."""
+    rows = []
+    for i, j in X.chunks(offs, 500_000):
+        extra: dict[int, list] = {}
+        if model:
+            for d, s, e in crf_spans(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i], model):
+                extra.setdefault(d, []).append((s, e))
+        for d in range(i, j):
+            t = texts[d] or ""
+            found = base_spans(t)
+            if d - i in extra:
+                raw, o = t.encode(), int(offs[d] - offs[i])
+                base = list(found)
+                for s, e in extra[d - i]:
+                    s, e = (s - o, e - o) if len(raw) == len(t) else (len(raw[: s - o].decode()), len(raw[: e - o].decode()))
+                    if not any(s < y and x < e for x, _, y in base):
+                        found.append((s, 3, e))
+                found.sort()
+            rows.append(found)
+    return rows
+
+
 def find_secrets(docs: DataFrame, text: str = "text", key: str = "doc_id", sample_rows: int = 1500, model: dict | None = None) -> DataFrame:
     """Append ``secrets``, an array of (kind, start, end) in code points, end exclusive.
 
@@ -289,6 +313,7 @@ def find_secrets(docs: DataFrame, text: str = "text", key: str = "doc_id", sampl
     are scanned alike; an empty table gives an empty one; a clashing column
     ``secrets`` is replaced.
     """
+    small_batches(docs.sparkSession)
     cols = [c for c in docs.columns if c.lower() != "secrets"]
     plain = docs.select(*[docs[c] for c in cols])
     model = model or fit(docs, text, key, sample_rows)
@@ -296,54 +321,40 @@ def find_secrets(docs: DataFrame, text: str = "text", key: str = "doc_id", sampl
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
     def scan(batches):
-        model = shared.value
         for b in batches:
-            data, offs = X.column_bytes(b.column(at))
-            texts, rows = b.column(at).to_pylist(), []
-            for i, j in X.chunks(offs, 1_500_000):
-                extra: dict[int, list] = {}
-                if model:
-                    for d, s, e in crf_spans(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i], model):
-                        extra.setdefault(d, []).append((s, e))
-                for d in range(i, j):
-                    t = texts[d] or ""
-                    found = base_spans(t)
-                    if d - i in extra:
-                        raw, o = t.encode(), int(offs[d] - offs[i])
-                        base = list(found)
-                        for s, e in extra[d - i]:
-                            s, e = (s - o, e - o) if len(raw) == len(t) else (len(raw[: s - o].decode()), len(raw[: e - o].decode()))
-                            if not any(s < y and x < e for x, _, y in base):
-                                found.append((s, 3, e))
-                        found.sort()
-                    rows.append([{"kind": KINDS[k], "start": s, "end": e} for s, k, e in found])
+            found = _found(b.column(at).to_pylist(), *X.column_bytes(b.column(at)), shared.value)
+            rows = [[{"kind": KINDS[k], "start": s, "end": e} for s, k, e in x] for x in found]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(rows, kind)], names=[*b.schema.names, "secrets"])
 
     span = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
     return plain.mapInArrow(scan, T.StructType([*plain.schema.fields, T.StructField("secrets", span)]))
 
 
-def redact_secrets(docs: DataFrame, text: str = "text", mark: str = "[SECRET]", **options) -> DataFrame:
-    """Replace every found span of the text by ``mark``; spans that touch or overlap become one."""
-    found = find_secrets(docs, text, **options)
-    cols = docs.columns
+def redact_secrets(docs: DataFrame, text: str = "text", mark: str = "[SECRET]", key: str = "doc_id", sample_rows: int = 1500, model: dict | None = None) -> DataFrame:
+    """Replace every span that ``find_secrets`` finds by ``mark``; spans that touch or overlap become one.
+
+    One pass finds and replaces, so a task needs one Python worker.
+    """
+    small_batches(docs.sparkSession)
+    model = model or fit(docs, text, key, sample_rows)
+    shared, at, cols = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text), docs.columns
 
     def run(batches):
         for b in batches:
-            at, out = b.schema.get_field_index(text), []
-            for t, spans in zip(b.column(at).to_pylist(), b.column(b.schema.get_field_index("secrets")).to_pylist(), strict=True):
+            texts, out = b.column(at).to_pylist(), []
+            for t, spans in zip(texts, _found(texts, *X.column_bytes(b.column(at)), shared.value), strict=True):
                 if t is None or not spans:
                     out.append(t)
                     continue
                 parts, upto = [], 0
-                for s in sorted((x["start"], x["end"]) for x in spans):
+                for s in sorted((x, y) for x, _, y in spans):
                     if s[0] > upto or not upto and s[0] == 0:
                         parts += [t[upto : s[0]], mark]
                     upto = max(upto, s[1])
                 out.append("".join([*parts, t[upto:]]))
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string()) if c == text else b.column(b.schema.get_field_index(c)) for c in cols], names=cols)
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string()) if k == at else c for k, c in enumerate(b.columns)], names=cols)
 
-    return found.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(run, docs.schema)
 
 
 def op4_secret_scan(spark, sf_dir: str) -> DataFrame:
