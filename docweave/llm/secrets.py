@@ -9,6 +9,7 @@ the result.  There is no shuffle.
 
 from __future__ import annotations
 
+import heapq
 import re
 
 import numpy as np
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docweave.llm import _text as X
-from docweave.llm._spark import small_batches
+from docweave.llm._spark import saved, small_batches
 
 KINDS = ("assign", "access", "hex", "crf")
 ASSIGN = re.compile(r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -35,6 +36,8 @@ O, B, I = 0, 1, 2  # noqa: E741
 NAMES = ("password", "passwd", "secret", "token", "api_key", "apikey", "key", "auth", "bearer", "credential", "private", "access", "pwd")
 _NAMES = np.sort(X.words(*X.column_bytes(pa.array(NAMES)), _TOKEN)[0])
 SLOTS, WIDTH = 14, 16
+CLEAN = 200  # texts without a hit that the sample holds at least
+HIDDEN = 0.3  # share of the features hidden in training
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -121,10 +124,14 @@ def features(data: np.ndarray, offs: np.ndarray):
 
 
 def tags(starts: np.ndarray, ends: np.ndarray, spans: list[tuple[int, int]]) -> np.ndarray:
-    """Begin/inside/outside tags of tokens that lie inside the byte spans."""
+    """Begin/inside/outside tags of tokens that lie at least half inside the byte spans."""
     y = np.zeros(len(starts), np.int8)
     for s, e in spans:
-        i, j = np.searchsorted(starts, s), np.searchsorted(ends, e, "right")
+        i, j = np.searchsorted(ends, s, "right"), np.searchsorted(starts, e)
+        while i < j and 2 * (min(ends[i], e) - max(starts[i], s)) < ends[i] - starts[i]:
+            i += 1
+        while i < j and 2 * (min(ends[j - 1], e) - max(starts[j - 1], s)) < ends[j - 1] - starts[j - 1]:
+            j -= 1
         if j > i:
             y[i:j] = I
             y[i] = B
@@ -220,43 +227,71 @@ def viterbi(u: np.ndarray, t: np.ndarray, begins: np.ndarray) -> np.ndarray:
     return best
 
 
+def windows(t: str, spans: list[tuple[int, int, int]], window: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(ids, tags) around the first two secrets and around one other token of a text."""
+    raw = t.encode()
+    ids, starts, ends, _ = features(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+    n = len(starts)
+    if not n:
+        return []
+    at = []
+    for s, k, e in spans:
+        m = ASSIGN.match(t, s) if k == 0 else None
+        at.append((len(t[: m.start(1) if m else s].encode()), len(t[:e].encode())))
+    y = tags(starts, ends, at)
+    out = []
+    for c in np.flatnonzero(y == B)[:2].tolist() + [len(raw) * 7919 % n]:
+        i = max(0, min(c - window // 2, n - window))
+        out.append((ids[i : i + window], y[i : i + window]))
+    return out
+
+
 def fit(docs: DataFrame, text: str = "text", key: str = "doc_id", sample_rows: int = 1500, window: int = 16) -> dict | None:
-    """Train on windows of at most about ``sample_rows`` texts (a documented bound), tagged by the patterns."""
-    total = docs.count()
-    if not total:
-        return None
-    pick = docs.where(F.pmod(F.xxhash64(F.lit(11), F.coalesce(F.col(key).cast("string"), F.lit(""))), F.lit(1_000_000)) < F.lit(int(1e6 * min(1.0, sample_rows / total)) + 1)).select(F.col(text).alias("text"))
+    """Train on windows of at most ``sample_rows`` texts (a documented bound), tagged by the patterns.
+
+    Half of the bound is for texts where a pattern hits, wherever they are in
+    the table, and as many texts without a hit go with them, CLEAN at least;
+    fewer hits than that are repeated, so that they aren't outweighed.
+    """
+    half = max(1, sample_rows // 2)
+    rows = docs.select(F.col(text).alias("text"), F.xxhash64(F.lit(11), F.coalesce(F.col(key).cast("string"), F.lit("")), F.col(text)).alias("o"))
 
     def cut(batches):
+        least: tuple[list, list] = ([], [])  # the smallest orders met, negated, of clean texts and of hits
         for b in batches:
-            for t in b.column(0).to_pylist():
-                raw = (t or "").encode()
-                data, offs = np.frombuffer(raw, np.uint8), np.array([0, len(raw)])
-                ids, starts, ends, first = features(data, offs)
-                n = len(starts)
-                if not n:
+            found = []
+            for t, o in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                spans = base_spans(t or "")
+                side = least[bool(spans)]
+                if not t or len(side) >= half and o >= -side[0]:
+                    continue  # ``half`` texts of its kind go before it
+                got = windows(t, spans, window)
+                if not got or spans and not any((y == B).any() for _, y in got):
                     continue
-                spans = []
-                for s, k, e in base_spans(t):
-                    m = ASSIGN.match(t, s) if k == 0 else None
-                    s = m.start(1) if m else s
-                    spans.append((len(t[:s].encode()), len(t[:e].encode())))
-                y = tags(starts, ends, spans)
-                at = np.flatnonzero(y == B)[:2].tolist() + [len(raw) * 7919 % n]
-                for c in at:
-                    i = max(0, min(c - window // 2, n - window))
-                    j = min(n, i + window)
-                    yield pa.RecordBatch.from_arrays([pa.array([X.pack(ids=ids[i:j].ravel(), y=y[i:j])], pa.binary())], names=["b"])
-
-    rows = [X.unpack(r["b"]) for r in pick.mapInArrow(cut, "b binary").collect()]
-    if not any((r["y"] > 0).any() for r in rows):
+                (heapq.heappush if len(side) < half else heapq.heapreplace)(side, -o)
+                found.append((bool(spans), o, X.pack(n=np.array([len(y) for _, y in got]), ids=np.concatenate([i.ravel() for i, _ in got]), y=np.concatenate([y for _, y in got]))))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*found, strict=True), (pa.bool_(), pa.int64(), pa.binary()), strict=True)], names=["hit", "o", "b"])
+
+    # few rows leave each task, so the second kind is not worth a second scan
+    cuts = saved(rows.mapInArrow(cut, "hit boolean, o bigint, b binary"))
+    hits = cuts.where("hit").orderBy("o", "b").limit(half).collect()
+    if not hits:
         return None
-    rows.sort(key=lambda r: r["ids"].tobytes())
-    ids = np.zeros((len(rows), window, SLOTS), np.int16)
-    y, mask = np.zeros((len(rows), window), np.int8), np.zeros((len(rows), window), bool)
-    for i, r in enumerate(rows):
-        k = len(r["y"])
-        ids[i, :k], y[i, :k], mask[i, :k] = r["ids"].reshape(k, SLOTS), r["y"], True
+    clean = cuts.where("not hit").orderBy("o", "b").limit(min(half, max(len(hits), CLEAN))).collect()
+    parts = []
+    for r in hits * max(1, round(len(clean) / len(hits))) + clean:
+        x = X.unpack(r["b"])
+        at = np.cumsum(x["n"])[:-1]
+        parts += zip(np.split(x["ids"].reshape(-1, SLOTS), at), np.split(x["y"], at), strict=True)
+    ids = np.zeros((len(parts), window, SLOTS), np.int16)
+    y, mask = np.zeros((len(parts), window), np.int8), np.zeros((len(parts), window), bool)
+    for i, (x, t) in enumerate(parts):
+        ids[i, : len(t)], y[i, : len(t)], mask[i, : len(t)] = x, t, True
+    # some features are hidden (id 1, which no token has), so that a token need not look like a pattern's in all of them
+    hide = np.random.Generator(np.random.PCG64(5)).random(ids.shape) < HIDDEN
+    hide[..., 0] = False
+    ids[hide] = 1
     return train(ids, y, mask)
 
 

@@ -162,6 +162,20 @@ def test_secrets(spark):
     assert secrets.find_secrets(empty(spark)).count() == 0
 
 
+def test_one_known_secret_keeps_the_crf_on(spark):
+    rows = [(i, f"plain prose number {i} without any hidden thing in it at all, as far as one can see") for i in range(12000)]
+    sha = lambda x: hashlib.sha1(str(x).encode()).hexdigest()
+    rows.append((20000, f'some words and more token = "{sha(1)}" then other words follow here'))
+    unseen = {30000 + i: f'other words and then auth = "{sha(i).upper()}" and some words follow' for i in range(5)}
+    df = spark.createDataFrame([*rows, *unseen.items()], "doc_id long, text string")
+    for part in (2, 9):
+        got = {r["doc_id"]: r["secrets"] for r in secrets.find_secrets(df.repartition(part)).where("size(secrets) > 0").collect()}
+        assert set(got) == {20000, *unseen}
+        for i, t in unseen.items():
+            assert not secrets.base_spans(t)
+            assert [(x["kind"], t[x["start"] : x["end"]]) for x in got[i]] == [("crf", sha(i - 30000).upper())]
+
+
 def test_viterbi_pruning_is_exact():
     rng = np.random.default_rng(1)
     t = rng.normal(size=(3, 3))
