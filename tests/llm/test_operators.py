@@ -263,6 +263,14 @@ def test_restore():
     assert [toxicity.restore(w, lm) for w in ("m0r0n", "$tup1d", "stuuuupid", "plain")] == ["moron", "stupid", "stupid", "plain"]
 
 
+def test_restore_keeps_double_letters_and_picks_known_words():
+    lexicon = toxicity.Lexicon({"worthless": 5, "clown": 5, "loser": 5, "idiot": 5, "a": 300, "the": 400})
+    words_ = {"w0rthless": "worthless", "worthle$$": "worthless", "w0rthle55": "worthless", "worthlesss": "worthless", "c1own": "clown", "1oser": "loser", "id1oooot": "idiot"}
+    for lm in (toxicity.char_model(np.ones((28, 28))), toxicity.char_model(np.ones((28, 28, 28)))):
+        assert {w: toxicity.restore(w, lm, lexicon) for w in words_} == words_
+        assert toxicity.restore("gr0ss", lm) == "gross"  # no known word
+
+
 @pytest.mark.parametrize(("by_words", "size"), [(True, 50), (False, 50), (True, 12)])
 def test_repeats(spark, corpus, docs, by_words, size):
     first, syms = {}, [words(t, False) if by_words else (t or "").encode() for _, t in corpus]
