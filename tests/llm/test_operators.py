@@ -271,6 +271,16 @@ def test_restore_keeps_double_letters_and_picks_known_words():
         assert toxicity.restore("gr0ss", lm) == "gross"  # no known word
 
 
+def test_spaced_letters_are_split_at_known_words():
+    lexicon, lm = toxicity.Lexicon({"stupid": 5, "idiot": 5, "a": 300, "the": 400}), toxicity.char_model(np.ones((28, 28, 28)))
+    texts = ["you are a s t u p i d man", "s t u p i d  i d i o t", "i d i o t a", "$ t u p i d", "$-7-u-p-!-d", "see s t u p i d!", "s t", "u p i d", "", "3 | 4 | 5", "plain"]
+    data, offs = toxicity.X.column_bytes(toxicity.pa.array(texts))
+    doc, got = toxicity.word_features(data, offs, lm, {}, lexicon)
+    of = {w: int(toxicity.X.words(*toxicity.X.column_bytes(toxicity.pa.array([w])), toxicity._LETTER)[0][0] % np.uint64(toxicity.BUCKETS)) for w in ("stupid", "idiot")}
+    has = [{w for w, h in of.items() if h in got[doc == i]} for i in range(len(texts))]
+    assert has == [{"stupid"}, {"stupid", "idiot"}, {"idiot"}, {"stupid"}, {"stupid"}, {"stupid"}, set(), set(), set(), set(), set()]
+
+
 @pytest.mark.parametrize(("by_words", "size"), [(True, 50), (False, 50), (True, 12)])
 def test_repeats(spark, corpus, docs, by_words, size):
     first, syms = {}, [words(t, False) if by_words else (t or "").encode() for _, t in corpus]
