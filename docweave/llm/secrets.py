@@ -333,7 +333,11 @@ def _found(texts: list, data: np.ndarray, offs: np.ndarray, model: dict | None)
                 base = list(found)
                 for s, e in extra[d - i]:
                     s, e = (s - o, e - o) if len(raw) == len(t) else (len(raw[: s - o].decode()), len(raw[: e - o].decode()))
-                    if not any(s < y and x < e for x, _, y in base):
+                    # spans that reach beyond the patterns' stay whole
+                    upto = s
+                    for x, _, y in base:  # sorted by start
+                        upto = max(upto, y) if x <= upto else upto
+                    if upto < e:
                         found.append((s, 3, e))
                 found.sort()
             rows.append(found)
@@ -344,7 +348,7 @@ def find_secrets(docs: DataFrame, text: str = "text", key: str = "doc_id", sampl
     """Append ``secrets``, an array of (kind, start, end) in code points, end exclusive.
 
     Pattern matches always stay; a decoded span is added as kind ``crf`` where
-    it overlaps none of them.  Null and empty texts have no spans; repeated rows
+    it reaches beyond them.  Null and empty texts have no spans; repeated rows
     are scanned alike; an empty table gives an empty one; a clashing column
     ``secrets`` is replaced.
     """

@@ -176,6 +176,14 @@ def test_one_known_secret_keeps_the_crf_on(spark):
             assert [(x["kind"], t[x["start"] : x["end"]]) for x in got[i]] == [("crf", sha(i - 30000).upper())]
 
 
+def test_decoded_spans_reach_beyond_patterns(monkeypatch):
+    texts = ["é 9f86d081884c7d65QRSTUVWXYZ end", "9f86d081884c7d659f86d081884c7d65 end"]
+    data, offs = secrets.X.column_bytes(secrets.pa.array(texts))
+    whole = [(0, 3, 29), (1, int(offs[1]), int(offs[1]) + 32)]
+    monkeypatch.setattr(secrets, "crf_spans", lambda *_: whole)
+    assert secrets._found(texts, data, offs, {"w": 1}) == [[(2, 2, 18), (2, 3, 28)], [(0, 2, 32)]]
+
+
 def test_viterbi_pruning_is_exact():
     rng = np.random.default_rng(1)
     t = rng.normal(size=(3, 3))
