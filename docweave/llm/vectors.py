@@ -51,8 +51,8 @@ def near_vectors(vectors: DataFrame, least: float = 0.9, key: str = "vec_id", co
     """One row per input row: key, n_links, component_id, kept (the key names its component).
 
     Rows link at a cosine of ``least`` or more, computed in double precision.
-    Null, empty and zero vectors, those with null or non-finite components and
-    those of another length than most of the sample link with nothing.  Equal
+    Null, empty and zero vectors and those with null or non-finite components
+    link with nothing; vectors of each length link among themselves.  Equal
     vectors and repeated rows link with each other; a null key is linked but
     names no component unless it has no other, and is then kept.  An empty
     table gives none.  Other columns are ignored, whatever their names.
@@ -63,19 +63,22 @@ def near_vectors(vectors: DataFrame, least: float = 0.9, key: str = "vec_id", co
     fine = F.col(column).isNotNull() & ~F.exists(e, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) & F.exists(e, lambda x: x != 0)
     rows = vectors.select(F.col(key).cast("long").alias("_key"), F.when(F.coalesce(fine, F.lit(False)), e).alias("_v")).withColumn("node", F.when(F.col("_v").isNotNull(), F.xxhash64("_v", F.lit(5))))
     nodes = saved(rows.where("node is not null").groupBy("node").agg(F.min("_key").alias("name"), F.count(F.lit(1)).alias("w"), F.first("_v").alias("v")))
-    # the bound of the sample is ``sample_rows``
-    sample = nodes.orderBy(F.xxhash64("node", F.lit(1)), "node").limit(sample_rows).select("v").toPandas()["v"]
-    dims = [len(v) for v in sample]
+    # vectors of different lengths never link, so every length has an index of its own
+    sizes = {r["d"]: r["n"] for r in nodes.groupBy(F.size("v").alias("d")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").collect()}
     links = None
-    if dims:
-        d = max(set(dims), key=lambda x: (dims.count(x), x))
-        x = np.array([v for v in sample if len(v) == d], float)
+    for d in sorted(sizes):
+        own = nodes.where(F.size("v") == d)
+        # the bound of the sample is ``sample_rows``
+        sample = own.orderBy(F.xxhash64("node", F.lit(1)), "node").limit(sample_rows).select("v").toPandas()["v"]
+        x = np.array(list(sample), float)
         x /= np.linalg.norm(x, axis=1, keepdims=True)
-        mean = x.mean(0) if len(x) > 1 else np.zeros(d)
+        mean = x.mean(0)
         spread = float(np.sqrt(((x - mean) ** 2).sum(1).mean())) or 1.0
-        bits, tables = plan_tables(nodes.count(), spread, least)
+        bits, tables = plan_tables(sizes[d], spread, least)
         turn = np.concatenate(learn_rotations(x - mean, -(-bits * tables // d)), axis=1)[:, : bits * tables]
-        links = _links(nodes.where(F.size("v") == d), d, mean, turn, bits, tables, least, parts)
+        found = _links(own, d, mean, turn, bits, tables, least, parts)
+        found = saved(found) if len(sizes) > 1 else found
+        links = found if links is None else links.union(found)
     if links is None:
         found, comp = spark.createDataFrame([], "node bigint, links bigint"), spark.createDataFrame([], "node bigint, component bigint")
     else:

@@ -342,3 +342,17 @@ def test_near_vectors(spark, monkeypatch):
     assert all(got[i]["n_links"] <= s[i].sum() for i in range(len(x)))
     assert sum(got[i]["n_links"] for i in range(len(x))) >= 0.9 * s.sum()
     assert vectors.near_vectors(spark.createDataFrame([], "vec_id long, embedding array<double>")).count() == 0
+
+
+def test_near_vectors_of_several_lengths(spark):
+    rng = np.random.default_rng(8)
+    rows = []
+    for d in (16, 24):
+        base = rng.normal(size=(40, d))
+        x = np.concatenate([base, base[:20] + rng.normal(scale=0.02, size=(20, d))])
+        rows += [(1000 * d + i, v.tolist()) for i, v in enumerate(x)]
+    got = {r["vec_id"]: r for r in vectors.near_vectors(spark.createDataFrame([*rows, (1, [1.0, 2.0])], "vec_id long, embedding array<double>")).collect()}
+    assert got[1]["n_links"] == 0 and got[1]["kept"]
+    for d in (16, 24):
+        assert all(got[1000 * d + i]["n_links"] == (1 if i < 20 or i >= 40 else 0) for i in range(60))
+        assert all(got[1000 * d + 40 + i]["component_id"] == 1000 * d + i for i in range(20))
