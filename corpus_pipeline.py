@@ -47,7 +47,7 @@ STAGES = [
     ("mixing_sources", mixing_stage),
 ]
 
-ORACLE_SQL = None  # learnt and iterative stages; tests hold them against brute force
+ORACLE_SQL = None  # learnt and iterative stages; tests hold the operators below them against plain versions, not the stages or run()
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
