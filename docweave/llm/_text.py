@@ -7,16 +7,15 @@ of whole texts, so memory follows the chunk size and not the corpus.
 from __future__ import annotations
 
 import ctypes
-import sys
-from types import ModuleType
+import hashlib
 
 import numpy as np
 import pyarrow as pa
 
 U64 = np.uint64
-_R = pow(0x9E3779B97F4A7C15, 1, 1 << 64) | 1
-_R_INV = pow(_R, -1, 1 << 64)
-_BYTE = np.random.Generator(np.random.PCG64(20240229)).integers(0, 1 << 64, 256, dtype=np.uint64)
+_SEED, _STEP, _LONG = U64(0x9E3779B97F4A7C15), U64(0xD6E8FEB86659FD93), 16  # blocks of 8 bytes hashed by numpy
+_MULTIPLIERS = np.random.Generator(np.random.PCG64(20240229)).integers(0, 1 << 64, 4096, dtype=np.uint64) | U64(1)
+_LOW_BYTES = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 
 SPACE = np.ones(256, bool)  # words are runs of anything but ASCII white space
 SPACE[[0x20, 9, 10, 11, 12, 13]] = False
@@ -56,18 +55,6 @@ def chunks(offs: np.ndarray, most: int = 1_000_000):
         release()
 
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the hash base and of its inverse, modulo 2**64."""
-    # kept outside this module, which travels by value with every function
-    kept = sys.modules.setdefault("_docweave_powers", ModuleType("_docweave_powers")).__dict__
-    if len(kept.get("r", ())) < n:
-        for k, base in (("r", _R), ("i", _R_INV)):
-            x = np.full(max(n, 1 << 20), base, U64)
-            x[0] = 1
-            kept[k] = np.multiply.accumulate(x)
-    return kept["r"][:n], kept["i"][:n]
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit finaliser; returns a new array."""
     x = x ^ (x >> U64(30))
@@ -78,18 +65,34 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def prefix_hash(data: np.ndarray) -> np.ndarray:
-    """Running polynomial hash; ``span_hash`` takes differences of it."""
-    r, _ = powers(len(data) + 1)
-    c = np.zeros(len(data) + 1, U64)
-    np.cumsum(_BYTE[data] * r[: len(data)], out=c[1:])
-    return c
+def eights(data: np.ndarray) -> np.ndarray:
+    """The 8 bytes from each position on, as one number; zeros follow the end.  A view of a padded copy."""
+    padded = np.zeros(len(data) + 16, np.uint8)
+    padded[: len(data)] = data
+    return np.ndarray((len(data) + 8,), "<u8", padded, 0, (1,))
 
 
-def span_hash(c: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Position-independent hashes of the byte spans [start, end)."""
-    _, inv = powers(len(c))
-    return mix((c[ends] - c[starts]) * inv[starts])
+def byte_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the byte spans [start, end), the same wherever the bytes lie.
+
+    Blocks of 8 bytes are chained through a non-linear mixer, so no arrangement
+    of letters cancels out as in a polynomial; spans of more than 128 bytes go
+    to BLAKE2b.  Two given different spans are equal with probability 2**-64.
+    """
+    size = ends - starts
+    x = eights(data)
+    h = mix(size.astype(U64) * _STEP + _SEED)
+    live, at, left = slice(None), starts, size
+    for _ in range(_LONG):
+        h[live] = mix(h[live] ^ (x[at] & _LOW_BYTES[np.minimum(left, 8)])) * _STEP
+        more = np.flatnonzero(left > 8)
+        if not len(more):
+            break
+        live = more if isinstance(live, slice) else live[more]
+        at, left = at[more] + 8, left[more] - 8
+    for i in np.flatnonzero(size > 8 * _LONG).tolist():
+        h[i] = int.from_bytes(hashlib.blake2b(data[starts[i] : ends[i]].tobytes(), digest_size=8).digest(), "little")
+    return mix(h)
 
 
 def word_spans(data: np.ndarray, offs: np.ndarray, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -113,7 +116,12 @@ def word_spans(data: np.ndarray, offs: np.ndarray, keep: np.ndarray) -> tuple[np
 def words(data: np.ndarray, offs: np.ndarray, keep: np.ndarray = SPACE, lower: bool = True):
     """Hashes, starts and ends of words, and each text's first word."""
     starts, ends, first = word_spans(data, offs, keep)
-    return span_hash(prefix_hash(LOWER[data] if lower else data), starts, ends), starts, ends, first
+    return byte_hash(LOWER[data] if lower else data, starts, ends), starts, ends, first
+
+
+def multipliers(k: int) -> np.ndarray:
+    """Fixed random odd numbers, one for each place of a sequence."""
+    return _MULTIPLIERS[:k] if k <= len(_MULTIPLIERS) else np.random.Generator(np.random.PCG64(20240229)).integers(0, 1 << 64, k, dtype=np.uint64) | U64(1)
 
 
 def grams(h: np.ndarray, k: int) -> np.ndarray:
@@ -121,22 +129,21 @@ def grams(h: np.ndarray, k: int) -> np.ndarray:
     n = len(h) - k + 1
     if n <= 0:
         return np.zeros(0, U64)
-    g = np.zeros(n, U64)
-    for j in range(k):
-        g *= U64(_R)
-        g += h[j : j + n]
+    g = np.full(n, U64(k))
+    for j, m in enumerate(multipliers(k)):
+        g += h[j : j + n] * m
     return mix(g)
 
 
-def long_grams(h: np.ndarray, k: int) -> np.ndarray:
-    """``grams`` for large k, by a running sum."""
-    n = len(h) - k + 1
-    if n <= 0:
-        return np.zeros(0, U64)
-    r, inv = powers(len(h) + 1)
-    c = np.zeros(len(h) + 1, U64)
-    np.cumsum(h * r[: len(h)], out=c[1:])
-    return mix((c[k:] - c[:-k]) * inv[:n])
+def sequence_hash(h: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of the values in each span [start, end)."""
+    size = ends - starts
+    out = size.astype(U64)
+    live = np.arange(len(starts))
+    for j, m in enumerate(multipliers(int(size.max()) if len(size) else 0)):
+        live = live[size[live] > j]
+        out[live] += h[starts[live] + j] * m
+    return mix(out)
 
 
 def owner(first: np.ndarray) -> np.ndarray:

@@ -23,8 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docweave.llm import _text as X
-from docweave.llm._spark import components, parts_of, saved, small_batches
-from docweave.llm.katz import MASK, frequent_counts, unigrams
+from docweave.llm._spark import components, drop, hub_join, join_roots, parts_of, saved, small_batches
+from docweave.llm.katz import frequent_counts, unigrams
 
 CELL = 2000  # larger cells become one cluster without a look inside
 CHUNK = 1500  # nodes of a cluster that meet in one task
@@ -200,17 +200,6 @@ def small_cells(cell: np.ndarray, n: np.ndarray, bits: np.ndarray, at: np.ndarra
                 yield x[hit], y[hit]
 
 
-def _roots(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Merge the components of pairs (i, j) in an array of component labels."""
-    while True:
-        a, b = label[i], label[j]
-        if (a == b).all():
-            return label
-        np.minimum.at(label, np.maximum(a, b), np.minimum(a, b))
-        while (label[label] != label).any():
-            label = label[label]
-
-
 def _cells(batches, key: str, rows: int = 1):
     """Tables of whole cells (rows with an equal key) of about ``rows`` rows or more; input comes sorted by the key."""
     held: list = []
@@ -245,7 +234,10 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
     included.  Repeated rows and equal texts link with each other (similarity
     1); null keys link too but name a component only if it has no other.  An
     empty table gives none.  Other columns are ignored, whatever their names.
+    Keys are whole numbers; thresholds below 1/2 are refused.
     """
+    if 2 * num < den or num > den:
+        raise ValueError("the threshold has to lie between 1/2 and 1")  # bitmaps of sizes s and 2s are compared
     spark = docs.sparkSession
     small_batches(spark)
     parts = parts_of(spark)
@@ -267,11 +259,10 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
             data, offs = X.column_bytes(b.column(1))
             for i, j in X.chunks(offs):
                 doc, g, at, h, first, n, cut, digest = sets_of(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i])
-                w = h & MASK
-                r = np.zeros(len(w), np.int64)
+                r = np.zeros(len(h), np.int64)
                 if len(often):
-                    p = np.minimum(np.searchsorted(often, w), len(often) - 1)
-                    r = np.where(often[p] == w, rank[p], 0)
+                    p = np.minimum(np.searchsorted(often, h), len(often) - 1)
+                    r = np.where(often[p] == h, rank[p], 0)
                 weight = r[at]
                 size = np.diff(first)[doc]
                 for s in range(1, k):
@@ -288,16 +279,9 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
                     pre.append(g[order[cut[d] : cut[d + 1]][prefix[cut[d] : cut[d + 1]]]].astype(np.int64))
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.array(n, pa.int64()), pa.array(digest.astype(np.int64), pa.int64()), pa.array(sig, pa.binary()), pa.array(pre, pa.list_(pa.int64()))], names=["_key", "n", "node", "sig", "prefix"])
 
-    def brief(batches):
-        for b in batches:
-            data, offs = X.column_bytes(b.column(1))
-            for i, j in X.chunks(offs):
-                *_, n, _, digest = sets_of(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i])
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.array(n, pa.int64()), pa.array(digest.astype(np.int64), pa.int64())], names=["_key", "n", "node"])
-
     # one row per distinct set; the key is any key of the set, to find its text again
-    texts = src.mapInArrow(describe, "_key bigint, n bigint, node bigint, sig binary, prefix array<bigint>")
-    plain = src.mapInArrow(brief, "_key bigint, n bigint, node bigint")
+    texts = saved(src.mapInArrow(describe, "_key bigint, n bigint, node bigint, sig binary, prefix array<bigint>"))
+    plain = texts.select("_key", "n", "node")
     nodes = saved(texts.where("n > 0").groupBy("node").agg(F.min_by(F.struct("_key", "n", "sig", "prefix"), F.xxhash64("_key")).alias("x")).select("node", "x.*"))
 
     def meet(batches):  # cells: the nodes that share a prefix member, named by who they are
@@ -320,14 +304,12 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
             p = pick[lo : lo + 20_000]
             m = size[p]
             at_ = np.repeat(at[p], m) + np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m)
-            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(who[p].astype(np.int64), m)), pa.array(d[at_]), pa.array(np.repeat(m, m))], names=["cell", "node", "m"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(who[p].astype(np.int64), m)), pa.array(d[at_]), pa.array(np.repeat(m, m)), pa.array(np.repeat(d[at[p]], m))], names=["cell", "node", "m", "hub"])
 
     # (member, node) pairs of 16 bytes; a member shared by very many nodes still is a light group
     dealt = nodes.select(F.explode("prefix").alias("g"), "node", F.col("n").cast("int").alias("n")).repartition(parts, "g")
-    cells = saved(dealt.mapInArrow(meet, "cell bigint, node bigint, m bigint").distinct())
-    large = cells.where(F.col("m") > CELL)
-    hub = large.groupBy("cell").agg(F.min("node").alias("hub"))
-    stars = large.join(hub, "cell").select(F.col("node").alias("a"), F.col("hub").alias("b"))
+    cells = saved(dealt.mapInArrow(meet, "cell bigint, node bigint, m bigint, hub bigint").distinct())
+    stars = cells.where(F.col("m") > CELL).select(F.col("node").alias("a"), F.col("hub").alias("b"))
 
     def cluster(batches):
         for t in _cells(batches, "cell", 4000):
@@ -344,7 +326,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
             for s, m in zip(start[size > FAN].tolist(), size[size > FAN].tolist(), strict=True):
                 label = np.arange(m)
                 for i, j in candidate_pairs(bits[s : s + m], n[s : s + m], num, den):
-                    label = _roots(label, i, j)
+                    label = join_roots(label, i, j)
                 away = np.flatnonzero(label != np.arange(m))
                 found.append((s + away, s + label[away]))
             for i, j in found:
@@ -357,7 +339,9 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
     # the number of chunks follows the nodes and the members of their sets
     split = lambda m, n: F.ceil(F.greatest(m / CHUNK, n / MEMBERS))
     sizes = member.groupBy("cluster").agg(split(F.count(F.lit(1)), F.sum("n")).alias("chunks"), F.min_by("node", F.xxhash64("node")).alias("pivot"))
-    member = saved(member.join(sizes, "cluster"))
+    whole_member = saved(hub_join(member, sizes, "cluster"))
+    drop(cells, nodes, member)
+    member = whole_member
 
     def sets(of: DataFrame) -> DataFrame:
         """Whole sets of the nodes of ``of``.
@@ -382,7 +366,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
                     pick = np.flatnonzero((n > 0) & (shared.value[k >> 3] >> (k & 7) & 1 > 0))
                     for lo in range(0, len(pick), 500):
                         p = pick[lo : lo + 500]
-                        own = [X.pack(g=np.sort(g[cut[d] : cut[d + 1]] >> np.uint64(16))) for d in p]
+                        own = [X.pack(g=X.pack_sorted(g[cut[d] : cut[d + 1]])) for d in p]
                         yield pa.RecordBatch.from_arrays([pa.array(digest[p]), pa.array(h[p]), pa.array(own, pa.binary())], names=["node", "_h", "members"])
 
         found = src.select(F.xxhash64("_key").alias("_h"), "_text").mapInArrow(whole, "node bigint, _h bigint, members binary")
@@ -395,7 +379,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
             if len(once) < 2:
                 continue
             node, side = t.column("node").to_numpy(), t.column("side").to_numpy()
-            own = [X.unpack(x.as_buffer())["g"] for x in t.column("members")]
+            own = [X.unpack_sorted(X.unpack(x.as_buffer())["g"]) for x in t.column("members")]
             n = np.array([len(x) for x in own])
             start = t.column("comp").to_numpy()
             _, label = np.unique(start, return_inverse=True)
@@ -403,7 +387,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
             at = np.full(label.max() + 1, len(node))
             np.minimum.at(at, label, np.arange(len(node)))
             label = at[label]
-            bits = [bitmap(x << np.uint64(16), int(w)) for x, w in zip(own, bitmap_words(n), strict=True)]
+            bits = [bitmap(x, int(w)) for x, w in zip(own, bitmap_words(n), strict=True)]
             a, b = [], []
 
             def root(x, label=label):
@@ -451,7 +435,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
         top = F.struct("c", "comp", "s")
         main = by.groupBy("cluster").agg(F.max(top).alias("t"), F.sum("c").alias("c"), F.sum("s").alias("s"))
         main = main.where("c > t.c").select("cluster", F.col("t.comp").alias("main"), split(F.col("c") - F.col("t.c"), F.col("s") - F.col("t.s")).alias("rest_chunks"))
-        left = known.join(main, "cluster")
+        left = saved(hub_join(known, main, "cluster").where("main is not null"))
         full = sets(left.select("node", "_h")).select("node", "members")
         known = full.join(left, "node")
         rest_chunks = F.col("rest_chunks")
@@ -462,9 +446,13 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
         among = pairs.select(*common, cell("cluster", F.least("_o", "_j"), F.greatest("_o", "_j"), F.lit(2)).alias("cell"), "comp", F.lit(0).alias("side"))
         found = saved(found.union(links_of(inside.union(outside).union(among))))
     comp = components(found)
-    named = plain.join(comp, "node", "left").withColumn("_c", F.when(F.col("n") > 0, F.coalesce("component", "node")))
-    names = named.where("_c is not null").groupBy("_c").agg(F.min("_key").alias("_name"))
-    return named.join(names, "_c", "left").select(F.col("_key").alias(key), F.col("n").alias("n_shingles"), F.coalesce("_name", "_key").alias("component_id"))
+    # names by node first: one row for every set that others link to
+    least = plain.where("n > 0").groupBy("node").agg(F.min("_key").alias("_least"))
+    named = saved(least.join(comp, "node", "left").select("node", F.coalesce("component", "node").alias("_c"), "_least"))
+    names = named.where("_least is not null").groupBy("_c").agg(F.min("_least").alias("_name"))
+    named = saved(hub_join(named, names, "_c").select("node", "_name"))
+    out = hub_join(plain, named, "node")
+    return out.select(F.col("_key").alias(key), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("_name", "_key")).otherwise(F.col("_key")).alias("component_id"))
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", **options) -> DataFrame:

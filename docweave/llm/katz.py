@@ -21,7 +21,6 @@ from docweave.llm import _text as X
 from docweave.llm._spark import parts_of, saved, small_batches
 
 K = 5  # counts above K are not discounted
-MASK = np.uint64((1 << 56) - 1)  # hashes are cut to 7 bytes
 START, END = np.uint64(1), np.uint64(2)
 BUFFER = 1_200_000  # tokens held by a map task before it sends messages
 
@@ -89,7 +88,7 @@ def unigrams(docs: DataFrame, parts: int) -> DataFrame:
         for b in batches:
             data, offs = X.column_bytes(b.column(0))
             for i, j in X.chunks(offs):
-                h = X.words(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i])[0] & MASK
+                h = X.words(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i])[0]
                 k, c = np.unique(np.append(h, np.repeat(END, j - i)), return_counts=True)
                 keys.append(k)
                 counts.append(c)
@@ -151,7 +150,7 @@ def bigrams(docs: DataFrame, parts: int, heavy: np.ndarray) -> DataFrame:
             if len(heavy_c):
                 big = heavy_c[np.minimum(np.searchsorted(heavy_c, c), len(heavy_c) - 1)] == c
                 lead = np.where(big, X.mix(c ^ (word * np.uint64(0x9E3779B97F4A7C15))), c)
-            sort = (lead & np.uint64(0xFFFFFFFF00000000)) | (word >> np.uint64(24))
+            sort = (lead & np.uint64(0xFFFFFFFF00000000)) | (word >> np.uint64(32))
             order = np.argsort(sort)
             c, word, ref, train, part = c[order], word[order], ref[order], train[order], part_of(sort[order], parts)
             cut = np.searchsorted(part, np.arange(parts + 1))
@@ -178,7 +177,6 @@ def bigrams(docs: DataFrame, parts: int, heavy: np.ndarray) -> DataFrame:
             keys = b.column(1).fill_null(0).to_numpy()
             for i, j in X.chunks(offs):
                 h, _, _, first = X.words(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i])
-                h &= MASK
                 doc, n = X.owner(first), len(h) + j - i
                 at = np.arange(len(h)) + doc
                 word, ctx = np.full(n, END), np.full(n, START)

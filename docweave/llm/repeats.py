@@ -41,7 +41,7 @@ def anchors(sym: np.ndarray, first: np.ndarray, size: int, q: int):
     if n < size:
         z = np.zeros(0, np.int64)
         return z, z, z, z, np.zeros(0, np.uint64)
-    g = X.span_hash(X.prefix_hash(sym), np.arange(n - q + 1), np.arange(q, n + 1)) if sym.dtype == np.uint8 else X.long_grams(sym, q)
+    g = X.byte_hash(sym, np.arange(n - q + 1), np.arange(q, n + 1)) if sym.dtype == np.uint8 else X.grams(sym, q)
     width = size - q + 1
     at, span = np.arange(len(g), dtype=np.int32), 1
     while span < width:  # leftmost least of span places, doubled up to the width
@@ -63,13 +63,7 @@ def anchors(sym: np.ndarray, first: np.ndarray, size: int, q: int):
 
 def run_hash(sym: np.ndarray, s: np.ndarray, e: np.ndarray, anchor: np.ndarray, place: np.ndarray) -> np.ndarray:
     """Identity of a run: its symbols, its anchor and the anchor's place in it."""
-    if sym.dtype == np.uint8:
-        h = X.span_hash(X.prefix_hash(sym), s, e)
-    else:
-        r, inv = X.powers(len(sym) + 1)
-        c = np.zeros(len(sym) + 1, np.uint64)
-        np.cumsum(sym * r[: len(sym)], out=c[1:])
-        h = X.mix((c[e] - c[s]) * inv[s])
+    h = (X.byte_hash if sym.dtype == np.uint8 else X.sequence_hash)(sym, s, e)
     return X.mix(h ^ X.mix(anchor + (place - s).astype(np.uint64)) ^ (e - s).astype(np.uint64))
 
 

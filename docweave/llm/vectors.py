@@ -16,8 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docweave.llm._spark import components, parts_of, saved
-from docweave.llm.jaccard import _cells, _roots
+from docweave.llm._spark import components, join_roots, parts_of, saved
+from docweave.llm.jaccard import _cells
 
 CHUNK = 1500
 
@@ -138,7 +138,7 @@ def _links(nodes: DataFrame, d: int, mean, turn, bits: int, tables: int, least:
                     new = ~(code[a, :at] == code[b, :at]).any(1)
                     a, b = a[new], b[new]
                     links += np.bincount(a, weights=w[b], minlength=len(node)).astype(np.int64) + np.bincount(b, weights=w[a], minlength=len(node)).astype(np.int64)
-                    label = _roots(label, a, b)
+                    label = join_roots(label, a, b)
             hit, away = np.flatnonzero(links), np.flatnonzero(label != np.arange(len(node)))
             yield pa.RecordBatch.from_arrays([
                 pa.array(np.concatenate([node[hit], node[away]])), pa.array(np.concatenate([node[hit], node[label[away]]]), mask=np.arange(len(hit) + len(away)) < len(hit)),
