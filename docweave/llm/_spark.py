@@ -19,6 +19,15 @@ def parts_of(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+def parts_for(df: DataFrame, most: int = 64 << 20) -> int:
+    """Partitions for a shuffle of ``df``: the cluster's setting, or more where that would give one over ``most`` bytes.
+
+    The size is what the optimizer knows of it; where it knows nothing, the setting holds.
+    """
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return max(parts_of(df.sparkSession), -(-size // most) if size < 1 << 60 else 0)
+
+
 def small_batches(spark: SparkSession, most: int = 4 << 20) -> None:
     """Arrow batches of at most ``most`` bytes, or of one row, from now on; a lower setting stays.
 

@@ -4,10 +4,15 @@ A window is ``size`` symbols of one text.  Its anchor is the leftmost least
 hash among its q-grams, so equal windows have equal anchors at equal places.
 Texts that lack a partner for an anchor can repeat no window there; only the
 runs of windows around shared anchors go on, each as the symbols it covers,
-dealt by anchor.  A part then decides, by suffix structures over the symbols,
-which windows also start in a document with a smaller key.  Three exchanges
-carry texts, anchors and runs; every message is merged within its bucket of
-documents first, so a passage in a third of all texts is sent once a bucket.
+dealt by anchor.  Runs that are equal symbol by symbol become one; a part then
+builds its suffix structures over the different ones, and these alone tell
+which windows a document with a smaller key holds: nodes of the suffix trees,
+or the lengths of the longest previous factors.  Exchanges carry texts, anchors and
+runs; every message is merged within its bucket of documents first, so a
+passage in a third of all texts is sent once a bucket.
+
+Symbols of op7 are 64-bit hashes of words, so two given different words are
+taken as one with probability 2**-64; bytes are compared as they are.
 """
 
 from __future__ import annotations
@@ -20,10 +25,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docweave.llm import _text as X
-from docweave.llm._spark import parts_of
+from docweave.llm._spark import parts_for, small_batches
 from docweave.llm.katz import part_of
 
 SLICE = 1_000_000  # symbols that suffix structures are built over at once
+GROUP = 250_000  # suffixes of one subtree
 LAST = np.iinfo(np.int64).max  # stands for a null key: larger than all others
 
 
@@ -67,131 +73,186 @@ def run_hash(sym: np.ndarray, s: np.ndarray, e: np.ndarray, anchor: np.ndarray,
     return X.mix(h ^ X.mix(anchor + (place - s).astype(np.uint64)) ^ (e - s).astype(np.uint64))
 
 
-def _ranks(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Order-preserving ranks of pairs."""
-    return X.dense_ranks(a.astype(np.uint64) << np.uint64(32) | b.astype(np.uint64))
-
-
-def window_ranks(sym: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
-    """Rank of the suffixes at ``starts`` by their first ``size`` symbols, by prefix doubling."""
-    if sym.dtype == np.uint8 and size >= 8:
-        x, have = np.zeros(len(sym), np.uint64), 8
-        for k in range(8):  # eight bytes at once to begin with
-            x[: len(sym) - k] |= sym[k:].astype(np.uint64) << np.uint64(56 - 8 * k)
-        r = X.dense_ranks(x)
-    else:
-        r, have = X.dense_ranks(sym), 1
-    while 2 * have < size:
-        b = np.zeros(len(r), np.int64)
-        b[: len(r) - have] = r[have:]
-        r, have = _ranks(r, b), 2 * have
-    return _ranks(r[starts], r[starts + size - have]) if have < size else X.dense_ranks(r[starts])
-
-
-def previous_factors(order: np.ndarray, rank: np.ndarray, doc: np.ndarray) -> np.ndarray:
-    """Whether the longest previous factor reaches the window: smaller documents before or after in suffix order.
-
-    ``order`` lists suffixes in suffix order.  Their previous and next smaller
-    documents, found by pointer jumping, are the nearest earlier texts; the
-    factor is long enough if one lies in the same interval of equal windows.
+class Suffixes:
+    """Ranks of all suffixes of some runs by their first c, 2c, 4c, ... symbols; a suffix ends with its run."""
+
+    def __init__(self, sym: np.ndarray, ends: np.ndarray):
+        self.ends = ends  # by position, the end of its run
+        base = sym.astype(np.uint64) + np.uint64(1) if sym.dtype == np.uint8 else X.dense_ranks(sym).astype(np.uint64) + np.uint64(1)
+        self.base = base
+        width = int(base.max()).bit_length() if len(base) else 1
+        c = max(1, 63 // width)
+        key, at = np.zeros(len(base), np.uint64), np.arange(len(base))
+        for k in range(c):  # as many symbols as fit a number, zeros past the end
+            inside = at + k < ends
+            key[inside] |= base[at[inside] + k] << np.uint64(width * (c - 1 - k))
+        self.levels = [(c, X.dense_ranks(key).astype(np.int32))]
+        longest = int((ends - at).max()) if len(base) else 0
+        while self.levels[-1][0] < longest:
+            have, r = self.levels[-1]
+            key = r.astype(np.uint64) << np.uint64(32)
+            inside = at + have < ends
+            key[inside] |= r[at[inside] + have].astype(np.uint64) + np.uint64(1)
+            self.levels.append((2 * have, X.dense_ranks(key).astype(np.int32)))
+
+    def order(self, starts: np.ndarray) -> np.ndarray:
+        return np.argsort(self.levels[-1][1][starts], kind="stable")
+
+    def common(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Lengths of the longest common prefixes of the suffixes a and b."""
+        n, most = np.zeros(len(a), np.int64), np.minimum(self.ends[a] - a, self.ends[b] - b)
+        for have, r in reversed(self.levels):
+            live = np.flatnonzero(n < most)
+            i, j = a[live] + n[live], b[live] + n[live]
+            live = live[r[i] == r[j]]
+            n[live] = np.minimum(n[live] + have, most[live])
+        for _ in range(self.levels[0][0] - 1):
+            live = np.flatnonzero(n < most)
+            i, j = a[live] + n[live], b[live] + n[live]
+            n[live[self.base[i] == self.base[j]]] += 1
+            # a suffix that differs once stays where it is
+            most[live[self.base[i] != self.base[j]]] = 0
+        return n
+
+
+class Least:
+    """Smallest value of any range, from tables of ranges of 1, 2, 4, ... values."""
+
+    def __init__(self, x: np.ndarray):
+        self.tables = [x]
+        while 2 << (len(self.tables) - 1) <= len(x):
+            t, step = self.tables[-1], 1 << (len(self.tables) - 1)
+            self.tables.append(np.minimum(t[:-step], t[step:]))
+
+    def of(self, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+        """Smallest of [lo, hi), which is not empty."""
+        out = np.empty(len(lo), self.tables[0].dtype)
+        k = np.floor(np.log2(hi - lo)).astype(np.int64)
+        for level in np.unique(k).tolist():
+            use = np.flatnonzero(k == level)
+            t = self.tables[level]
+            out[use] = np.minimum(t[lo[use]], t[hi[use] - (1 << level)])
+        return out
+
+    def before(self, value: np.ndarray) -> np.ndarray:
+        """For every place the nearest place before it whose value is below ``value``, or -1."""
+        at = np.arange(len(value))
+        for level in range(len(self.tables) - 1, -1, -1):
+            step, t = 1 << level, self.tables[level]
+            live = np.flatnonzero(at >= step)
+            live = live[t[at[live] - step] >= value[live]]
+            at[live] -= step
+        return at - 1
+
+    def after(self, value: np.ndarray) -> np.ndarray:
+        """The same behind it, or the number of values."""
+        n = len(value)
+        at = np.arange(1, n + 1)
+        for level in range(len(self.tables) - 1, -1, -1):
+            step, t = 1 << level, self.tables[level]
+            live = np.flatnonzero(at + step <= n)
+            live = live[t[at[live]] >= value[live]]
+            at[live] += step
+        return at
+
+
+def internal_nodes(common: np.ndarray, depth: int):
+    """Internal nodes of the suffix tree at ``depth`` or deeper, as (first leaf, end, depth, whether no other lies above).
+
+    ``common`` holds the common prefix lengths of neighbouring leaves.
     """
-    d, r = doc[order], rank[order]
-    n = len(d)
-    start = np.concatenate([[True], r[1:] != r[:-1]])
-    found = np.zeros(n, bool)
-    for turn in (1, -1):
-        dd, edge = (d, start) if turn == 1 else (d[::-1], np.concatenate([start[1:], [True]])[::-1])
-        lead = np.maximum.accumulate(np.where(edge, np.arange(n), 0))
-        prev = np.arange(n) - 1
-        live = np.flatnonzero(prev >= lead)
-        while len(live):  # follow previous-smaller links until one is smaller or leaves the interval
-            p = prev[live]
-            small = dd[p] < dd[live]
-            hit = live[small]
-            (found if turn == 1 else found[::-1])[hit] = True
-            live = live[~small]
-            prev[live] = prev[prev[live]]
-            live = live[prev[live] >= lead[live]]
-    out = np.zeros(n, bool)
-    out[order] = found
-    return out
-
-
-def solve_by_lpf(sym: np.ndarray, starts: np.ndarray, doc: np.ndarray, size: int, group: int = 0) -> np.ndarray:
-    """For the windows at ``starts`` whether a smaller document holds them, by the suffix array."""
-    rank = window_ranks(sym, starts, size)
-    return previous_factors(np.argsort(rank, kind="stable"), rank, doc)
-
-
-def solve_by_trees(sym: np.ndarray, starts: np.ndarray, doc: np.ndarray, size: int, group: int = 250_000) -> np.ndarray:
-    """The same by suffix trees: variable-length prefixes split the suffixes, then each group's subtree is built.
-
-    A prefix grows (1, 2, 4, ... symbols) for the groups that are still larger
-    than ``group``.  A subtree's internal nodes of depth ``size`` or more are
-    the maximal repeats; all leaves below one hold the same window.
+    deep = np.flatnonzero(common >= depth)
+    table = Least(common)
+    lo, hi = table.before(common)[deep] + 1, table.after(common)[deep] + 1
+    _, one = np.unique(lo * (len(common) + 2) + hi, return_index=True)
+    lo, hi, own = lo[one], hi[one], common[deep][one]
+    above = np.maximum(np.where(lo > 0, common[lo - 1], 0), np.where(hi <= len(common), common[np.minimum(hi - 1, len(common) - 1)], 0))
+    return lo, hi, own, above < depth
+
+
+def solve_by_trees(suffixes: Suffixes, starts: np.ndarray, doc: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """By window: whether a smaller document holds it, and whether its leaf is deep enough to repeat in a later copy of the run.
+
+    Variable-length prefixes split the suffixes into groups: a prefix grows
+    while more than GROUP suffixes share it.  Each group's subtree is built
+    from its leaves in order and their common prefixes.  Nodes of depth
+    ``size`` or more are the maximal repeats; the topmost above a leaf holds
+    all places of the leaf's window.
     """
-    out = np.zeros(len(starts), bool)
-    base = X.dense_ranks(sym)
-    todo = [(np.arange(len(starts)), np.zeros(len(starts), np.int64), 0)]
+    before, again = np.zeros(len(starts), bool), suffixes.ends[starts] - starts >= size
+    todo, ready = [(np.arange(len(starts)), 0)], []
     while todo:
-        own, key, depth = todo.pop()
-        if len(own) > group and depth < size:  # one more stretch of the prefix
-            grow = max(1, depth)
-            for k in range(depth, min(depth + grow, size)):
-                key = _ranks(key, base[starts[own] + k])
-            order = np.argsort(key, kind="stable")
-            cut = np.flatnonzero(np.diff(key[order], prepend=-1))
-            sizes = np.diff(cut, append=len(own))
-            pack: list = []
-            count = 0
-            for c, m in zip(cut.tolist(), sizes.tolist(), strict=True):  # small neighbours share a group
-                if m > group:
-                    todo.append((own[order[c : c + m]], np.zeros(m, np.int64), min(depth + grow, size)))
-                    continue
-                pack.append(order[c : c + m])
-                count += m
-                if count > group // 2:
-                    todo.append((own[np.concatenate(pack)], key[np.concatenate(pack)], size + 1))
-                    pack, count = [], 0
-            if pack:
-                todo.append((own[np.concatenate(pack)], key[np.concatenate(pack)], size + 1))
+        own, level = todo.pop()
+        if len(own) <= GROUP or level >= len(suffixes.levels) or suffixes.levels[level][0] > size:
+            ready.append(own)
             continue
-        rank = _subtree(base, starts[own], key, size)
-        node_first = np.full(int(rank.max()) + 1 if len(rank) else 0, LAST)
-        np.minimum.at(node_first, rank, doc[own])
-        out[own] = node_first[rank] < doc[own]
+        prefix = suffixes.levels[level][1][starts[own]]
+        order = np.argsort(prefix, kind="stable")
+        cut = np.flatnonzero(np.diff(prefix[order], prepend=-1))
+        small: list = []
+        for part in np.split(own[order], cut[1:]):  # small neighbours share a group
+            if len(part) > GROUP:
+                todo.append((part, level + 1))
+                continue
+            if small and sum(map(len, small)) + len(part) > GROUP:
+                ready.append(np.concatenate(small))
+                small = []
+            small.append(part)
+        if small:
+            ready.append(np.concatenate(small))
+    for own in ready:
+        leaf = own[suffixes.order(starts[own])]
+        if len(leaf) < 2:
+            continue
+        lo, hi, _, top = internal_nodes(suffixes.common(starts[leaf[:-1]], starts[leaf[1:]]), size)
+        least = Least(doc[leaf]).of(lo[top], hi[top])
+        width = hi[top] - lo[top]
+        at = np.repeat(lo[top] - np.cumsum(width) + width, width) + np.arange(width.sum())
+        before[leaf[at]] = np.repeat(least, width) < doc[leaf[at]]
+    return before, again
+
+
+def previous_factors(common: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Lengths of the longest previous factors of suffixes in order: common prefixes with the previous and next smaller document."""
+    docs, prefix = Least(doc), Least(common)
+    prev, nxt, at = docs.before(doc), docs.after(doc), np.arange(len(doc))
+    out = np.zeros(len(doc), np.int64)
+    use = np.flatnonzero(prev >= 0)
+    out[use] = prefix.of(prev[use], at[use])
+    use = np.flatnonzero(nxt < len(doc))
+    out[use] = np.maximum(out[use], prefix.of(at[use], nxt[use]))
     return out
 
 
-def _subtree(base: np.ndarray, starts: np.ndarray, key: np.ndarray, size: int) -> np.ndarray:
-    """Node of depth ``size`` above each leaf: leaves are refined along the tree, stretch by stretch."""
-    rank, live = key.copy(), np.arange(len(starts))
-    result = np.full(len(starts), -1)
-    spare = 0
-    for k in range(0, size, 2):
-        pair = base[starts[live] + k].astype(np.uint64) << np.uint64(32)
-        if k + 1 < size:
-            pair |= base[starts[live] + k + 1].astype(np.uint64)
-        r = _ranks(rank[live], X.dense_ranks(pair))
-        count = np.bincount(r)
-        alone = count[r] == 1  # a leaf edge: nothing repeats below
-        result[live[alone]] = spare + np.arange(int(alone.sum()))
-        spare += int(alone.sum())
-        rank[live] = r
-        live = live[~alone]
-        if not len(live):
-            return result
-    result[live] = spare + X.dense_ranks(rank[live])
-    return result
+def solve_by_lpf(suffixes: Suffixes, starts: np.ndarray, doc: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """As ``solve_by_trees``, by longest previous factors over the suffix array; a later copy's factor is all that is left of its run."""
+    order = suffixes.order(starts)
+    length = np.zeros(len(starts), np.int64)
+    if len(order) > 1:
+        length[order] = previous_factors(suffixes.common(starts[order[:-1]], starts[order[1:]]), doc[order])
+    return length >= size, suffixes.ends[starts] - starts >= size
+
+
+def _equal_runs(sym: np.ndarray, at: np.ndarray, length: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+    """Raise unless the runs a and b, whose hashes are equal, agree symbol by symbol."""
+    for i in range(0, len(a), 20_000):
+        x, y = a[i : i + 20_000], b[i : i + 20_000]
+        n = length[x]
+        if (n != length[y]).any():
+            raise ValueError("two different runs share a hash")
+        off = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        if (sym[np.repeat(at[x], n) + off] != sym[np.repeat(at[y], n) + off]).any():
+            raise ValueError("two different runs share a hash")
 
 
 def mark_repeats(docs: DataFrame, by_words: bool, size: int, q: int, solve: Callable, finish: Callable, schema: str, text: str = "text", key: str = "doc_id") -> DataFrame:
     """Apply ``finish`` to every text with the mask of its symbols that repeat a smaller document's window."""
     spark = docs.sparkSession
-    tasks = parts_of(spark)
-    buckets = parts = 4 * tasks  # keys of both kinds, several to a task so that tasks are alike
+    small_batches(spark)
+    q = min(size, max(q, size - 60))  # a run's windows fit the bits of a number
+    parts = buckets = parts_for(docs)
     src = docs.select(F.col(key).cast("long").alias("_key"), F.col(text).alias("_text"))
-    dealt = src.withColumn("bk", F.pmod(F.xxhash64("_key", "_text"), F.lit(buckets)).cast("int")).repartition(tasks, "bk")
+    dealt = src.withColumn("bk", F.pmod(F.xxhash64("_key", "_text"), F.lit(buckets)).cast("int")).repartitionById(buckets, F.col("bk"))
 
     def scan(batch_key, batch_text):
         """Runs of some rows, chunk by chunk."""
@@ -238,8 +299,8 @@ def mark_repeats(docs: DataFrame, by_words: bool, size: int, q: int, solve: Call
                 if len(own):
                     yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([X.pack(a=X.pack_sorted(own))], pa.binary())], names=["bk", "blob"])
 
-    asked = dealt.mapInArrow(ask, "part int, bk int, blob binary").repartition(tasks, "part")
-    shared = asked.mapInArrow(share, "bk int, blob binary").repartition(tasks, "bk")
+    asked = dealt.mapInArrow(ask, "part int, bk int, blob binary").repartitionById(parts, F.col("part"))
+    shared = asked.mapInArrow(share, "bk int, blob binary").repartitionById(buckets, F.col("bk"))
 
     def send(key, rows, told):  # distinct runs with a shared anchor, and their smallest key in the bucket
         if not told.num_rows:
@@ -256,6 +317,9 @@ def mark_repeats(docs: DataFrame, by_words: bool, size: int, q: int, solve: Call
         order = np.lexsort((kk, h))
         new = np.ones(len(h), bool)
         new[1:] = h[order][1:] != h[order][:-1]
+        for w, x in enumerate(texts):  # neighbours of one chunk; others are compared where they meet
+            same = np.flatnonzero(~new & (which[order] == w) & (np.roll(which[order], 1) == w))
+            _equal_runs(x[7], s, e - s, order[same], order[same - 1])
         pick = order[new]
         p = part_of(a[pick], parts)
         pick = pick[np.argsort(p, kind="stable")]
@@ -278,9 +342,9 @@ def mark_repeats(docs: DataFrame, by_words: bool, size: int, q: int, solve: Call
         X.release()
         return pa.table({"part": pa.array(out[0], pa.int32()), "bk": pa.array(out[1], pa.int32()), "blob": pa.array(out[2], pa.binary())})
 
-    sent = dealt.groupBy("bk").cogroup(shared.groupBy("bk")).applyInArrow(send, "part int, bk int, blob binary").repartition(tasks, "part")
+    sent = dealt.groupBy("bk").cogroup(shared.groupBy("bk")).applyInArrow(send, "part int, bk int, blob binary").repartitionById(parts, F.col("part"))
 
-    def decide(batches):  # per run a mask of the windows that a smaller document holds
+    def decide(batches):  # by run the windows that a smaller document holds, and those that a later copy repeats
         by: dict[int, list] = {}
         for b in batches:
             for p, k, blob in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True):
@@ -297,43 +361,41 @@ def mark_repeats(docs: DataFrame, by_words: bool, size: int, q: int, solve: Call
             at = np.cumsum(length) - length
             bk = np.repeat(np.arange(len(rows)), [len(x["h"]) for x in got])
             uh, one, kind = np.unique(h, return_index=True, return_inverse=True)
+            copies = np.flatnonzero(one[kind] != np.arange(len(h)))
+            _equal_runs(sym, at, length, copies, one[kind[copies]])
             least = np.full(len(uh), LAST)
             np.minimum.at(least, kind, k)
-            mask = np.where(least[kind] < k, np.uint64((1 << 63) - 1), np.uint64(0))
-            # an anchor with different runs: compare their windows, each kind of run once, for its smallest key
-            ua, of = np.unique(a[one], return_inverse=True)
-            several = (np.bincount(of) > 1)[of]
-            kinds = np.flatnonzero(several)
-            kinds = kinds[np.argsort(of[kinds], kind="stable")]
-            fine = np.zeros(len(uh), np.uint64)
-            if len(kinds):  # whole anchors, SLICE symbols at a time
-                total = np.cumsum(m[one[kinds]] + size - 1)
-                edge = np.append(np.flatnonzero(np.diff(of[kinds], prepend=-1)), len(kinds))
-                lo = 0
-                while lo < len(kinds):
-                    most = np.searchsorted(total, (total[lo - 1] if lo else 0) + SLICE, "right")
-                    hi = int(edge[max(np.searchsorted(edge, most, "right") - 1, 0)])
-                    hi = hi if hi > lo else int(edge[np.searchsorted(edge, lo, "right")])
-                    own = kinds[lo:hi]
-                    fine[own] = _masks(sym, at[one[own]], m[one[own]], least[own], size, solve)
-                    lo = hi
-            mask |= fine[kind]
+            # the different runs, each for its smallest key; equal windows have equal anchors, so whole anchors go together
+            kinds = np.argsort(a[one], kind="stable")
+            before, again = np.zeros(len(uh), np.uint64), np.zeros(len(uh), np.uint64)
+            total = np.cumsum(length[one[kinds]])
+            edge = np.append(np.flatnonzero(np.concatenate([[True], np.diff(a[one[kinds]].view(np.int64)) != 0])), len(kinds))
+            lo = 0
+            while lo < len(kinds):  # SLICE symbols at a time
+                most = np.searchsorted(total, (total[lo - 1] if lo else 0) + SLICE, "right")
+                hi = int(edge[max(np.searchsorted(edge, most, "right") - 1, 0)])
+                hi = hi if hi > lo else int(edge[np.searchsorted(edge, lo, "right")])
+                own = kinds[lo:hi]
+                before[own], again[own] = _masks(sym, at[one[own]], m[one[own]], least[own], size, solve)
+                lo = hi
+            mask = np.where(k == least[kind], before[kind], again[kind] | before[kind])
+            later = again[kind]
             for i, (b, _) in enumerate(rows):
                 own = np.flatnonzero(bk == i)
                 own = own[np.argsort(h[own])]
-                yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([X.pack(h=X.pack_sorted(h[own]), k=k[own], x=mask[own])], pa.binary())], names=["bk", "blob"])
-            del got, body, sym, h, a, k, m, kind, uh
+                yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([X.pack(h=X.pack_sorted(h[own]), k=k[own], x=mask[own], y=later[own])], pa.binary())], names=["bk", "blob"])
+            del got, body, sym, h, a, k, m, kind, uh, mask, later, before, again
             X.release()
 
-    decided = sent.mapInArrow(decide, "bk int, blob binary").repartition(tasks, "bk")
+    decided = sent.mapInArrow(decide, "bk int, blob binary").repartitionById(buckets, F.col("bk"))
 
     def close(key, rows, told):
         got = [X.unpack(x.as_buffer()) for x in told.column("blob")] if told.num_rows else []
         h = np.concatenate([X.unpack_sorted(x["h"]) for x in got]) if got else np.zeros(0, np.uint64)
         least = np.concatenate([x["k"] for x in got]) if got else np.zeros(0, np.int64)
-        mask = np.concatenate([x["x"] for x in got]) if got else np.zeros(0, np.uint64)
+        mask, later = (np.concatenate([x[c] for x in got]) if got else np.zeros(0, np.uint64) for c in "xy")
         order = np.argsort(h)
-        h, least, mask = h[order], least[order], mask[order]
+        h, least, mask, later = h[order], least[order], mask[order], later[order]
         out, at = [], 0
         for keys, data, offs, sym, first, starts, ends, (t, s, m, p, a) in scan(rows.column("_key"), rows.column("_text")):
             removed = np.zeros(len(sym), bool)
@@ -341,7 +403,7 @@ def mark_repeats(docs: DataFrame, by_words: bool, size: int, q: int, solve: Call
                 r = run_hash(sym, s, s + m + size - 1, a, p)
                 i = np.minimum(np.searchsorted(h, r), len(h) - 1)
                 known = h[i] == r
-                bits = np.where(known, np.where(least[i] < keys[t], np.uint64((1 << 63) - 1), mask[i]), np.uint64(0))
+                bits = np.where(known, np.where(least[i] < keys[t], mask[i] | later[i], mask[i]), np.uint64(0))
                 n = np.repeat(np.arange(len(s)), m)
                 off = np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m)
                 win = (s[n] + off)[(bits[n] >> off.astype(np.uint64)) & np.uint64(1) > 0]
@@ -354,14 +416,15 @@ def mark_repeats(docs: DataFrame, by_words: bool, size: int, q: int, solve: Call
     return dealt.groupBy("bk").cogroup(decided.groupBy("bk")).applyInArrow(close, schema)
 
 
-def _masks(sym: np.ndarray, at: np.ndarray, m: np.ndarray, least: np.ndarray, size: int, solve: Callable) -> np.ndarray:
-    """Bits of the windows of some runs that a smaller document among them holds."""
+def _masks(sym: np.ndarray, at: np.ndarray, m: np.ndarray, least: np.ndarray, size: int, solve: Callable) -> tuple[np.ndarray, np.ndarray]:
+    """Bits of the windows of some runs that a smaller document among them holds, and that a later copy of the run repeats."""
     span = m + size - 1
     s0, w0 = np.cumsum(span) - span, np.cumsum(m) - m
     own = sym[np.repeat(at - s0, span) + np.arange(span.sum())]
-    bit = np.arange(m.sum()) - np.repeat(w0, m)
-    hit = solve(own, np.repeat(s0, m) + bit, np.repeat(least, m), size)
-    return np.bitwise_or.reduceat(np.where(hit, np.uint64(1) << bit.astype(np.uint64), np.uint64(0)), w0)
+    off = np.arange(m.sum()) - np.repeat(w0, m)
+    got = solve(Suffixes(own, np.repeat(s0 + span, span)), np.repeat(s0, m) + off, np.repeat(least, m), size)
+    bit = np.uint64(1) << off.astype(np.uint64)
+    return tuple(np.bitwise_or.reduceat(np.where(hit, bit, np.uint64(0)), w0) for hit in got)
 
 
 def _owners(a: np.ndarray, w: np.ndarray, many: np.ndarray):
@@ -386,7 +449,8 @@ def drop_repeated_words(docs: DataFrame, size: int = 50, text: str = "text", key
 
     Kept words are joined by one space.  Null and empty texts have no words;
     rows with equal keys do not remove from each other; a null key counts as
-    the largest; an empty table gives none; other columns are ignored.
+    the largest; an empty table gives none; other columns are ignored.  Keys
+    are whole numbers.
     """
 
     def finish(keys, data, offs, first, starts, ends, removed):
@@ -407,7 +471,7 @@ def drop_repeated_bytes(docs: DataFrame, size: int = 50, text: str = "text", key
 
     Null and empty texts have no bytes; rows with equal keys do not remove from
     each other; a null key counts as the largest; an empty table gives none;
-    other columns are ignored.
+    other columns are ignored.  Keys are whole numbers.
     """
 
     def finish(keys, data, offs, first, starts, ends, removed):

@@ -289,7 +289,7 @@ def test_spaced_letters_are_split_at_known_words():
     assert has == [{"stupid"}, {"stupid", "idiot"}, {"idiot"}, {"stupid"}, {"stupid"}, {"stupid"}, set(), set(), set(), set(), set()]
 
 
-@pytest.mark.parametrize(("by_words", "size"), [(True, 50), (False, 50), (True, 12)])
+@pytest.mark.parametrize(("by_words", "size"), [(True, 50), (False, 50), (True, 12), (True, 80), (False, 90)])
 def test_repeats(spark, corpus, docs, by_words, size):
     first, syms = {}, [words(t, False) if by_words else (t or "").encode() for _, t in corpus]
     key = lambda i: math.inf if i is None else i
@@ -311,19 +311,75 @@ def test_repeats(spark, corpus, docs, by_words, size):
     assert repeats.drop_repeated_words(empty(spark)).count() == 0
 
 
-def test_subtrees_split_by_prefix():
-    rng = np.random.default_rng(0)
-    sym = np.concatenate([rng.integers(0, 3, 4000), np.zeros(600)]).astype(np.uint64)
-    starts, size = np.arange(len(sym) - 11), 12
-    doc = rng.integers(0, 50, len(starts))
+def runs_of(rng, by_bytes):
+    """Some runs over a small alphabet, with copies, as symbols, ends by position, window starts and documents."""
+    parts = [rng.integers(0, 3, n) for n in (30, 12, 45, 13, 200, 90, 12)]
+    parts += [parts[2][5:40], parts[4][:100], np.zeros(80, np.int64), np.zeros(40, np.int64)]
+    sym = np.concatenate(parts).astype(np.uint8 if by_bytes else np.uint64)
+    end = np.cumsum([len(x) for x in parts])
+    ends = np.repeat(end, [len(x) for x in parts])
+    starts = np.flatnonzero(np.arange(len(sym)) + 12 <= ends)
+    return sym, ends, starts, rng.integers(0, 20, len(starts))
+
+
+def shared_prefix(sym, ends, a, b):
+    n = 0
+    while a + n < ends[a] and b + n < ends[b] and sym[a + n] == sym[b + n]:
+        n += 1
+    return n
+
+
+@pytest.mark.parametrize("by_bytes", [False, True])
+def test_suffix_structures(monkeypatch, by_bytes):
+    sym, ends, starts, doc = runs_of(np.random.default_rng(0), by_bytes)
+    size, s = 12, repeats.Suffixes(sym, ends)
+    order = s.order(starts)
+    text = [sym[i : ends[i]].tolist() for i in starts]
+    assert [text[i] for i in order] == sorted(text)
+    common = s.common(starts[order[:-1]], starts[order[1:]])
+    assert common.tolist() == [shared_prefix(sym, ends, starts[i], starts[j]) for i, j in zip(order[:-1], order[1:], strict=True)]
+    # nodes: every maximal range of leaves that share a prefix of the node's depth
+    lo, hi, depth, top = repeats.internal_nodes(common, size)
+    want = set()
+    for i, d in enumerate(common.tolist()):
+        if d >= size:
+            x, y = i, i
+            while x > 0 and common[x - 1] >= d:
+                x -= 1
+            while y + 1 < len(common) and common[y + 1] >= d:
+                y += 1
+            want.add((x, y + 2, d))
+    assert set(zip(lo.tolist(), hi.tolist(), depth.tolist(), strict=True)) == want and len(lo) == len(want)
+    for a, b, t in zip(lo, hi, top, strict=True):
+        assert t == (not any(c <= a and b <= d and (c, d) != (a, b) for c, d, _ in want))
+    # longest previous factors, by definition
+    length = repeats.previous_factors(common, doc[order])
+    for k, i in enumerate(order.tolist()):
+        assert length[k] == max([shared_prefix(sym, ends, starts[i], starts[j]) for j in range(len(starts)) if doc[j] < doc[i]], default=0)
     least = {}
-    for s, d in zip(starts, doc, strict=True):
-        g = sym[s : s + size].tobytes()
-        least[g] = min(least.get(g, 99), d)
-    want = [least[sym[s : s + size].tobytes()] < d for s, d in zip(starts, doc, strict=True)]
-    for group in (50, 700, 10**6):
-        assert repeats.solve_by_trees(sym, starts, doc, size, group).tolist() == want
-    assert repeats.solve_by_lpf(sym.astype(np.uint8), starts, doc, size).tolist() == want
+    for t, d in zip(text, doc, strict=True):
+        least[tuple(t[:size])] = min(least.get(tuple(t[:size]), 99), d)
+    held = [least[tuple(t[:size])] < d for t, d in zip(text, doc, strict=True)]
+    for group in (5, 70, 10**6):
+        monkeypatch.setattr(repeats, "GROUP", group)
+        before, again = repeats.solve_by_trees(s, starts, doc, size)
+        assert before.tolist() == held and again.all()
+    assert repeats.solve_by_lpf(s, starts, doc, size)[0].tolist() == held
+
+
+@pytest.mark.parametrize("name", ["solve_by_trees", "solve_by_lpf"])
+def test_suffix_structures_alone_decide(docs, monkeypatch, name):
+    monkeypatch.setattr(repeats, name, lambda suffixes, starts, doc, size: (np.zeros(len(starts), bool),) * 2)
+    got = (repeats.drop_repeated_words if name == "solve_by_trees" else repeats.drop_repeated_bytes)(docs)
+    assert got.agg(F.sum("n_removed")).first()[0] == 0
+
+
+def test_unequal_runs_are_told_apart():
+    sym = np.array([1, 2, 3, 1, 2, 4, 1, 2, 3])
+    at, n = np.array([0, 3, 6]), np.array([3, 3, 3])
+    repeats._equal_runs(sym, at, n, np.array([2]), np.array([0]))
+    with pytest.raises(ValueError, match="hash"):
+        repeats._equal_runs(sym, at, n, np.array([1]), np.array([0]))
 
 
 def test_near_vectors(spark, monkeypatch):
