@@ -57,11 +57,12 @@ def chunks(offs: np.ndarray, most: int = 1_000_000):
 
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit finaliser; returns a new array."""
-    x = x ^ (x >> U64(30))
+    t = x >> U64(30)
+    x = x ^ t
     x *= U64(0xBF58476D1CE4E5B9)
-    x ^= x >> U64(27)
+    x ^= np.right_shift(x, U64(27), out=t)
     x *= U64(0x94D049BB133111EB)
-    x ^= x >> U64(31)
+    x ^= np.right_shift(x, U64(31), out=t)
     return x
 
 
@@ -135,6 +136,18 @@ def grams(h: np.ndarray, k: int) -> np.ndarray:
     return mix(g)
 
 
+def byte_grams(data: np.ndarray, q: int) -> np.ndarray:
+    """Hash of the q bytes from each position on; len(data) - q + 1 of them."""
+    n = len(data) - q + 1
+    if n <= 0:
+        return np.zeros(0, U64)
+    x, g = eights(data), np.full(n, U64(q))
+    for j, m in zip(range(0, q, 8), multipliers(-(-q // 8)), strict=True):
+        v = x[j : j + n] * m if q - j >= 8 else (x[j : j + n] & _LOW_BYTES[q - j]) * m
+        g += v
+    return mix(g)
+
+
 def sequence_hash(h: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Hash of the values in each span [start, end)."""
     size = ends - starts

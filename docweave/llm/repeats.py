@@ -47,14 +47,16 @@ def anchors(sym: np.ndarray, first: np.ndarray, size: int, q: int):
     if n < size:
         z = np.zeros(0, np.int64)
         return z, z, z, z, np.zeros(0, np.uint64)
-    g = X.byte_hash(sym, np.arange(n - q + 1), np.arange(q, n + 1)) if sym.dtype == np.uint8 else X.grams(sym, q)
+    g = X.byte_grams(sym, q) if sym.dtype == np.uint8 else X.grams(sym, q)
     width = size - q + 1
-    at, span = np.arange(len(g), dtype=np.int32), 1
-    while span < width:  # leftmost least of span places, doubled up to the width
+    # the upper half of a hash and its place below: the least of span places is the leftmost, doubled up to the width
+    low = np.uint64((1 << 32) - 1)
+    key, span = (g & ~low) | np.arange(len(g), dtype=np.uint64), 1
+    while span < width:
         step = min(span, width - span)
-        a, b = at[: len(at) - step], at[step:]
-        at = np.where(g[a] <= g[b], a, b)
+        key = np.minimum(key[: len(key) - step], key[step:])
         span += step
+    at = (key & low).astype(np.int64)
     text = X.owner(first)[: n - size + 1]
     ok = np.arange(n - size + 1) + size <= first[1:][text]
     at = at[: n - size + 1]
@@ -64,7 +66,7 @@ def anchors(sym: np.ndarray, first: np.ndarray, size: int, q: int):
     m = np.diff(s, append=len(at))
     use = ok[s]
     s, m = s[use], m[use]
-    return text[s], s, m, at[s].astype(np.int64), g[at[s]]
+    return text[s], s, m, at[s], g[at[s]]
 
 
 def run_hash(sym: np.ndarray, s: np.ndarray, e: np.ndarray, anchor: np.ndarray, place: np.ndarray) -> np.ndarray:
@@ -188,18 +190,19 @@ def solve_by_trees(suffixes: Suffixes, starts: np.ndarray, doc: np.ndarray, size
             continue
         prefix = suffixes.levels[level][1][starts[own]]
         order = np.argsort(prefix, kind="stable")
-        cut = np.flatnonzero(np.diff(prefix[order], prepend=-1))
-        small: list = []
-        for part in np.split(own[order], cut[1:]):  # small neighbours share a group
-            if len(part) > GROUP:
-                todo.append((part, level + 1))
+        cut = np.append(np.flatnonzero(np.diff(prefix[order], prepend=-1)), len(own))
+        large = np.append(np.flatnonzero(np.diff(cut) > GROUP), len(cut) - 1)
+        lo = 0
+        while lo < len(cut) - 1:
+            stop = int(large[np.searchsorted(large, lo)])
+            if stop == lo:
+                todo.append((own[order[cut[lo] : cut[lo + 1]]], level + 1))
+                lo += 1
                 continue
-            if small and sum(map(len, small)) + len(part) > GROUP:
-                ready.append(np.concatenate(small))
-                small = []
-            small.append(part)
-        if small:
-            ready.append(np.concatenate(small))
+            # small neighbours share a group
+            hi = min(stop, int(np.searchsorted(cut, cut[lo] + GROUP, "right")) - 1)
+            ready.append(own[order[cut[lo] : cut[hi]]])
+            lo = hi
     for own in ready:
         leaf = own[suffixes.order(starts[own])]
         if len(leaf) < 2:
@@ -274,7 +277,9 @@ def mark_repeats(docs: DataFrame, by_words: bool, size: int, q: int, solve: Call
             X.release()
         for k, got in held.items():
             a, w, many = _owners(*(np.concatenate([x[i] for x in got]) for i in range(3)))
-            p = part_of(a, parts)  # ascending, as the anchors are
+            p = part_of(X.mix(a), parts)  # anchors are small hashes, so they are mixed again
+            order = np.argsort(p, kind="stable")
+            p, a, w, many = p[order], a[order], w[order], many[order]
             cut = np.searchsorted(p, np.arange(parts + 1))
             for i in range(parts):
                 s = slice(cut[i], cut[i + 1])
@@ -321,7 +326,7 @@ def mark_repeats(docs: DataFrame, by_words: bool, size: int, q: int, solve: Call
             same = np.flatnonzero(~new & (which[order] == w) & (np.roll(which[order], 1) == w))
             _equal_runs(x[7], s, e - s, order[same], order[same - 1])
         pick = order[new]
-        p = part_of(a[pick], parts)
+        p = part_of(X.mix(a[pick]), parts)
         pick = pick[np.argsort(p, kind="stable")]
         cut = np.searchsorted(np.sort(p), np.arange(parts + 1))
         for i in range(parts):
