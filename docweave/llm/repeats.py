@@ -76,34 +76,43 @@ def run_hash(sym: np.ndarray, s: np.ndarray, e: np.ndarray, anchor: np.ndarray,
 
 
 class Suffixes:
-    """Ranks of all suffixes of some runs by their first c, 2c, 4c, ... symbols; a suffix ends with its run."""
+    """Ranks of the suffixes of some runs by their first c, 2c, 4c, ... symbols; a suffix ends with its run.
 
-    def __init__(self, sym: np.ndarray, ends: np.ndarray):
-        self.ends = ends  # by position, the end of its run
-        base = sym.astype(np.uint64) + np.uint64(1) if sym.dtype == np.uint8 else X.dense_ranks(sym).astype(np.uint64) + np.uint64(1)
-        self.base = base
-        width = int(base.max()).bit_length() if len(base) else 1
+    The last doubling, to whole suffixes, is made for those at ``starts`` only.
+    """
+
+    def __init__(self, sym: np.ndarray, ends: np.ndarray, starts: np.ndarray):
+        self.ends, self.starts = ends, starts  # ends by position: where its run ends
+        self.base = base = sym.astype(np.uint64) + np.uint64(1) if sym.dtype == np.uint8 else X.dense_ranks(sym).astype(np.uint64) + np.uint64(1)
+        n, width = len(base), int(base.max()).bit_length() if len(base) else 1
         c = max(1, 63 // width)
-        key, at = np.zeros(len(base), np.uint64), np.arange(len(base))
-        for k in range(c):  # as many symbols as fit a number, zeros past the end
-            inside = at + k < ends
-            key[inside] |= base[at[inside] + k] << np.uint64(width * (c - 1 - k))
+        left = ends - np.arange(n)
+        key = base << np.uint64(width * (c - 1))
+        for k in range(1, min(c, n)):  # as many symbols as fit a number
+            key[: n - k] |= base[k:] << np.uint64(width * (c - 1 - k))
+        # zeros past the end
+        key &= np.array([((1 << width * k) - 1) << width * (c - k) for k in range(c + 1)], np.uint64)[np.minimum(left, c)]
         self.levels = [(c, X.dense_ranks(key).astype(np.int32))]
-        longest = int((ends - at).max()) if len(base) else 0
-        while self.levels[-1][0] < longest:
+        longest = int(left.max()) if n else 0
+        while 2 * self.levels[-1][0] < longest:
             have, r = self.levels[-1]
             key = r.astype(np.uint64) << np.uint64(32)
-            inside = at + have < ends
-            key[inside] |= r[at[inside] + have].astype(np.uint64) + np.uint64(1)
+            if have < n:
+                key[: n - have] |= np.where(left[: n - have] > have, r[have:] + 1, 0).astype(np.uint64)
             self.levels.append((2 * have, X.dense_ranks(key).astype(np.int32)))
+        have, r = self.levels[-1]
+        self.whole = r[starts].astype(np.uint64) << np.uint64(32)
+        far = np.flatnonzero(left[starts] > have)
+        self.whole[far] |= (r[starts[far] + have] + 1).astype(np.uint64)
 
-    def order(self, starts: np.ndarray) -> np.ndarray:
-        return np.argsort(self.levels[-1][1][starts], kind="stable")
+    def order(self, own: np.ndarray) -> np.ndarray:
+        """The suffixes ``own``, given as indices of ``starts``, in their order."""
+        return own[np.argsort(self.whole[own], kind="stable")]
 
     def common(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Lengths of the longest common prefixes of the suffixes a and b."""
         n, most = np.zeros(len(a), np.int64), np.minimum(self.ends[a] - a, self.ends[b] - b)
-        for have, r in reversed(self.levels):
+        for have, r in reversed([*self.levels, self.levels[-1]]):
             live = np.flatnonzero(n < most)
             i, j = a[live] + n[live], b[live] + n[live]
             live = live[r[i] == r[j]]
@@ -172,7 +181,7 @@ def internal_nodes(common: np.ndarray, depth: int):
     return lo, hi, own, above < depth
 
 
-def solve_by_trees(suffixes: Suffixes, starts: np.ndarray, doc: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+def solve_by_trees(suffixes: Suffixes, doc: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """By window: whether a smaller document holds it, and whether its leaf is deep enough to repeat in a later copy of the run.
 
     Variable-length prefixes split the suffixes into groups: a prefix grows
@@ -181,6 +190,7 @@ def solve_by_trees(suffixes: Suffixes, starts: np.ndarray, doc: np.ndarray, size
     ``size`` or more are the maximal repeats; the topmost above a leaf holds
     all places of the leaf's window.
     """
+    starts = suffixes.starts
     before, again = np.zeros(len(starts), bool), suffixes.ends[starts] - starts >= size
     todo, ready = [(np.arange(len(starts)), 0)], []
     while todo:
@@ -204,7 +214,7 @@ def solve_by_trees(suffixes: Suffixes, starts: np.ndarray, doc: np.ndarray, size
             ready.append(own[order[cut[lo] : cut[hi]]])
             lo = hi
     for own in ready:
-        leaf = own[suffixes.order(starts[own])]
+        leaf = suffixes.order(own)
         if len(leaf) < 2:
             continue
         lo, hi, _, top = internal_nodes(suffixes.common(starts[leaf[:-1]], starts[leaf[1:]]), size)
@@ -227,9 +237,10 @@ def previous_factors(common: np.ndarray, doc: np.ndarray) -> np.ndarray:
     return out
 
 
-def solve_by_lpf(suffixes: Suffixes, starts: np.ndarray, doc: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+def solve_by_lpf(suffixes: Suffixes, doc: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """As ``solve_by_trees``, by longest previous factors over the suffix array; a later copy's factor is all that is left of its run."""
-    order = suffixes.order(starts)
+    starts = suffixes.starts
+    order = suffixes.order(np.arange(len(starts)))
     length = np.zeros(len(starts), np.int64)
     if len(order) > 1:
         length[order] = previous_factors(suffixes.common(starts[order[:-1]], starts[order[1:]]), doc[order])
@@ -427,7 +438,7 @@ def _masks(sym: np.ndarray, at: np.ndarray, m: np.ndarray, least: np.ndarray, si
     s0, w0 = np.cumsum(span) - span, np.cumsum(m) - m
     own = sym[np.repeat(at - s0, span) + np.arange(span.sum())]
     off = np.arange(m.sum()) - np.repeat(w0, m)
-    got = solve(Suffixes(own, np.repeat(s0 + span, span)), np.repeat(s0, m) + off, np.repeat(least, m), size)
+    got = solve(Suffixes(own, np.repeat(s0 + span, span), np.repeat(s0, m) + off), np.repeat(least, m), size)
     bit = np.uint64(1) << off.astype(np.uint64)
     return tuple(np.bitwise_or.reduceat(np.where(hit, bit, np.uint64(0)), w0) for hit in got)
 

@@ -332,8 +332,8 @@ def shared_prefix(sym, ends, a, b):
 @pytest.mark.parametrize("by_bytes", [False, True])
 def test_suffix_structures(monkeypatch, by_bytes):
     sym, ends, starts, doc = runs_of(np.random.default_rng(0), by_bytes)
-    size, s = 12, repeats.Suffixes(sym, ends)
-    order = s.order(starts)
+    size, s = 12, repeats.Suffixes(sym, ends, starts)
+    order = s.order(np.arange(len(starts)))
     text = [sym[i : ends[i]].tolist() for i in starts]
     assert [text[i] for i in order] == sorted(text)
     common = s.common(starts[order[:-1]], starts[order[1:]])
@@ -362,14 +362,14 @@ def test_suffix_structures(monkeypatch, by_bytes):
     held = [least[tuple(t[:size])] < d for t, d in zip(text, doc, strict=True)]
     for group in (5, 70, 10**6):
         monkeypatch.setattr(repeats, "GROUP", group)
-        before, again = repeats.solve_by_trees(s, starts, doc, size)
+        before, again = repeats.solve_by_trees(s, doc, size)
         assert before.tolist() == held and again.all()
-    assert repeats.solve_by_lpf(s, starts, doc, size)[0].tolist() == held
+    assert repeats.solve_by_lpf(s, doc, size)[0].tolist() == held
 
 
 @pytest.mark.parametrize("name", ["solve_by_trees", "solve_by_lpf"])
 def test_suffix_structures_alone_decide(docs, monkeypatch, name):
-    monkeypatch.setattr(repeats, name, lambda suffixes, starts, doc, size: (np.zeros(len(starts), bool),) * 2)
+    monkeypatch.setattr(repeats, name, lambda suffixes, doc, size: (np.zeros(len(doc), bool),) * 2)
     got = (repeats.drop_repeated_words if name == "solve_by_trees" else repeats.drop_repeated_bytes)(docs)
     assert got.agg(F.sum("n_removed")).first()[0] == 0
 
