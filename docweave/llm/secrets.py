@@ -1,7 +1,10 @@
 """Secret scanning: fixed patterns plus a linear-chain conditional random field.
 
 Tokens are tagged begin, inside or outside of a secret from their shape, their
-neighbours and features of the whole file, and decoded by Viterbi.  A token
+neighbours and features of the whole file, and decoded by Viterbi.  It learns
+from real texts: where patterns hit, and where secrets of other forms (bare and
+prefixed keys, credentials in URLs, values behind words without a sign, dotted
+tokens) and harmless look-alikes are written into them.  A token
 whose outside score leads by more than all transitions can make up is outside
 on every best path, so only the rest is decoded; this prunes without changing
 the result.  There is no shuffle.
@@ -10,7 +13,9 @@ the result.  There is no shuffle.
 from __future__ import annotations
 
 import heapq
+import random
 import re
+import string
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docweave.llm import _text as X
-from docweave.llm._spark import saved, small_batches
+from docweave.llm._spark import drop, saved, small_batches
 
 KINDS = ("assign", "access", "hex", "crf")
 ASSIGN = re.compile(r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -35,9 +40,50 @@ O, B, I = 0, 1, 2  # noqa: E741
 #: Tokens that often name what follows; a fixed list.
 NAMES = ("password", "passwd", "secret", "token", "api_key", "apikey", "key", "auth", "bearer", "credential", "private", "access", "pwd")
 _NAMES = np.sort(X.words(*X.column_bytes(pa.array(NAMES)), _TOKEN)[0])
-SLOTS, WIDTH = 14, 16
-CLEAN = 200  # texts without a hit that the sample holds at least
-HIDDEN = 0.3  # share of the features hidden in training
+SLOTS, WIDTH = 17, 16
+HIDDEN = 0.15  # share of the features hidden in training
+_LETTERS, _KEY = string.ascii_lowercase, string.ascii_letters + string.digits
+
+
+def _word(r: random.Random) -> str:
+    return "".join(r.choice(_LETTERS) for _ in range(r.randint(3, 9)))
+
+
+def _key(r: random.Random, least: int, most: int, more: str = "") -> str:
+    """Random letters and digits, some of each."""
+    while True:
+        k = "".join(r.choice(_KEY + more) for _ in range(r.randint(least, most)))
+        if any(c.isdigit() for c in k) and any(c.isupper() for c in k) and any(c.islower() for c in k):
+            return k
+
+
+def written_secret(r: random.Random) -> tuple[str, str, str]:
+    """A secret that the patterns need not cover, with what stands before and after it."""
+    form = r.randrange(7)
+    if form == 0:
+        return "", _key(r, 20, 40), ""
+    if form == 1:
+        return "", "".join(r.choice(_LETTERS) for _ in range(r.randint(2, 4))) + r.choice("_-") + _key(r, 20, 36), ""
+    if form == 2:
+        return r.choice(("password is ", "Bearer ", "my key ", "credential ", "the token is ", "auth ", "pwd ", "secret was ")), _key(r, 12, 24), ""
+    if form == 3:
+        return f"https://{_word(r)}:", _key(r, 10, 20), f"@{_word(r)}.example.org/{_word(r)}"
+    if form == 4:
+        return "", ".".join((_key(r, 16, 30), _key(r, 16, 40), _key(r, 20, 40))), ""
+    if form == 5:
+        return r.choice(("", '"', "key: ")), _key(r, 36, 44, "+/"), ""
+    return f'{_word(r)}="', _key(r, 16, 32), '"'
+
+
+def harmless(r: random.Random) -> str:
+    """What may look like a secret and is none."""
+    d = lambda n: "".join(r.choice(string.digits) for _ in range(n))
+    w = lambda: _word(r)
+    return r.choice((
+        f"{w()}.{d(2)}@mail{d(1)}.example.com", f"{d(2)}.{d(3)}.{d(2)}.{d(3)}", f"20{d(2)}-0{d(1)}-1{d(1)}", f"v{d(1)}.{d(2)}.{d(1)}", f"+{d(1)} ({d(3)}) {d(3)}-{d(4)}", f"/usr/{w()}/{w()}/{w()}",
+        f"{w()}{w().title()}{w().title()}{w().title()}", f"{w()}-{w()}-{w()}-{w()}", f"{w()}_{w()}_{w()}".upper(), f"{d(3)}-{d(1)}-{d(2)}-{d(6)}-{d(1)}", f"https://www.{w()}.example.org/{w()}/{d(4)}",
+        f"{w()}{w()}{w()}{w()}", f"{d(2)},{d(3)}.{d(2)}", f"password is {w()}", f"token {w()}", f"{w()}{d(2)}", f"Bearer {w()}", f"{w()}:{w()}",
+    ))
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -77,6 +123,7 @@ def features(data: np.ndarray, offs: np.ndarray):
     ct = count(turn)
     quote = count((data == 0x22) | (data == 0x27))
     assign = count((data == 0x3D) | (data == 0x3A))
+    at_sign = count(data == 0x40)
     length = ends - starts
     d, u, lo, x, hi = cd[ends] - cd[starts], cu[ends] - cu[starts], cl[ends] - cl[starts], cx[ends] - cx[starts], chigh[ends] - chigh[starts]
     turns = ct[ends] - ct[np.minimum(starts + 1, ends)]
@@ -94,6 +141,9 @@ def features(data: np.ndarray, offs: np.ndarray):
     gap_e = np.zeros(n, np.int64)
     gap_e[:-1] = starts[1:]
     gap_e = np.where(same_a, gap_e, offs[1:][doc] if n else 0)
+    dotted = np.zeros(n, np.int64)  # joined to the token before it by one full stop
+    if n > 1:
+        dotted[1:] = same_b[1:] & (starts[1:] - ends[:-1] == 1) & (data[ends[:-1].clip(max=len(data) - 1)] == 0x2E)
     named = np.zeros(n, bool)
     if n:
         named = _NAMES[np.minimum(np.searchsorted(_NAMES, h), len(_NAMES) - 1)] == h
@@ -115,6 +165,7 @@ def features(data: np.ndarray, offs: np.ndarray):
     own = [
         np.zeros(n, np.int64), size, share * 2 + (x == length), np.minimum(mixed, 15), shape * 2 + (length >= 16), np.minimum(turns, 15),
         named * 1, before(named * 1, 2), ((assign[starts] - assign[gap_s]) > 0) * 2 + ((quote[starts] - quote[gap_s]) > 0), ((quote[gap_e] - quote[ends]) > 0) * 2 + ((assign[gap_e] - assign[ends]) > 0),
+        ((at_sign[gap_e] - at_sign[ends]) > 0) * 2 + ((at_sign[starts] - at_sign[gap_s]) > 0), dotted * 2 + after(dotted, 0), before(size, 11),
         before(shape, 6), after(shape, 6), doc_digits[doc] * 2 + (doc_assign[doc] > 0) if n else np.zeros(0, np.int64), doc_size[doc] if n else np.zeros(0, np.int64),
     ]
     ids = np.empty((n, SLOTS), np.int16)
@@ -227,46 +278,65 @@ def viterbi(u: np.ndarray, t: np.ndarray, begins: np.ndarray) -> np.ndarray:
     return best
 
 
-def windows(t: str, spans: list[tuple[int, int, int]], window: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """(ids, tags) around the first two secrets and around one other token of a text."""
+def windows(t: str, spans: list[tuple[int, int, int]], window: int, seed: int, most: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(ids, tags) around at most ``most`` secrets that the patterns find, written ones and other tokens of a text."""
+    r = random.Random(seed)
+    at = []
+    for s, k, e in spans:
+        m = ASSIGN.match(t, s) if k == 0 else None
+        at.append((m.start(1) if m else s, e))
+    # two secrets and two look-alikes go between words outside the patterns' spans
+    gaps = [m.start() for m in re.finditer(r"(?<=\S)\s", t) if not any(s <= m.start() < e for s, _, e in spans)] or [len(t)]
+    parts, marks, upto, shift = [], [], 0, 0
+    for g, kind in sorted((r.choice(gaps), kind) for kind in (1, 1, 0, 0)):
+        before, what, after = written_secret(r) if kind else ("", harmless(r), "")
+        piece = f" {before}{what}{after}" if g else f"{before}{what}{after}"
+        parts += [t[upto:g], piece]
+        s = g + shift + len(piece) - len(after) - len(what)
+        marks.append((kind, s, s + len(what)))
+        at = [(x + len(piece), y + len(piece)) if x >= g + shift else (x, y) for x, y in at]
+        upto, shift = g, shift + len(piece)
+    t = "".join([*parts, t[upto:]])
     raw = t.encode()
     ids, starts, ends, _ = features(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
     n = len(starts)
     if not n:
         return []
-    at = []
-    for s, k, e in spans:
-        m = ASSIGN.match(t, s) if k == 0 else None
-        at.append((len(t[: m.start(1) if m else s].encode()), len(t[:e].encode())))
-    y = tags(starts, ends, at)
+    to_bytes = lambda x: len(t[:x].encode())
+    y = tags(starts, ends, [(to_bytes(s), to_bytes(e)) for s, e in at + [(s, e) for kind, s, e in marks if kind]])
+    found = np.flatnonzero(y == B)
+    centres = r.sample(found.tolist(), min(most, len(found)))
+    centres += [int(np.searchsorted(ends, to_bytes(s), "right")) for kind, s, _ in marks if not kind][:1] + [r.randrange(n)]
     out = []
-    for c in np.flatnonzero(y == B)[:2].tolist() + [len(raw) * 7919 % n]:
+    for c in centres:
         i = max(0, min(c - window // 2, n - window))
         out.append((ids[i : i + window], y[i : i + window]))
     return out
 
 
-def fit(docs: DataFrame, text: str = "text", key: str = "doc_id", sample_rows: int = 1500, window: int = 16) -> dict | None:
-    """Train on windows of at most ``sample_rows`` texts (a documented bound), tagged by the patterns.
+def fit(docs: DataFrame, text: str = "text", key: str = "doc_id", sample_rows: int = 1000, window: int = 16, most: int = 3) -> dict | None:
+    """Train on at most ``most`` + 2 windows of each of at most ``sample_rows`` texts (documented bounds).
 
     Half of the bound is for texts where a pattern hits, wherever they are in
-    the table, and as many texts without a hit go with them, CLEAN at least;
-    fewer hits than that are repeated, so that they aren't outweighed.
+    the table, half for others; ``windows`` writes more secrets into all of
+    them.  A table without a text gives no model.
     """
     half = max(1, sample_rows // 2)
     rows = docs.select(F.col(text).alias("text"), F.xxhash64(F.lit(11), F.coalesce(F.col(key).cast("string"), F.lit("")), F.col(text)).alias("o"))
 
     def cut(batches):
-        least: tuple[list, list] = ([], [])  # the smallest orders met, negated, of clean texts and of hits
+        least: tuple[list, list] = ([], [])  # the smallest orders met, negated, of texts without a hit and with one
         for b in batches:
             found = []
             for t, o in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                spans = base_spans(t or "")
+                if not t or all(len(side) >= half and o >= -side[0] for side in least):
+                    continue
+                spans = base_spans(t)
                 side = least[bool(spans)]
-                if not t or len(side) >= half and o >= -side[0]:
+                if len(side) >= half and o >= -side[0]:
                     continue  # ``half`` texts of its kind go before it
-                got = windows(t, spans, window)
-                if not got or spans and not any((y == B).any() for _, y in got):
+                got = windows(t, spans, window, o, most)
+                if not got:
                     continue
                 (heapq.heappush if len(side) < half else heapq.heapreplace)(side, -o)
                 found.append((bool(spans), o, X.pack(n=np.array([len(y) for _, y in got]), ids=np.concatenate([i.ravel() for i, _ in got]), y=np.concatenate([y for _, y in got]))))
@@ -275,12 +345,12 @@ def fit(docs: DataFrame, text: str = "text", key: str = "doc_id", sample_rows: i
 
     # few rows leave each task, so the second kind is not worth a second scan
     cuts = saved(rows.mapInArrow(cut, "hit boolean, o bigint, b binary"))
-    hits = cuts.where("hit").orderBy("o", "b").limit(half).collect()
-    if not hits:
+    got = [r for hit in (True, False) for r in cuts.where(F.col("hit") == hit).orderBy("o", "b").limit(half).collect()]
+    drop(cuts)
+    if not got:
         return None
-    clean = cuts.where("not hit").orderBy("o", "b").limit(min(half, max(len(hits), CLEAN))).collect()
     parts = []
-    for r in hits * max(1, round(len(clean) / len(hits))) + clean:
+    for r in got:
         x = X.unpack(r["b"])
         at = np.cumsum(x["n"])[:-1]
         parts += zip(np.split(x["ids"].reshape(-1, SLOTS), at), np.split(x["y"], at), strict=True)
@@ -288,7 +358,7 @@ def fit(docs: DataFrame, text: str = "text", key: str = "doc_id", sample_rows: i
     y, mask = np.zeros((len(parts), window), np.int8), np.zeros((len(parts), window), bool)
     for i, (x, t) in enumerate(parts):
         ids[i, : len(t)], y[i, : len(t)], mask[i, : len(t)] = x, t, True
-    # some features are hidden (id 1, which no token has), so that a token need not look like a pattern's in all of them
+    # some features are hidden (id 1, which no token has), so that no single one decides
     hide = np.random.Generator(np.random.PCG64(5)).random(ids.shape) < HIDDEN
     hide[..., 0] = False
     ids[hide] = 1
@@ -344,7 +414,7 @@ def _found(texts: list, data: np.ndarray, offs: np.ndarray, model: dict | None)
     return rows
 
 
-def find_secrets(docs: DataFrame, text: str = "text", key: str = "doc_id", sample_rows: int = 1500, model: dict | None = None) -> DataFrame:
+def find_secrets(docs: DataFrame, text: str = "text", key: str = "doc_id", sample_rows: int = 1000, model: dict | None = None) -> DataFrame:
     """Append ``secrets``, an array of (kind, start, end) in code points, end exclusive.
 
     Pattern matches always stay; a decoded span is added as kind ``crf`` where
@@ -369,7 +439,7 @@ def find_secrets(docs: DataFrame, text: str = "text", key: str = "doc_id", sampl
     return plain.mapInArrow(scan, T.StructType([*plain.schema.fields, T.StructField("secrets", span)]))
 
 
-def redact_secrets(docs: DataFrame, text: str = "text", mark: str = "[SECRET]", key: str = "doc_id", sample_rows: int = 1500, model: dict | None = None) -> DataFrame:
+def redact_secrets(docs: DataFrame, text: str = "text", mark: str = "[SECRET]", key: str = "doc_id", sample_rows: int = 1000, model: dict | None = None) -> DataFrame:
     """Replace every span that ``find_secrets`` finds by ``mark``; spans that touch or overlap become one.
 
     One pass finds and replaces, so a task needs one Python worker.
