@@ -324,34 +324,39 @@ def fit(docs: DataFrame, text: str = "text", key: str = "doc_id", sample_rows: i
     half = max(1, sample_rows // 2)
     rows = docs.select(F.col(text).alias("text"), F.xxhash64(F.lit(11), F.coalesce(F.col(key).cast("string"), F.lit("")), F.col(text)).alias("o"))
 
-    def cut(batches):
-        least: tuple[list, list] = ([], [])  # the smallest orders met, negated, of texts without a hit and with one
+    def pick(batches):  # of each kind the texts of the smallest orders, ``half`` in a task
+        least: tuple[list, list] = ([], [])
         for b in batches:
-            found = []
             for t, o in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                if not t or all(len(side) >= half and o >= -side[0] for side in least):
-                    continue
-                spans = base_spans(t)
-                side = least[bool(spans)]
-                if len(side) >= half and o >= -side[0]:
-                    continue  # ``half`` texts of its kind go before it
-                got = windows(t, spans, window, o, most)
-                if not got:
+                if not t or all(len(side) >= half and o >= -side[0][0] for side in least):
                     continue
-                (heapq.heappush if len(side) < half else heapq.heapreplace)(side, -o)
-                found.append((bool(spans), o, X.pack(n=np.array([len(y) for _, y in got]), ids=np.concatenate([i.ravel() for i, _ in got]), y=np.concatenate([y for _, y in got]))))
-            if found:
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*found, strict=True), (pa.bool_(), pa.int64(), pa.binary()), strict=True)], names=["hit", "o", "b"])
+                side = least[bool(base_spans(t))]
+                if len(side) < half:
+                    heapq.heappush(side, (-o, t))
+                elif o < -side[0][0]:
+                    heapq.heapreplace(side, (-o, t))
+        for hit, side in enumerate(least):
+            for o, t in side:
+                yield pa.RecordBatch.from_arrays([pa.array([bool(hit)]), pa.array([-o], pa.int64()), pa.array([t], pa.string())], names=["hit", "o", "t"])
+
+    def cut(batches):
+        for b in batches:
+            for t, o in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                got = windows(t, base_spans(t), window, o, most)
+                if got:
+                    blob = X.pack(n=np.array([len(y) for _, y in got]), ids=np.concatenate([i.ravel() for i, _ in got]), y=np.concatenate([y for _, y in got]))
+                    yield pa.RecordBatch.from_arrays([pa.array([o], pa.int64()), pa.array([blob], pa.binary())], names=["o", "b"])
 
     # few rows leave each task, so the second kind is not worth a second scan
-    cuts = saved(rows.mapInArrow(cut, "hit boolean, o bigint, b binary"))
-    got = [r for hit in (True, False) for r in cuts.where(F.col("hit") == hit).orderBy("o", "b").limit(half).collect()]
-    drop(cuts)
+    picked = saved(rows.mapInArrow(pick, "hit boolean, o bigint, t string"))
+    few = [picked.where(F.col("hit") == hit).orderBy("o", "t").limit(half).select("t", "o") for hit in (True, False)]
+    got = sorted((r["o"], bytes(r["b"])) for r in few[0].union(few[1]).mapInArrow(cut, "o bigint, b binary").collect())
+    drop(picked)
     if not got:
         return None
     parts = []
-    for r in got:
-        x = X.unpack(r["b"])
+    for _, blob in got:
+        x = X.unpack(blob)
         at = np.cumsum(x["n"])[:-1]
         parts += zip(np.split(x["ids"].reshape(-1, SLOTS), at), np.split(x["y"], at), strict=True)
     ids = np.zeros((len(parts), window, SLOTS), np.int16)
