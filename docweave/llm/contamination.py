@@ -33,8 +33,7 @@ def benchmark_blocks(bench: DataFrame, text: str, item: str, window: int, block_
         if size >= block_bytes:
             yield _block(ids, texts, window)
             ids, texts, size = [], [], 0
-    if ids:
-        yield _block(ids, texts, window)
+    yield _block(ids, texts, window)
 
 
 def _block(ids: list, texts: list, window: int) -> dict:
@@ -149,12 +148,16 @@ def match_benchmark(docs: DataFrame, bench: DataFrame, text: str = "text", windo
     small_batches(docs.sparkSession)
     cols = [c for c in docs.columns if c.lower() not in ("n_words", "n_hit", "items", "longest_match", "hit_spans")]
     plain = docs.select(*[docs[c] for c in cols])
-    state = T.StructType([*plain.schema.fields, T.StructField("_n", T.LongType()), T.StructField("_hit", T.BinaryType()), T.StructField("_items", T.ArrayType(T.StringType())), T.StructField("_long", T.LongType())])
+    tag = "_"
+    while any(c.lower().startswith(tag) for c in cols):  # names that no column has
+        tag += "_"
+    extra = [tag + c for c in ("n", "hit", "items", "long")]
+    state = T.StructType([*plain.schema.fields, *[T.StructField(c, t) for c, t in zip(extra, (T.LongType(), T.BinaryType(), T.ArrayType(T.StringType()), T.LongType()), strict=True)]])
     none = F.lit(None)
-    df = plain.select("*", F.lit(0).cast("long").alias("_n"), none.cast("binary").alias("_hit"), none.cast("array<string>").alias("_items"), F.lit(0).cast("long").alias("_long"))
-    blocks = list(benchmark_blocks(bench, bench_text, item, window, block_bytes)) or [_block([], [], window)]
+    df = plain.select("*", F.lit(0).cast("long").alias(extra[0]), none.cast("binary").alias(extra[1]), none.cast("array<string>").alias(extra[2]), F.lit(0).cast("long").alias(extra[3]))
     at, k = cols.index(text), len(cols)
-    for block in blocks:
+    # one block at a time is on the driver; a broadcast one lies in the block manager's files
+    for block in benchmark_blocks(bench, bench_text, item, window, block_bytes):
         shared = docs.sparkSession.sparkContext.broadcast(block)
 
         def step(batches, shared=shared):
@@ -180,7 +183,7 @@ def match_benchmark(docs: DataFrame, bench: DataFrame, text: str = "text", windo
                         hits.append(None if own is None else np.packbits(own).tobytes())
                         items.append((old_items[i + d] or []) + by[d])
                         longest.append(max(int(lm[d]), old_long[i + d]))
-                yield pa.RecordBatch.from_arrays([*b.columns[:k], pa.array(n, pa.int64()), pa.array(hits, pa.binary()), pa.array(items, pa.list_(pa.string())), pa.array(longest, pa.int64())], names=[*b.schema.names[:k], "_n", "_hit", "_items", "_long"])
+                yield pa.RecordBatch.from_arrays([*b.columns[:k], pa.array(n, pa.int64()), pa.array(hits, pa.binary()), pa.array(items, pa.list_(pa.string())), pa.array(longest, pa.int64())], names=[*b.schema.names[:k], *extra])
 
         df = df.mapInArrow(step, state)
 

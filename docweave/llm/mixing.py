@@ -10,6 +10,7 @@ seeded start, so each block is taken floor(q/n) or ceil(q/n) times.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -65,36 +66,42 @@ def sainte_lague(votes: np.ndarray, seats: int, most: np.ndarray | None = None)
         else:
             hi = mid
     got = at(hi)
-    while got.sum() < seats:
+    while (left := seats - int(got.sum())) > 0:  # what is left are ties at the last divisor
         q = np.where(got < most, votes / (2 * got + 1), -1.0)
-        got[np.argmax(q)] += 1
+        got[np.argsort(-q, kind="stable")[: min(left, int((q >= lo).sum()) or 1)]] += 1
     return got
 
 
-def count_words(df: DataFrame, text: str, out: str) -> DataFrame:
-    """Append the number of white-space separated words; null texts have none."""
+def count_words(df: DataFrame, text: str, out: str, keep_text: bool = False) -> DataFrame:
+    """Append the number of white-space separated words; null texts have none.
+
+    The text goes unless ``keep_text`` is set; a clashing column ``out`` is replaced.
+    """
     small_batches(df.sparkSession)
-    cols = [c for c in df.columns if c != text]
+    cols = [c for c in df.columns if c != text and c.lower() != out.lower()]
     src = df.select(*cols, text)
+    kept = len(cols) + keep_text
 
     def run(batches):
         for b in batches:
             data, offs = X.column_bytes(b.column(len(cols)))
             n = [np.zeros(0, np.int64)] + [np.diff(X.word_spans(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i], X.SPACE)[2]) for i, j in X.chunks(offs, 4_000_000)]
-            yield pa.RecordBatch.from_arrays([*b.columns[: len(cols)], pa.array(np.concatenate(n), pa.int64())], names=[*cols, out])
+            yield pa.RecordBatch.from_arrays([*b.columns[:kept], pa.array(np.concatenate(n), pa.int64())], names=[*b.schema.names[:kept], out])
 
-    return src.mapInArrow(run, T.StructType([*src.schema.fields[:-1], T.StructField(out, T.LongType())]))
+    return src.mapInArrow(run, T.StructType([*src.schema.fields[:kept], T.StructField(out, T.LongType())]))
 
 
-def mix_sources(sizes: DataFrame, weights=(5.0, 2.0, 1.0), source: str = "source", key: str = "doc_id", size: str = "size", block: int = 64, shard_tokens: int = 2_000_000, max_shards: int = 4096, most: int = 3, seed: int = 17) -> DataFrame:
+def mix_sources(sizes: DataFrame, weights=(5.0, 2.0, 1.0), source: str = "source", key: str = "doc_id", size: str = "size", block: int = 64, shard_tokens: int = 2_000_000, most: int = 3, seed: int = 17, rows: DataFrame | None = None) -> DataFrame:
     """Rows (source, key, size) with source_size, target and taken added.
 
     Weights go round the sources in code-point order, null last.  A row's words
     are taken at most ``most`` times; a source's total differs from its target
     by less than a few blocks for every shard.  Rows of size 0 or null take 0;
     repeated rows are separate rows; an empty table gives no rows; equal seeds
-    give equal results.  The driver holds one number for each source and for each of its shards,
-    of which a source has ``max_shards`` at most; never rows.
+    give equal results.  ``rows`` may give the same rows with further columns,
+    which are kept if no added column has their name.  The driver holds a few
+    numbers for each source and for each shard of ``shard_tokens``, never rows:
+    some 8 million shards, 200 MB, for 100 TB of text.
     """
     spark = sizes.sparkSession
     base = sizes.select(F.col(key).alias("_k"), F.col(source).alias("_s"), F.coalesce(F.col(size), F.lit(0)).cast("long").alias("_n"))
@@ -104,25 +111,29 @@ def mix_sources(sizes: DataFrame, weights=(5.0, 2.0, 1.0), source: str = "source
     total = sum(n)
     goal = targets(n, w, total, most)
     seats = sainte_lague(np.array(goal), int(round(min(total, most * total) / block)))
-    shards = [min(max_shards, max(1, -(-x // shard_tokens))) for x in n]
+    shards = [max(1, -(-x // shard_tokens)) for x in n]
     plan = spark.createDataFrame([(s, i, n[i], float(goal[i]), shards[i]) for i, s in enumerate(names)], "_s string, _i int, _ss long, _t double, _shards int")
-    base = base.withColumn("_s", F.col("_s").cast("string"))
-    # one small row for each source, so the join is by broadcast only if Spark finds it small
-    rows = base.join(plan, base["_s"].eqNullSafe(plan["_s"]), "inner").select("_k", base["_s"].alias("_s"), "_n", "_i", "_ss", "_t", F.pmod(F.xxhash64(F.lit(seed), F.col("_k"), F.lit(1)), F.col("_shards")).cast("int").alias("_h"))
-    sums = rows.groupBy("_i", "_h").agg(F.sum("_n").alias("n")).collect()
-    by: dict[int, list] = {}
-    for r in sums:
-        by.setdefault(r["_i"], []).append((r["_h"], int(r["n"])))
-    quota = []
-    for i, own in by.items():
-        own.sort()
-        size_ = np.array([x for _, x in own], float)
-        got = sainte_lague(size_, int(seats[i]), np.ceil(most * size_ / block).astype(np.int64))
-        quota += [(i, h, int(q), int(x)) for (h, x), q in zip(own, got, strict=True)]
-    quotas = spark.createDataFrame(quota, "_i int, _h int, _q long, _all long")
+
+    def dealt(df: DataFrame, *more: str) -> DataFrame:  # one small row for each source, so the join is by broadcast only if Spark finds it small
+        df = df.withColumn("_s", F.col("_s").cast("string"))
+        h = F.pmod(F.xxhash64(F.lit(seed), F.col("_k"), F.lit(1)), F.col("_shards")).cast("int").alias("_h")
+        return df.join(plan, df["_s"].eqNullSafe(plan["_s"]), "inner").select("_k", df["_s"].alias("_s"), "_n", "_i", "_ss", "_t", h, *more)
+
+    sums = dealt(base).groupBy("_i", "_h").agg(F.sum("_n").alias("n")).orderBy("_i", "_h").toPandas()
+    size_, which = sums["n"].to_numpy(float), sums["_i"].to_numpy()
+    got = np.zeros(len(sums), np.int64)
+    for i in np.unique(which).tolist():
+        own = which == i
+        got[own] = sainte_lague(size_[own], int(seats[i]), np.ceil(most * size_[own] / block).astype(np.int64))
+    added = {c.lower() for c in (key, source, size, "source_size", "target", "taken")}
+    more = [] if rows is None else [c for c in rows.columns if c.lower() not in added]
+    if rows is not None:
+        base = rows.select(F.col(key).alias("_k"), F.col(source).alias("_s"), F.coalesce(F.col(size), F.lit(0)).cast("long").alias("_n"), *[F.col(c).alias(f"_more{i}") for i, c in enumerate(more)])
+    names_ = [f"_more{i}" for i in range(len(more))]
+    quotas = spark.createDataFrame(pd.DataFrame({"_i": which, "_h": sums["_h"], "_q": got, "_all": sums["n"]}), "_i int, _h int, _q long, _all long")
     w_ = Window.partitionBy("_i", "_h").orderBy("_o", "_k", "_n")
     o = F.xxhash64(F.lit(seed), F.col("_k"), F.lit(2))
-    run = rows.join(quotas, ["_i", "_h"]).withColumn("_o", o).withColumn("_e", F.sum("_n").over(w_.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    run = dealt(base, *names_).join(quotas, ["_i", "_h"]).withColumn("_o", o).withColumn("_e", F.sum("_n").over(w_.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     blocks = F.greatest(F.ceil(F.col("_all") / F.lit(block)), F.lit(1)).cast("decimal(30,0)")
     start = F.pmod(F.xxhash64(F.lit(seed), "_i", "_h"), F.lit(1_000_003)).cast("decimal(30,0)")
 
@@ -136,7 +147,7 @@ def mix_sources(sizes: DataFrame, weights=(5.0, 2.0, 1.0), source: str = "source
         return turns(b) * F.lit(block) + inside * F.least(turns(b + 1) - turns(b), F.lit(most))
 
     run = run.withColumn("_taken", (upto(F.col("_e")) - upto(F.col("_e") - F.col("_n"))).cast("long"))
-    return run.select(F.col("_k").alias(key), F.col("_s").alias(source), F.col("_n").alias(size), F.col("_ss").cast("long").alias("source_size"), F.col("_t").alias("target"), F.when(F.col("_n") == 0, 0).otherwise(F.col("_taken")).cast("long").alias("taken"))
+    return run.select(F.col("_k").alias(key), F.col("_s").alias(source), F.col("_n").alias(size), F.col("_ss").cast("long").alias("source_size"), F.col("_t").alias("target"), F.when(F.col("_n") == 0, 0).otherwise(F.col("_taken")).cast("long").alias("taken"), *[F.col(a).alias(c) for a, c in zip(names_, more, strict=True)])
 
 
 def op5_mix_sources(spark, sf_dir: str) -> DataFrame:
