@@ -1,8 +1,14 @@
 """Corpus preparation: toxicity, near duplicates, decontamination, secrets, mixing.
 
 Every stage takes (spark, docs, sf_dir) and all rows that the one before kept.
-All stages but the last return the columns of documents; the last returns, for
-every document, the words that the mix takes of it.
+All stages but the last return the columns of documents; the last adds, for
+every document, the words that the mix takes of it.  run() writes what a stage
+returns to the checkpoint folder once, and the next stage reads that.
+
+Null, empty and very long texts pass every stage; repeated rows and ties are
+settled as the operators say; an empty table stays empty; further columns of
+documents stay until the last stage, which replaces those named like its own
+(size, source_size, target, taken).
 """
 
 from __future__ import annotations
@@ -11,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docweave.llm import contamination, jaccard, mixing, secrets, toxicity
+from docweave.llm._spark import drop, saved
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,12 +38,16 @@ def contamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are masked in the text; every document stays."""
     out = secrets.redact_secrets(docs)
-    return out.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
+    if "n_chars" not in docs.columns:
+        return out
+    n = F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text"))
+    return out.withColumn("n_chars", n.cast(docs.schema["n_chars"].dataType))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The words taken of every document, by Sainte-Lague quotas."""
-    return mixing.mix_sources(mixing.count_words(docs.select("doc_id", "source", "text"), "text", "size"))
+    """The documents with the words taken of each, by Sainte-Lague quotas."""
+    sizes = mixing.count_words(docs.select("doc_id", "source", "text"), "text", "size")
+    return mixing.mix_sources(sizes, rows=mixing.count_words(docs, "text", "size", keep_text=True))
 
 
 STAGES = [
@@ -47,11 +58,14 @@ STAGES = [
     ("mixing_sources", mixing_stage),
 ]
 
-ORACLE_SQL = None  # learnt and iterative stages; tests hold the operators below them against plain versions, not the stages or run()
+ORACLE_SQL = None  # learnt and iterative stages; tests/llm/test_pipeline.py holds every stage and run() against plain versions
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    for name, stage in STAGES:
+        before, docs = docs, stage(spark, docs, sf_dir)
+        if name != STAGES[-1][0]:
+            docs = saved(docs)
+            drop(before)
     return docs
