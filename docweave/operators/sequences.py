@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def counter_runs(df: DataFrame, keys: list[str], number: str) -> DataFrame:
@@ -27,11 +28,19 @@ def nearest_parent(df: DataFrame, keys: list[str], order: list[str], node: str,
     return lead.withColumn("parent", best).withColumn("level", F.col("_l")).drop("_l")
 
 
-def overlap_pairs(df: DataFrame, key: str, node: str, start: str, end: str) -> DataFrame:
-    """Pairs of intervals of one key that overlap, smaller node first; an equi-join on the key."""
-    a = df.select(F.col(key).alias("k"), F.col(node).alias("a"), F.col(start).alias("s1"), F.col(end).alias("e1"))
-    b = df.select(F.col(key).alias("k"), F.col(node).alias("b"), F.col(start).alias("s2"), F.col(end).alias("e2"))
-    return a.join(b, "k").where("a < b and s1 < e2 and s2 < e1").select(F.col("k").alias(key), "a", "b")
+def overlap_pairs(df: DataFrame, key: str, node: str, start: str, end: str, width: float) -> DataFrame:
+    """Pairs of intervals [start, end) of one key that overlap, smaller node first.
+
+    Time is cut into buckets of ``width``; intervals meet in the buckets they
+    touch, and a pair counts where the later one starts, so a hot key is split.
+    """
+    number = lambda c: F.unix_micros(c.cast("timestamp")) if isinstance(df.schema[start].dataType, (T.TimestampType, T.TimestampNTZType, T.DateType)) else c.cast("double")
+    bucket = lambda c: F.floor(c / F.lit(width)).cast("long")
+    x = df.select(F.col(key).alias("k"), F.col(node).alias("n"), number(F.col(start)).alias("s"), number(F.col(end)).alias("e")).where("s < e")
+    x = x.withColumn("_b", F.explode(F.sequence(bucket(F.col("s")), F.greatest(bucket(F.col("s")), F.ceil(F.col("e") / F.lit(width)).cast("long") - 1))))
+    a, b = (x.select("k", "_b", F.col("n").alias(c), F.col("s").alias(f"s{c}"), F.col("e").alias(f"e{c}")) for c in "ab")
+    pairs = a.join(b, ["k", "_b"]).where("a < b and sa < eb and sb < ea").where(F.col("_b") == bucket(F.greatest("sa", "sb")))
+    return pairs.select(F.col("k").alias(key), "a", "b")
 
 
 def asof_previous(df: DataFrame, keys: list[str], order: list[str], value: Column, alias: str) -> DataFrame:

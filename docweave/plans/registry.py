@@ -6,8 +6,13 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from docweave.functions import scalars as S
+from docweave.functions import urls as U
+from docweave.operators import blocks as B
+from docweave.operators import legal as L
 from docweave.operators import quality as Q
+from docweave.operators import sampling as P
 from docweave.operators import sequences as O
+from docweave.operators import tables as G
 from docweave.sources.html_dom import dom_rows
 from docweave.sources.tables import table
 
@@ -144,7 +149,7 @@ def next_peer(spark, d):
 @query("select a.l_orderkey, a.l_linenumber as a, b.l_linenumber as b, count(*) as n from lineitem a join lineitem b on a.l_orderkey = b.l_orderkey and a.l_linenumber < b.l_linenumber and a.l_shipdate < b.l_shipdate + interval 7 day and b.l_shipdate < a.l_shipdate + interval 7 day group by 1, 2, 3")
 def overlap_pairs(spark, d):
     rows = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_shipdate").alias("s"), (F.col("l_shipdate") + F.expr("interval 7 days")).alias("e"))
-    return O.overlap_pairs(rows, "l_orderkey", "l_linenumber", "s", "e").groupBy("l_orderkey", "a", "b").agg(F.count(F.lit(1)).alias("n"))
+    return O.overlap_pairs(rows, "l_orderkey", "l_linenumber", "s", "e", 14 * 86400e6).groupBy("l_orderkey", "a", "b").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("select event_id, last_value(case when event_type = 'purchase' then value end ignore nulls) over (partition by user_id order by ts, event_id rows between unbounded preceding and 1 preceding) as previous_value from events")
@@ -218,3 +223,121 @@ def page_artifacts(spark, d):
 def history_pivot(spark, d):
     c = lambda k: F.count(F.when(F.col("event_type") == k, 1))
     return table(spark, d, "events").groupBy("user_id").agg(c("click").alias("clicks"), c("purchase").alias("purchases"), c("signup").alias("signups"), F.min("ts").alias("first_ts"))
+
+
+@query("select page_id, true as text_conserved from pages where html <> ''")
+def page_conservation(spark, d):
+    """Every text leaf that a page shows is in exactly one block."""
+    from docweave.__main__ import page_audit
+
+    return page_audit(table(spark, d, "pages")).select("page_id", "text_conserved")
+
+
+@query("select page_id, row_number() over (partition by page_id order by i) - 1 as heading, level, t as text from (select page_id, unnest(range(1, len(h) + 1)) as i, unnest(list_transform(h, lambda x: x[3]::int)) as level, unnest(list_transform(h, lambda x: trim(regexp_replace(replace(replace(replace(replace(regexp_replace(regexp_replace(x, '^<h[1-6][^>]*>|</h[1-6]>$', '', 'g'), '<[^>]*>', '', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&amp;', '&'), '[ \\t\\n\\r]+', ' ', 'g')))) as t from (select page_id, regexp_extract_all(regexp_replace(html, '<script>.*?</script>', '', 'gs'), '(?s)<h[1-6][^>]*>.*?</h[1-6]>') as h from pages)) where t <> ''")
+def block_stream(spark, d):
+    """Headings of the block stream, in order."""
+    x = B.block_stream(table(spark, d, "pages")).where("type = 'heading'")
+    w = Window.partitionBy("page_id").orderBy("block_order")
+    return x.select("page_id", (F.row_number().over(w) - 1).cast("long").alias("heading"), "level", "text")
+
+
+_SEVERITY = "case event_type when 'view' then 'info' when 'click' then 'warning' when 'error' then 'error' when 'signup' then null else 'info' end"
+
+
+@query(f"with e as (select user_id, {_SEVERITY} as s from events) select user_id, count(*) filter (s = 'info') as n_info, count(*) filter (s = 'warning') as n_warning, count(*) filter (s = 'error') as n_error, count(*) filter (s = 'fatal') as n_fatal, case when count(*) filter (s in ('error', 'fatal')) > 0 then 'failed' when count(*) filter (s = 'warning') > 0 then 'success_with_warnings' else 'success' end as status from e group by user_id")
+def severity_status(spark, d):
+    x = table(spark, d, "events").groupBy("user_id").agg(*Q.severity_counts(F.expr(_SEVERITY)))
+    return x.withColumn("status", Q.status(F.col("n_fatal"), F.col("n_error"), F.col("n_warning")))
+
+
+@query("select user_id, count(*) as n_tabs, bool_and(value > 5) as v, bool_and(event_type <> 'error') as e from events group by user_id")
+def document_flags(spark, d):
+    return Q.document_flags(table(spark, d, "events").select("user_id", (F.col("value") > 5).alias("v"), (F.col("event_type") != "error").alias("e")), "user_id", ["v", "e"])
+
+
+@query("select user_id, 'issue_' || substr(sha256('{\"code\":\"' || event_type || '\",\"details\":null,\"message\":\"seen\",\"severity\":\"warning\",\"source_ref\":\"' || (event_id % 3)::varchar || '\"}'), 1, 16) as issue_id, 'warning' as severity, event_type as code, 'seen' as message, (event_id % 3)::varchar as source_ref, null::varchar as details from events group by user_id, event_type, event_id % 3")
+def issue_ledger(spark, d):
+    return Q.issues(table(spark, d, "events"), ["user_id"], F.col("event_type"), F.lit("seen"), (F.col("event_id") % 3).cast("string"), F.lit(None).cast("string"))
+
+
+@query(f"with x as (select l_orderkey, l_linenumber, l_linenumber = lag(l_linenumber) over w + 1 as p, lead(l_linenumber) over w = l_linenumber + 1 as n, l_linenumber % 4 as k from (select distinct l_orderkey, l_linenumber from lineitem) window w as (partition by l_orderkey order by l_linenumber)), s as (select *, round(least(1, greatest(0, 0.35 + case when p then 0.25 else 0 end + case when n then 0.25 else 0 end + case when p or n then 0.15 else 0 end + case k when 0 then 0.3 when 1 then 0.2 else 0 end - case when k = 2 then 0.35 else 0 end))::double, 2) as score from x) select l_orderkey, l_linenumber, score, case when score >= 0.7 and k <> 2 then 'clause' when score >= 0.45 then 'candidate' else 'numbered_paragraph' end as decision from s")
+def clause_evidence(spark, d):
+    k = F.col("l_linenumber") % 4
+    x = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber").distinct()
+    return L.clause_evidence(x, ["l_orderkey"], "l_linenumber", "l_linenumber", next_point=F.when(k == 0, "a").when(k == 1, "b"), form_field=k == 2)
+
+
+_KIND = "case l_linenumber % 4 when 1 then 50 when 2 then 60 when 3 then 70 else 20 end"
+
+
+@query(f"with e as (select distinct l_orderkey, l_linenumber as pos, {_KIND} as level from lineitem) select a.l_orderkey, a.pos, a.level, (select max(b.pos) from e b where b.l_orderkey = a.l_orderkey and b.pos < a.pos and b.level < a.level and not exists (select 1 from e c where c.l_orderkey = a.l_orderkey and c.pos > b.pos and c.pos < a.pos and c.level < b.level)) as parent from e a")
+def legal_hierarchy(spark, d):
+    """Labels are written into the lines of an order, then recognised and nested."""
+    n = F.col("l_linenumber")
+    x = table(spark, d, "lineitem").select("l_orderkey", n.alias("pos")).distinct().withColumn("text", F.when(F.col("pos") % 4 == 1, F.format_string("Điều %d. Phạm vi", "pos")).when(F.col("pos") % 4 == 2, F.format_string("%d. nội dung", "pos")).when(F.col("pos") % 4 == 3, "a) điểm").otherwise("Chương II QUY ĐỊNH"))
+    return L.hierarchy(x, ["l_orderkey"], "pos").select("l_orderkey", "pos", "level", "parent")
+
+
+@query(r"select page_id, case when tail like 'luat%' then 'law' end as type_hint, nullif(regexp_extract(regexp_replace(tail, '--[^-].*$', ''), '(?:^|[^0-9])((?:19|20)[0-9]{2})(?:[^0-9]|$)', 1), '')::int as year_hint, (floor(nullif(regexp_extract(regexp_replace(tail, '--[^-].*$', ''), '(?:^|[^0-9])((?:19|20)[0-9]{2})(?:[^0-9]|$)', 1), '')::int / 10) * 10)::int as decade, coalesce(case when regexp_matches(tail, '--[0-9A-Za-z-]+$') then regexp_extract(tail, '--([0-9A-Za-z-]+)$', 1) when regexp_matches(tail, '^([0-9a-f-]{36}|[0-9]+)$') then tail end, substr(sha256(canonical), 1, 32)) as document_id, url like 'https://%' as in_scope from (select page_id, url, regexp_replace(url, '[?#].*$', '') as canonical, regexp_extract(regexp_replace(url, '[?#].*$', ''), '([^/]*)/*$', 1) as tail from pages)")
+def candidate_hints(spark, d):
+    u = F.col("url")
+    return table(spark, d, "pages").select("page_id", U.type_hint(u).alias("type_hint"), U.year_hint(u).alias("year_hint"), U.decade(U.year_hint(u)).alias("decade"), U.stable_id(u).alias("document_id"), u.startswith("https://").alias("in_scope"))
+
+
+@query("with c as (select l_orderkey as page_id, 0 as table_id, l_linenumber as cell_id, l_linenumber % 5 as row, min(l_quantity)::int % 7 as col, 1 as rowspan, 1 + l_linenumber % 3 as colspan from lineitem group by l_orderkey, l_linenumber) select h.page_id, c.cell_id, h.cell_id as header_id, h.col <= c.col and h.col + h.colspan >= c.col + c.colspan as covers from c join c h on h.page_id = c.page_id and h.row + h.rowspan <= c.row and h.col < c.col + c.colspan and c.col < h.col + h.colspan")
+def interval_header_join(spark, d):
+    """Rectangles made of an order's lines; a header is any cell above that shares a column."""
+    n = F.col("l_linenumber")
+    c = table(spark, d, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.min("l_quantity").alias("q"))
+    c = c.select(F.col("l_orderkey").alias("page_id"), F.lit(0).alias("table_id"), n.alias("cell_id"), (n % 5).alias("row"), (F.col("q").cast("int") % 7).alias("col"), F.lit(1).alias("rowspan"), (1 + n % 3).alias("colspan"))
+    x = G.interval_join(c, c, ["page_id", "table_id"], "col", "colspan").where("h_row + h_rowspan <= row")
+    return x.select("page_id", "cell_id", F.col("h_cell_id").alias("header_id"), F.expr("h_col <= col and h_col + h_colspan >= col + colspan").alias("covers"))
+
+
+@query("select count(*) as documents, sum(n_chars)::bigint as bytes_before, sum(strlen(text))::bigint as bytes_after, round((sum(n_chars) - sum(strlen(text))) * 100.0 / sum(n_chars), 2) as reduction_percent from documents")
+def compare_sizes(spark, d):
+    x = table(spark, d, "documents")
+    return P.compare_sizes(x.select("doc_id", F.col("n_chars").cast("long").alias("n")), x.select("doc_id", F.octet_length("text").cast("long").alias("n")), "doc_id", "n")
+
+
+@query("select *, only_left + only_right = 0 as equal, only_left = 0 as left_in_right, n_left = only_left as disjoint from (select count(s.doc_id) as n_left, count(l.doc_id) as n_right, count(*) filter (l.doc_id is null) as only_left, count(*) filter (s.doc_id is null) as only_right from (select distinct doc_id from documents) s full join (select distinct doc_id from labels) l on s.doc_id = l.doc_id)")
+def set_audit(spark, d):
+    return P.set_audit(table(spark, d, "documents"), table(spark, d, "labels"), "doc_id")
+
+
+@query("select event_type, count(*) filter (user_id % 5 = 1) as bad, count(*) filter (user_id % 5 > 1) as good, count(*) filter (user_id % 5 = 1) / (count(*) filter (user_id % 5 >= 1) + 2) as rate from events where user_id % 5 > 0 group by event_type")
+def usage_rates(spark, d):
+    u = F.col("user_id") % 5
+    x = table(spark, d, "events").select("event_type", F.when(u == 0, "environment").when(u == 1, "failed").otherwise("complete").alias("result"))
+    return P.usage_rates(x, "event_type")
+
+
+@query("with m as (select date_trunc('month', o_orderdate)::date as wave, count(*) % 5 as new_classes from orders group by 1) select wave, new_classes, coalesce(greatest(new_classes, lag(new_classes) over (order by wave)) <= 2 and new_classes <= lag(new_classes) over (order by wave), false) as converged from m")
+def new_class_convergence(spark, d):
+    m = table(spark, d, "orders").groupBy(F.trunc(F.col("o_orderdate").cast("date"), "month").alias("wave")).agg((F.count(F.lit(1)) % 5).alias("new_classes"))
+    return P.converged(m)
+
+
+@query("select n, case when n between 1 and 3999 then n end as value from (select distinct l_linenumber + (l_partkey % 3000) as n from lineitem)")
+def roman_numerals(spark, d):
+    """Numbers written as Roman numerals by lookup of their digits, then read."""
+    n = table(spark, d, "lineitem").select((F.col("l_linenumber") + F.col("l_partkey") % 3000).alias("n")).distinct()
+    digits = ["", "I", "II", "III", "IV", "V", "VI", "VII", "VIII", "IX"]
+    place = lambda one, five, ten: F.array(*[F.lit(x.replace("X", "t").replace("V", "f").replace("I", one).replace("f", five).replace("t", ten)) for x in digits])
+    at = lambda names, step: F.element_at(names, (F.floor(F.col("n") / step) % 10 + 1).cast("int"))
+    text = F.concat(at(F.array(F.lit(""), F.lit("M"), F.lit("MM"), F.lit("MMM"), *[F.lit("?")] * 6), 1000), at(place("C", "D", "M"), 100), at(place("X", "L", "C"), 10), at(place("I", "V", "X"), 1))
+    return n.select(F.col("n").cast("long").alias("n"), L.roman(text).cast("long").alias("value"))
+
+
+@query("select event_id, least(2, count(*) filter (event_type = 'purchase') over (partition by user_id order by ts, event_id rows between 1 following and unbounded following)) as inputs_ahead from events")
+def capped_suffix_count(spark, d):
+    w = Window.partitionBy("user_id").orderBy("ts", "event_id").rowsBetween(1, Window.unboundedFollowing)
+    return table(spark, d, "events").select("event_id", F.least(F.lit(2), F.count_if(F.col("event_type") == "purchase").over(w)).alias("inputs_ahead"))
+
+
+@query("select user_id, event_id, lag(event_id) over (partition by user_id order by event_id) as parent, case when lag(event_id) over (partition by user_id order by event_id) is null then 'prefix_parent_missing_in_current_annex_scope' end as issue from (select user_id, min(event_id) as event_id from events group by user_id union all select user_id, max(event_id) + 1000000 from events group by user_id) where event_id >= 0 qualify row_number() over (partition by user_id order by event_id) = 2")
+def prefix_parents(spark, d):
+    """An event of every user labelled 1, and a later one labelled 1.1: its parent is the first."""
+    e = table(spark, d, "events").groupBy("user_id")
+    x = e.agg(F.min("event_id").alias("event_id")).withColumn("label", F.lit("1")).unionByName(e.agg((F.max("event_id") + 1000000).alias("event_id")).withColumn("label", F.lit("1.1")))
+    return L.prefix_parents(x, ["user_id"], "event_id", "label").where("label = '1.1'").select("user_id", "event_id", "parent", "issue")

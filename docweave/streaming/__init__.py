@@ -1,0 +1 @@
+"""Waves of captures as a stream."""

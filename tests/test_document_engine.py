@@ -46,14 +46,32 @@ def test_optional_end_tags_are_implied_inside_their_scope():
     rows = tree("<ul><li>a<ul><li>b</ul><li>c</ul>")
     items = [r for r in rows if r["tag"] == "li"]
     assert [r["depth"] for r in items] == [1, 3, 1]
-    assert [r["issue"] for r in items] == ["implied_end", None, None] or items[0]["issue"] == "implied_end"
+    assert [r["issue"] for r in items] == ["implied_end"] * 3
+
+
+def test_a_start_tag_ends_every_open_element_of_its_scope_that_may_lack_an_end_tag():
+    rows = tree("<table><tbody><tr><td><p>a<td>b<tr><td>c<tfoot><tr><td>d</table>")
+    assert [(r["tag"], r["depth"]) for r in rows if r["kind"] == "element"] == [("table", 0), ("tbody", 1), ("tr", 2), ("td", 3), ("p", 4), ("td", 3), ("tr", 2), ("td", 3), ("tfoot", 1), ("tr", 2), ("td", 3)]
+    rows = tree("<table><tr><td><table><tr><td>x</table>y<td>z</table>")
+    assert [r["depth"] for r in rows if r["tag"] == "td"] == [2, 5, 2]
+    rows = tree("<dl><dt>a<dd>b<dt>c</dl><select><option>1<option>2</select><p>x<div>y</div>")
+    assert [r["depth"] for r in rows if r["kind"] == "element"] == [0, 1, 1, 1, 0, 1, 1, 0, 0]
 
 
 def test_bad_markup_is_reported_and_text_kept():
     rows = tree("<p>one</b> two<p a=1 a=2>three")
     assert "unmatched_end" in {r["issue"] for r in rows}
     assert "".join(r["text"] for r in rows if r["kind"] == "text") == "one two" + "three"
-    assert [r["dom_order"] for r in rows] == list(range(len(rows)))
+    nodes = [r for r in rows if r["kind"] != "issue"]
+    assert [r["dom_order"] for r in nodes] == list(range(len(nodes)))  # end tags do not tick
+    three = next(r for r in nodes if r["tag"] == "p" and r["attrs"])
+    assert three["attrs"] == {"a": "2"} and three["raw_attrs"] == [{"k": "a", "v": "1"}, {"k": "a", "v": "2"}]
+
+
+def test_only_comments_with_content_tick_and_two_bodies_are_reported():
+    rows = tree("<body>a<!-- --><!-- c -->b<body>d")
+    assert [r["kind"] for r in rows if r["kind"] != "issue"] == ["element", "text", "comment", "text", "element", "text"]
+    assert [r["issue"] for r in rows if r["kind"] == "issue"] == ["multiple_bodies"]
 
 
 def test_null_and_empty_pages_have_no_rows(spark):
