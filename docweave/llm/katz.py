@@ -1,11 +1,12 @@
-"""Katz back-off language model over words, with Good-Turing discounts.
-
-Unigram counts are one hash-partitioned table.  Bigrams are dealt to parts by
-their context; a part holds every occurrence of its contexts, so it counts,
-normalises the back-off weights exactly and scores the occurrences in place,
-and only sums by document leave it.  Contexts that hold a large share of all
-tokens are dealt by context and word; their normalisers are summed first.
-Arrays travel packed, one message for each map buffer and part.
+"""Katz back-off trigram model over words, with Good-Turing discounts.
+
+Unigram counts are one hash-partitioned table.  Trigrams are dealt to parts by
+their middle word, so a part holds every occurrence of its bigrams and of their
+trigrams: it counts both, normalises both kinds of back-off weights exactly
+and scores the occurrences in place, from unigrams up; only sums by document
+leave it.  A middle word that holds a large share of all tokens is dealt by its
+left neighbour, too; counts of its bigrams are summed in a second partitioned
+table and sent back.  Arrays travel packed, one message for each map buffer and part.
 """
 
 from __future__ import annotations
@@ -18,11 +19,12 @@ from pyspark.sql import types as T
 
 from docweave.llm import _learn as L
 from docweave.llm import _text as X
-from docweave.llm._spark import parts_of, saved, small_batches
+from docweave.llm._spark import parts_for, saved, small_batches
 
 K = 5  # counts above K are not discounted
-START, END = np.uint64(1), np.uint64(2)
+NONE, START, END = np.uint64(0), np.uint64(1), np.uint64(2)
 BUFFER = 1_200_000  # tokens held by a map task before it sends messages
+HEAVY = 1000  # a middle word met less often is never split
 
 
 def discounts(n: np.ndarray) -> np.ndarray:
@@ -134,8 +136,17 @@ def _context(ctx: np.ndarray) -> np.ndarray:
     return X.mix(ctx + np.uint64(0x9E3779B97F4A7C15))
 
 
-def bigrams(docs: DataFrame, parts: int, heavy: np.ndarray) -> DataFrame:
-    """Rows (part, blob): distinct bigrams of a buffer with their occurrences by document."""
+def _member(known: np.ndarray, x: np.ndarray) -> np.ndarray:
+    if not len(known):
+        return np.zeros(len(x), bool)
+    return known[np.minimum(np.searchsorted(known, x), len(known) - 1)] == x
+
+
+def trigrams(docs: DataFrame, parts: int, heavy: np.ndarray) -> DataFrame:
+    """Rows (part, blob): distinct trigrams of a buffer with their occurrences by document.
+
+    The first token of a text has no trigram, its left neighbour is NONE.
+    """
     heavy_c = np.sort(_context(heavy))
 
     def run(batches):
@@ -143,30 +154,30 @@ def bigrams(docs: DataFrame, parts: int, heavy: np.ndarray) -> DataFrame:
         size = docs_held = 0
 
         def flush():
-            ctx, word, ref, train = (np.concatenate([x[i] for x in held]) for i in range(4))
-            rows, keys, nulls = (np.concatenate([x[i] for x in held]) for i in (4, 5, 6))
+            left, ctx, word, ref, train = (np.concatenate([x[i] for x in held]) for i in range(5))
+            rows, keys, nulls = (np.concatenate([x[i] for x in held]) for i in (5, 6, 7))
             c = _context(ctx)
-            lead = c
-            if len(heavy_c):
-                big = heavy_c[np.minimum(np.searchsorted(heavy_c, c), len(heavy_c) - 1)] == c
-                lead = np.where(big, X.mix(c ^ (word * np.uint64(0x9E3779B97F4A7C15))), c)
-            sort = (lead & np.uint64(0xFFFFFFFF00000000)) | (word >> np.uint64(32))
+            big = _member(heavy_c, c)
+            lead = np.where(big, X.mix(c ^ (np.where(left == NONE, word, left) * np.uint64(0x9E3779B97F4A7C15))), c)
+            sort = (lead & np.uint64(0xFFFFFFFF00000000)) | (X.mix(c + left * np.uint64(0xD6E8FEB86659FD93) + word * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32))
             order = np.argsort(sort)
-            c, word, ref, train, part = c[order], word[order], ref[order], train[order], part_of(sort[order], parts)
+            c, left, word, ref, train, part = c[order], left[order], word[order], ref[order], train[order], part_of(sort[order], parts)
             cut = np.searchsorted(part, np.arange(parts + 1))
             for p in range(parts):
                 a, z = cut[p], cut[p + 1]
                 if a == z:
                     continue
-                pc, pw = c[a:z], word[a:z]
+                pc, pl, pw = c[a:z], left[a:z], word[a:z]
                 new = np.ones(z - a, bool)
-                new[1:] = (pc[1:] != pc[:-1]) | (pw[1:] != pw[:-1])
+                new[1:] = (pc[1:] != pc[:-1]) | (pw[1:] != pw[:-1]) | (pl[1:] != pl[:-1])
                 at = np.flatnonzero(new)
                 uc, ci = np.unique(pc[at], return_inverse=True)
+                # words once a message, then their places
+                uw, wi = np.unique(np.concatenate([pl[at], pw[at]]), return_inverse=True)
                 own, d = np.unique(ref[a:z], return_inverse=True)
                 blob = X.pack(
-                    uc=X.pack_sorted(uc), ci=ci.astype(np.uint32), w=pw[at], n=np.diff(at, append=z - a).astype(np.uint32), t=np.add.reduceat(train[a:z].astype(np.uint32), at),
-                    d=d.astype(np.uint32), g=rows[:1], row=rows[own], key=keys[own], null=nulls[own],
+                    uc=X.pack_sorted(uc), ci=ci.astype(np.uint32), uw=X.pack_sorted(uw), li=wi[: len(at)].astype(np.uint32), wi=wi[len(at) :].astype(np.uint32),
+                    n=np.diff(at, append=z - a).astype(np.uint32), t=np.add.reduceat(train[a:z].astype(np.uint32), at), d=d.astype(np.uint32), g=rows[:1], row=rows[own], key=keys[own], null=nulls[own],
                 )
                 yield pa.RecordBatch.from_arrays([pa.array([p], pa.int32()), pa.array([blob], pa.binary())], names=["part", "blob"])
 
@@ -179,10 +190,11 @@ def bigrams(docs: DataFrame, parts: int, heavy: np.ndarray) -> DataFrame:
                 h, _, _, first = X.words(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i])
                 doc, n = X.owner(first), len(h) + j - i
                 at = np.arange(len(h)) + doc
-                word, ctx = np.full(n, END), np.full(n, START)
+                word, ctx, left = np.full(n, END), np.full(n, START), np.full(n, NONE)
                 word[at], ctx[at + 1] = h, h
                 ref = np.repeat(np.arange(j - i), np.diff(first) + 1)
-                held.append((ctx, word, ref + docs_held, train[i:j][ref], rows[i:j], keys[i:j], nulls[i:j]))
+                left[1:] = np.where(ref[1:] == ref[:-1], ctx[:-1], NONE)
+                held.append((left, ctx, word, ref + docs_held, train[i:j][ref], rows[i:j], keys[i:j], nulls[i:j]))
                 size, docs_held = size + n, docs_held + j - i
                 if size > BUFFER:
                     yield from flush()
@@ -191,22 +203,68 @@ def bigrams(docs: DataFrame, parts: int, heavy: np.ndarray) -> DataFrame:
         if held:
             yield from flush()
 
-    return docs.select("_row", "_key", "_text", "_train").mapInArrow(run, "part int, blob binary").repartition(parts, "part")
+    return docs.select("_row", "_key", "_text", "_train").mapInArrow(run, "part int, blob binary").repartitionById(parts, F.col("part"))
+
+
+def _words_of(x: dict) -> tuple[np.ndarray, np.ndarray]:
+    u = X.unpack_sorted(x["uw"])
+    return u[x["li"]], u[x["wi"]]
+
+
+def _groups(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First rows of equal keys, and the group of every row; rows are sorted by the keys."""
+    new = np.zeros(len(keys[0]), bool)
+    new[:1] = True
+    for k in keys:
+        new[1:] |= k[1:] != k[:-1]
+    return np.flatnonzero(new), np.cumsum(new) - 1
 
 
 def _load(blobs):
-    """Distinct bigrams of some messages: contexts, words, training counts, and the messages with their places."""
+    """Distinct trigrams of some messages, sorted by context, word and left neighbour: those, training counts, and the messages with their places."""
     loaded = [X.unpack(b.as_buffer()) for b in blobs]
     c = np.concatenate([X.unpack_sorted(x["uc"])[x["ci"]] for x in loaded])
-    w = np.concatenate([x["w"] for x in loaded])
+    u, w = (np.concatenate(x) for x in zip(*[_words_of(x) for x in loaded], strict=True))
     t = np.concatenate([x["t"] for x in loaded]).astype(np.int64)
-    order = np.lexsort((w, c))
-    new = np.ones(len(c), bool)
-    new[1:] = (c[order][1:] != c[order][:-1]) | (w[order][1:] != w[order][:-1])
+    order = np.lexsort((u, w, c))
+    first, at = _groups(c[order], w[order], u[order])
     place = np.empty(len(c), np.int64)
-    place[order] = np.cumsum(new) - 1
-    pick = order[new]
-    return c[pick], w[pick], np.bincount(place, weights=t, minlength=len(pick)).astype(np.int64), loaded, place
+    place[order] = at
+    pick = order[first]
+    return c[pick], w[pick], u[pick], np.bincount(place, weights=t, minlength=len(pick)).astype(np.int64), loaded, place
+
+
+def _find(values: np.ndarray, x: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """Place of each x in values[lo:hi], which is sorted and holds it."""
+    lo, hi = lo.copy(), hi.copy()
+    while (live := np.flatnonzero(hi - lo > 1)).size:
+        mid = (lo[live] + hi[live]) // 2
+        right = values[mid] <= x[live]
+        lo[live] = np.where(right, mid, lo[live])
+        hi[live] = np.where(right, hi[live], mid)
+    return lo
+
+
+def _katz(seen, t, size, kept, known, lower, of, d) -> np.ndarray:
+    """One step of the back-off: discounted n-grams, or the lower order's probability times the context's exact weight.
+
+    ``size`` counts a context's training tokens, ``kept`` what is left of them
+    by the discount, ``known`` the lower order's mass of its seen words.
+    """
+    with np.errstate(all="ignore"):
+        none = (size > 0) & (size - kept < 1e-9)  # nothing was discounted: keep one count for the rest
+        total = size + none
+        rest = np.where(size > 0, (total - kept) / np.maximum(total, 1), 1.0)
+        alpha = np.where(size > 0, rest / np.maximum(1 - known, 1e-12), 1.0)
+        return np.where(seen, discounted(t, d) / np.maximum(total, 1)[of], alpha[of] * lower)
+
+
+class _Bigrams:
+    """Bigrams of a part: context, word and training count, in the order of ``_load``, and each trigram's bigram."""
+
+    def __init__(self, c: np.ndarray, w: np.ndarray, t: np.ndarray):
+        first, self.of = _groups(c, w)
+        self.c, self.w, self.t = c[first], w[first], np.bincount(self.of, weights=t, minlength=len(first)).astype(np.int64)
 
 
 def _by_part(batches):
@@ -239,23 +297,24 @@ def katz_scores(docs: DataFrame, train, text: str = "text", key: str = "doc_id",
     (add-one unigrams) and score (Katz).  Null and empty texts consist of the
     end token; repeated rows count each; an empty table gives none; without
     training rows an unknown word has probability 1.  Null keys stay null.
-    Other columns are ignored, whatever their names.
+    Other columns are ignored, whatever their names.  Keys are whole numbers;
+    words are compared by 64-bit hashes.
     """
     spark = docs.sparkSession
     small_batches(spark)
-    parts = parts or max(2, parts_of(spark))
+    parts = parts or max(2, parts_for(docs))
     src = docs.select(F.monotonically_increasing_id().alias("_row"), F.col(key).cast("long").alias("_key"), F.col(text).alias("_text"), F.coalesce(train, F.lit(False)).alias("_train"))
     table = saved(unigrams(src, parts))
     total = table.agg(F.coalesce(F.sum("v"), F.lit(0)).alias("v"), F.coalesce(F.sum("n"), F.lit(0)).alias("n"), *[F.coalesce(F.sum(F.get("r", F.lit(i))), F.lit(0)).alias(f"r{i}") for i in range(K + 2)]).first()
     uni = _Model(int(total["n"]), int(total["v"]), np.array([total[f"r{i}"] for i in range(K + 2)]))
-    heavy, _ = frequent_counts(table, max(1000, uni.n // (4 * parts)))
+    heavy, _ = frequent_counts(table, max(HEAVY, uni.n // (4 * parts)))
     heavy = np.unique(np.append(heavy[heavy != END], START))
     heavy_c = np.sort(_context(heavy))
-    dealt = bigrams(src, parts, heavy)
+    dealt = trigrams(src, parts, heavy)
 
     def ask(batches):  # which words each part needs from each part of the unigram table
         for p, blobs in _by_part(batches):
-            w = np.unique(np.concatenate([np.unique(X.unpack(b.as_buffer())["w"]) for b in blobs]))
+            w = np.unique(np.concatenate([np.unique(_words_of(X.unpack(b.as_buffer()))[1]) for b in blobs]))
             u = part_of(X.mix(w), parts)
             for q in np.unique(u).tolist():
                 yield pa.RecordBatch.from_arrays([pa.array([q], pa.int32()), pa.array([p], pa.int32()), pa.array([X.pack(k=X.pack_sorted(w[u == q]))], pa.binary())], names=["part", "to", "ask"])
@@ -278,64 +337,98 @@ def katz_scores(docs: DataFrame, train, text: str = "text", key: str = "doc_id",
 
     asked = dealt.mapInArrow(ask, "part int, to int, ask binary")
     told = asked.groupBy("part").cogroup(table.select("part", "blob").groupBy("part")).applyInArrow(answer, "part int, words binary")
-    told = told.repartition(parts, "part")
 
     def lookup(rows) -> tuple[np.ndarray, np.ndarray]:
-        got = [X.unpack(b.as_buffer()) for b in rows]
+        got = [X.unpack(b.as_buffer()) for b in rows if b.is_valid]
         k = np.concatenate([X.unpack_sorted(x["k"]) for x in got])
         c = np.concatenate([x["c"] for x in got])
         o = np.argsort(k)
         return k[o], c[o]
 
-    def is_heavy(c):
-        return heavy_c[np.minimum(np.searchsorted(heavy_c, c), len(heavy_c) - 1)] == c
-
-    def types(batches):
-        for _, blobs in _by_part(batches):
-            r = _types_by_count(_load(blobs)[2])
-            yield pa.RecordBatch.from_arrays([pa.array([x], pa.int64()) for x in r], names=[f"r{i}" for i in range(K + 2)])
-
-    fields = ", ".join(f"r{i} bigint" for i in range(K + 2))
-    counted = dealt.mapInArrow(types, fields).agg(*[F.sum(f"r{i}").alias(f"r{i}") for i in range(K + 2)]).select(F.lit(0).alias("_z"), F.array(*[f"r{i}" for i in range(K + 2)]).alias("types"))
-
-    def large(key, own, words):  # shares of the normalisers of heavy contexts
-        c, w, t, _, _ = _load(own.column("blob"))
-        k, n = lookup(words.column("words"))
-        use = is_heavy(c) & (t > 0)
-        c, p, t = c[use], uni.unigram(n[np.searchsorted(k, w[use])]), t[use]
-        uc, ci = np.unique(c, return_inverse=True)
-        cols = [np.bincount(ci, weights=t, minlength=len(uc)), np.bincount(ci, weights=p, minlength=len(uc)), np.bincount(ci, weights=np.where(t > K, t, 0), minlength=len(uc))]
-        cols += [np.bincount(ci, weights=t == r, minlength=len(uc)) for r in range(1, K + 1)]
-        return pa.table([pa.array(uc.astype(np.int64), pa.int64()), *[pa.array(x.astype(float), pa.float64()) for x in cols]], names=["c", *[f"s{i}" for i in range(K + 3)]])
-
-    shares = dealt.groupBy("part").cogroup(told.groupBy("part")).applyInArrow(large, "c bigint, " + ", ".join(f"s{i} double" for i in range(K + 3)))
-    # as many rows as heavy contexts: at most 4 * parts
-    norms = shares.groupBy("c").agg(*[F.sum(f"s{i}").alias(f"s{i}") for i in range(K + 3)]).agg(F.sort_array(F.collect_list(F.struct("c", F.array(*[f"s{i}" for i in range(K + 3)]).alias("s")))).alias("norms")).select(F.lit(0).alias("_z"), "norms")
-    told_all = told.withColumn("_z", F.lit(0)).join(F.broadcast(counted), "_z").join(F.broadcast(norms), "_z").select("part", "words", "types", "norms")
+    def partial(key, own, words):  # this part's counts of the bigrams of heavy contexts, to where they are summed, and its types by count
+        c, w, u, t, _, _ = _load(own.column("blob"))
+        two, (k, n) = _Bigrams(c, w, t), lookup(words.column("words"))
+        big = _member(heavy_c, two.c)
+        use = np.flatnonzero(big)
+        p, me = part_of(X.mix(two.c[use] ^ X.mix(two.w[use])), parts), key[0].as_py()
+        out = [(me, -1, X.pack(r=np.array(_types_by_count(two.t[~big]) + _types_by_count(t[u != NONE]))))]
+        for q in np.unique(p).tolist():
+            i = use[p == q]
+            out.append((q, me, X.pack(c=two.c[i], w=two.w[i], t=two.t[i], n=n[np.searchsorted(k, two.w[i])])))
+        at, part, blob = zip(*out, strict=True)
+        return pa.table({"at": pa.array(at, pa.int32()), "part": pa.array(part, pa.int32()), "blob": pa.array(blob, pa.binary())})
+
+    state = pa.schema([("part", pa.int32()), ("heavy", pa.binary()), ("c", pa.int64()), ("s", pa.list_(pa.float64()))])
+
+    def add_up(batches):  # whole counts, back to the parts; types by count; and what the heavy contexts' normalisers need
+        by: dict[int, list] = {}
+        for b in batches:
+            for q, p, blob in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True):
+                by.setdefault(q, []).append((p, X.unpack(blob.as_buffer())))
+        for rows in by.values():
+            count = sum([x["r"] for p, x in rows if p < 0], np.zeros(2 * K + 4, np.int64))
+            got = [(p, x) for p, x in rows if p >= 0]
+            if got:
+                c, w, t, n = (np.concatenate([x[f] for _, x in got]) for f in "cwtn")
+                order = np.lexsort((w, c))
+                first, at = _groups(c[order], w[order])
+                whole = np.bincount(at, weights=t[order]).astype(np.int64)
+                back = np.empty(len(c), np.int64)
+                back[order] = whole[at]
+                count[: K + 2] += np.array(_types_by_count(whole))
+                fc, p1, seen = c[order][first], uni.unigram(n[order][first]), whole > 0
+                uc, ci = np.unique(fc[seen], return_inverse=True)
+                sums = np.stack([np.bincount(ci, weights=x[seen], minlength=len(uc)) for x in (whole, p1, np.where(whole > K, whole, 0), *[whole == r for r in range(1, K + 1)])], 1)
+                yield pa.RecordBatch.from_pylist([{"part": -1, "c": x, "s": y} for x, y in zip(uc.astype(np.int64).tolist(), sums.tolist(), strict=True)], schema=state)
+                cut = np.cumsum([0] + [len(x["c"]) for _, x in got])
+                for (p, x), i, j in zip(got, cut[:-1].tolist(), cut[1:].tolist(), strict=True):
+                    yield pa.RecordBatch.from_pylist([{"part": p, "heavy": X.pack(c=x["c"], w=x["w"], t=back[i:j])}], schema=state)
+            yield pa.RecordBatch.from_pylist([{"part": -1, "s": count.astype(float).tolist()}], schema=state)
+
+    shares = dealt.groupBy("part").cogroup(told.repartitionById(parts, F.col("part")).groupBy("part")).applyInArrow(partial, "at int, part int, blob binary")
+    summed = saved(shares.repartitionById(parts, F.col("at")).mapInArrow(add_up, "part int, heavy binary, c bigint, s array<double>"))
+    # as many rows as heavy contexts, which is at most 4 * parts, and one
+    sums = summed.where("part = -1").groupBy("c").agg(F.array(*[F.sum(F.get("s", F.lit(i))) for i in range(2 * K + 4)]).alias("s")).collect()
+    count = next((np.array(r["s"]) for r in sums if r["c"] is None), np.zeros(2 * K + 4))
+    d2, d3 = discounts(count[: K + 2]), discounts(count[K + 2 :])
+    norms = sorted((r["c"] & ((1 << 64) - 1), r["s"][: K + 3]) for r in sums if r["c"] is not None)
+    shared = spark.sparkContext.broadcast((np.array([c for c, _ in norms], np.uint64), np.array([x for _, x in norms], float).reshape(-1, K + 3)))
+    more = summed.where("part >= 0").select("part", F.lit(None).cast("binary").alias("words"), "heavy")
+    told_all = told.select("part", "words", F.lit(None).cast("binary").alias("heavy")).union(more).repartitionById(parts, F.col("part"))
 
     def score(key, own, words):
-        c, w, t, loaded, place = _load(own.column("blob"))
-        d = discounts(np.array(words.column("types")[0].as_py()))
+        c, w, u, t, loaded, place = _load(own.column("blob"))
         k, n = lookup(words.column("words"))
-        count = n[np.searchsorted(k, w)]
-        p1 = uni.unigram(count)
-        uc, ci = np.unique(c, return_inverse=True)
+        two = _Bigrams(c, w, t)
+        for blob in words.column("heavy"):
+            if blob.is_valid:  # whole counts of this part's heavy bigrams
+                x = X.unpack(blob.as_buffer())
+                lo = np.searchsorted(two.c, x["c"], "left")
+                hi = np.searchsorted(two.c, x["c"], "right")
+                two.t[_find(two.w, x["w"], lo, hi)] = x["t"]
+        count2 = n[np.searchsorted(k, two.w)]
+        p1 = uni.unigram(count2)
+        first, of = _groups(two.c)
+        seen = two.t > 0
+        size, kept, known = (np.bincount(of, weights=x, minlength=len(first)) for x in (two.t, discounted(two.t, d2), np.where(seen, p1, 0.0)))
+        names, sums = shared.value
+        at = np.searchsorted(names, two.c[first])
+        big = np.flatnonzero(_member(names, two.c[first]))
+        if len(big):
+            x = sums[at[big]]
+            size[big], known[big] = x[:, 0], x[:, 1]
+            kept[big] = x[:, 2] + x[:, 3:] @ (np.arange(1, K + 1) * d2[1:])
+        p2 = _katz(seen, two.t, size, kept, known, p1, of, d2)[two.of]
+        # trigrams: the same step over bigrams, in the order of context and left neighbour
+        order = np.lexsort((u, c))
+        first, of_sorted = _groups(c[order], u[order])
+        of = np.empty(len(c), np.int64)
+        of[order] = of_sorted
         seen = t > 0
-        size = np.bincount(ci, weights=t, minlength=len(uc))
-        kept = np.bincount(ci, weights=discounted(t, d), minlength=len(uc))
-        known = np.bincount(ci, weights=np.where(seen, p1, 0.0), minlength=len(uc))
-        for x in words.column("norms")[0].as_py() or []:
-            i = np.searchsorted(uc, np.uint64(x["c"] & ((1 << 64) - 1)))
-            if i < len(uc) and uc[i] == np.uint64(x["c"] & ((1 << 64) - 1)):
-                s = x["s"]
-                size[i], known[i] = s[0], s[1]
-                kept[i] = s[2] + float((np.arange(1, K + 1) * d[1:] * np.array(s[3:])).sum())
-        with np.errstate(all="ignore"):
-            none = (size > 0) & (size - kept < 1e-9)  # nothing was discounted: keep one count for the rest
-            total_ = size + none
-            rest = np.where(size > 0, (total_ - kept) / np.maximum(total_, 1), 1.0)
-            alpha = rest / np.maximum(1 - known, 1e-12)
-            p = np.where(seen, discounted(t, d) / np.maximum(total_, 1)[ci], alpha[ci] * p1)
+        size, kept, known = (np.bincount(of, weights=x, minlength=len(first)) for x in (t, discounted(t, d3), np.where(seen, p2, 0.0)))
+        p = np.where(u == NONE, p2, _katz(seen, t, size, kept, known, p2, of, d3))
+        count = count2[two.of]
+        with np.errstate(divide="ignore"):
             logp = np.log10(p)
         base = np.log10((count + 1) / (uni.n + uni.v + 1))
         out, at = [], 0

@@ -41,7 +41,7 @@ def learn_rotations(x: np.ndarray, count: int, steps: int = 30, seed: int = 3) -
 
 def plan_tables(n: int, spread: float, least: float, recall: float = 0.98) -> tuple[int, int]:
     """Bits of a substring, so that buckets stay small at any n, and tables for the recall at the threshold."""
-    bits = max(6, round(math.log2(max(n, 2) / 64)))
+    bits = min(32, max(6, round(math.log2(max(n, 2) / 64))))
     half = min(1.0, math.sqrt(2 - 2 * least) / (2 * max(spread, 1e-6)))
     agree = max(0.05, 1 - 2 * math.asin(half) / math.pi)
     return bits, max(4, math.ceil(math.log(1 - recall) / math.log(1 - agree**bits)))
@@ -61,7 +61,7 @@ def near_vectors(vectors: DataFrame, least: float = 0.9, key: str = "vec_id", co
     parts = parts_of(spark)
     e = F.transform(F.col(column), lambda x: x.cast("double"))
     fine = F.col(column).isNotNull() & ~F.exists(e, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) & F.exists(e, lambda x: x != 0)
-    rows = vectors.select(F.col(key).cast("long").alias("_key"), F.when(F.coalesce(fine, F.lit(False)), e).alias("_v")).withColumn("node", F.when(F.col("_v").isNotNull(), F.xxhash64("_v", F.lit(5))))
+    rows = vectors.select(F.col(key).cast("long").alias("_key"), F.when(F.coalesce(fine, F.lit(False)), F.col(column)).alias("_v")).withColumn("node", F.when(F.col("_v").isNotNull(), F.xxhash64(F.transform("_v", lambda x: x.cast("double")), F.lit(5))))
     nodes = saved(rows.where("node is not null").groupBy("node").agg(F.min("_key").alias("name"), F.count(F.lit(1)).alias("w"), F.first("_v").alias("v")))
     # vectors of different lengths never link, so every length has an index of its own
     sizes = {r["d"]: r["n"] for r in nodes.groupBy(F.size("v").alias("d")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").collect()}
@@ -70,7 +70,7 @@ def near_vectors(vectors: DataFrame, least: float = 0.9, key: str = "vec_id", co
         own = nodes.where(F.size("v") == d)
         # the bound of the sample is ``sample_rows``
         sample = own.orderBy(F.xxhash64("node", F.lit(1)), "node").limit(sample_rows).select("v").toPandas()["v"]
-        x = np.array(list(sample), float)
+        x = np.array([np.asarray(v, float) for v in sample], float)
         x /= np.linalg.norm(x, axis=1, keepdims=True)
         mean = x.mean(0)
         spread = float(np.sqrt(((x - mean) ** 2).sum(1).mean())) or 1.0
@@ -93,22 +93,32 @@ def near_vectors(vectors: DataFrame, least: float = 0.9, key: str = "vec_id", co
     return out.select(F.col("_key").alias(key), F.coalesce("n", F.lit(0)).cast("long").alias("n_links"), first.alias("component_id"), F.coalesce(F.col("_key") == first, F.lit(True)).alias("kept"))
 
 
+def _unit(v: np.ndarray) -> np.ndarray:
+    v = v.astype(float)
+    return v / np.linalg.norm(v, axis=1, keepdims=True)
+
+
 def _links(nodes: DataFrame, d: int, mean, turn, bits: int, tables: int, least: float, parts: int) -> DataFrame:
     """Rows (a, null, links) with weights of linked nodes, and (a, b, 0) that join components."""
 
+    # values travel as they were stored; they become doubles where they are compared
+    kind = {"float": np.float32, "double": np.float64}.get(nodes.schema["v"].dataType.elementType.simpleString())
+    if kind is None:
+        kind, nodes = np.float64, nodes.withColumn("v", F.transform("v", lambda x: x.cast("double")))
+
     def encode(batches):
         place = 1 << np.arange(bits, dtype=np.int64)
         for b in batches:
             node, w = b.column(0).to_numpy(), b.column(1).to_numpy()
-            v = b.column(2).flatten().to_numpy(zero_copy_only=False).reshape(-1, d)
-            z = v / np.linalg.norm(v, axis=1, keepdims=True)
-            code = (((z - mean) @ turn) > 0).reshape(-1, tables, bits) @ place
+            v = b.column(2).flatten().to_numpy(zero_copy_only=False).astype(kind, copy=False).reshape(-1, d)
+            code = (((_unit(v) - mean) @ turn) > 0).reshape(-1, tables, bits) @ place
+            small = code.astype(np.uint32)
             for i in range(0, len(node), 2000):
                 n = len(node[i : i + 2000])
                 s = slice(i, i + n)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(np.repeat(node[s], tables)), pa.array(np.repeat(w[s], tables)), pa.array([x.tobytes() for x in z[s] for _ in range(tables)], pa.binary()),
-                    pa.array([x.tobytes() for x in code[s] for _ in range(tables)], pa.binary()), pa.array(np.tile(np.arange(tables), n), pa.int32()), pa.array(code[s].ravel()),
+                    pa.array(np.repeat(node[s], tables)), pa.array(np.repeat(w[s], tables)), pa.array([x.tobytes() for x in v[s] for _ in range(tables)], pa.binary()),
+                    pa.array([x.tobytes() for x in small[s] for _ in range(tables)], pa.binary()), pa.array(np.tile(np.arange(tables), n), pa.int32()), pa.array(code[s].ravel()),
                 ], names=["node", "w", "v", "code", "t", "bucket"])
 
     rows = nodes.select("node", "w", "v").mapInArrow(encode, "node bigint, w bigint, v binary, code binary, t int, bucket bigint")
@@ -124,8 +134,8 @@ def _links(nodes: DataFrame, d: int, mean, turn, bits: int, tables: int, least:
             if t.num_rows < 2:
                 continue
             node, w, at, s = t.column("node").to_numpy(), t.column("w").to_numpy(), t.column("t")[0].as_py(), t.column("side").to_numpy()
-            v = np.frombuffer(b"".join(t.column("v").to_pylist()), float).reshape(len(node), d)
-            code = np.frombuffer(b"".join(t.column("code").to_pylist()), np.int64).reshape(len(node), tables)
+            v = _unit(np.frombuffer(b"".join(t.column("v").to_pylist()), kind).reshape(len(node), d))
+            code = np.frombuffer(b"".join(t.column("code").to_pylist()), np.uint32).reshape(len(node), tables)
             one, two = (np.flatnonzero(s == 0),) * 2 if (s == 0).all() else (np.flatnonzero(s == 1), np.flatnonzero(s == 2))
             links, label = np.zeros(len(node), np.int64), np.arange(len(node))
             for i in range(0, len(one), 1000):

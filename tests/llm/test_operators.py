@@ -78,41 +78,56 @@ def test_keep_one_keeps_one_of_each_group(spark):
     assert {r["doc_id"] for r in jaccard.keep_one(df).collect()} == {1, 2, 4, None}
 
 
-def test_katz(spark, corpus, docs):
+@pytest.mark.parametrize("parts", [1, 3, 60])
+def test_katz(spark, corpus, docs, parts, monkeypatch):
+    monkeypatch.setattr(katz, "BUFFER", 9000)
+    monkeypatch.setattr(katz, "HEAVY", 60)  # with 60 parts some middle words are split
     train = [(i, t) for i, t in corpus if i is not None and i % 3]
-    uni, bi = Counter(), Counter()
+    uni, bi, tri = Counter(), Counter(), Counter()
     for _, t in train:
         w = [*words(t), "</s>"]
         uni.update(w)
         bi.update(zip(["<s>", *w[:-1]], w, strict=True))
+        tri.update(zip(["<s>", *w[:-2]], w[:-1], w[1:], strict=True) if len(w) > 1 else [])
     by = lambda c: [0] + [sum(1 for x in c.values() if x == r) for r in range(1, katz.K + 2)]
-    model, d = katz._Model(sum(uni.values()), len(uni), np.array(by(uni))), katz.discounts(np.array(by(bi)))
+    model, d2, d3 = katz._Model(sum(uni.values()), len(uni), np.array(by(uni))), katz.discounts(np.array(by(bi))), katz.discounts(np.array(by(tri)))
     p1 = lambda w: float(model.unigram(np.array([uni.get(w, 0)]))[0])
     assert abs(sum(map(p1, uni)) + model.unknown - 1) < 1e-9
-    ctx = defaultdict(dict)
-    for (a, b), c in bi.items():
-        ctx[a][b] = c
-
-    def p(a, b):
-        if a not in ctx:
-            return p1(b)
-        n, kept = sum(ctx[a].values()), sum(float(katz.discounted(np.array([c]), d)[0]) for c in ctx[a].values())
-        n2 = n + (n - kept < 1e-9)
-        c = ctx[a].get(b, 0)
-        return float(katz.discounted(np.array([c]), d)[0]) / n2 if c else (n2 - kept) / n2 / (1 - sum(map(p1, ctx[a]))) * p1(b)
-
-    assert abs(sum(p("w1", w) for w in uni) + p("w1", "<never>") - 1) < 1e-9
+    after = defaultdict(dict)
+    for (*h, b), c in [*bi.items(), *tri.items()]:
+        after[tuple(h)][b] = c
+    weights = {}
+
+    def step(h, b, d, lower):
+        if h not in after:
+            return lower(b)
+        cut = lambda c: float(katz.discounted(np.array([c]), d)[0])
+        if h not in weights:
+            n, kept = sum(after[h].values()), sum(cut(c) for c in after[h].values())
+            n2 = n + (n - kept < 1e-9)
+            weights[h] = (n2, (n2 - kept) / n2 / (1 - sum(map(lower, after[h]))))
+        n2, alpha = weights[h]
+        c = after[h].get(b, 0)
+        return cut(c) / n2 if c else alpha * lower(b)
+
+    p2 = lambda a, b: step((a,), b, d2, p1)
+    p3 = lambda a, b, c: step((a, b), c, d3, lambda x: p2(b, x)) if a else p2(b, c)
+    for h in (("w1",), ("w3", "w1"), next(iter(tri))[:2], ("w1", "never")):
+        p = (lambda x, h=h: p2(*h, x)) if len(h) == 1 else (lambda x, h=h: p3(*h, x))
+        assert abs(sum(map(p, uni)) + p("<never>") - 1) < 1e-9
     n, v = sum(uni.values()), len(uni)
     want = sorted((str(i), len(words(t)) + 1, sum(w in uni for w in [*words(t), "</s>"])) for i, t in corpus)
-    got = katz.katz_scores(docs, F.col("doc_id") % 3 != 0).collect()
+    got = katz.katz_scores(docs, F.col("doc_id") % 3 != 0, parts=parts).collect()
     assert sorted((str(r["doc_id"]), r["n_tokens"], r["n_known"]) for r in got) == want
     text = dict(corpus)
     for r in got:
         w = [*words(text[r["doc_id"]]), "</s>"]
         assert r["train_tokens"] == n
         assert math.isclose(r["base_score"], sum(math.log10((uni.get(x, 0) + 1) / (n + v + 1)) for x in w), rel_tol=1e-9)
-        assert math.isclose(r["score"], sum(math.log10(p(a, b)) for a, b in zip(["<s>", *w[:-1]], w, strict=True)), rel_tol=1e-6)
-    assert katz.katz_scores(empty(spark), F.lit(True)).count() == 0
+        h = [None, "<s>", *w]
+        assert math.isclose(r["score"], sum(math.log10(p3(h[i], h[i + 1], x)) for i, x in enumerate(w)), rel_tol=1e-6)
+    if parts == 1:
+        assert katz.katz_scores(empty(spark), F.lit(True)).count() == 0
 
 
 def test_decontamination(spark, corpus, docs):
