@@ -23,7 +23,7 @@ from docweave.llm._spark import parts_for, saved, small_batches
 
 K = 5  # counts above K are not discounted
 NONE, START, END = np.uint64(0), np.uint64(1), np.uint64(2)
-BUFFER = 1_200_000  # tokens held by a map task before it sends messages
+BUFFER = 2_400_000  # tokens held by a map task before it sends messages
 HEAVY = 1000  # a middle word met less often is never split
 
 
@@ -159,10 +159,13 @@ def trigrams(docs: DataFrame, parts: int, heavy: np.ndarray) -> DataFrame:
             c = _context(ctx)
             big = _member(heavy_c, c)
             lead = np.where(big, X.mix(c ^ (np.where(left == NONE, word, left) * np.uint64(0x9E3779B97F4A7C15))), c)
-            sort = (lead & np.uint64(0xFFFFFFFF00000000)) | (X.mix(c + left * np.uint64(0xD6E8FEB86659FD93) + word * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32))
+            # by context, word and left neighbour, so that equal trigrams meet and places of words grow
+            sort = (lead & np.uint64(0xFFFFFFFF00000000)) | (word >> np.uint64(48) << np.uint64(16)) | (left >> np.uint64(48))
             order = np.argsort(sort)
             c, left, word, ref, train, part = c[order], left[order], word[order], ref[order], train[order], part_of(sort[order], parts)
             cut = np.searchsorted(part, np.arange(parts + 1))
+            first = np.empty(len(rows), np.int32)  # a document's key goes to one part
+            first[ref[::-1]] = part[::-1]
             for p in range(parts):
                 a, z = cut[p], cut[p + 1]
                 if a == z:
@@ -175,9 +178,10 @@ def trigrams(docs: DataFrame, parts: int, heavy: np.ndarray) -> DataFrame:
                 # words once a message, then their places
                 uw, wi = np.unique(np.concatenate([pl[at], pw[at]]), return_inverse=True)
                 own, d = np.unique(ref[a:z], return_inverse=True)
+                told = first[own] == p
                 blob = X.pack(
                     uc=X.pack_sorted(uc), ci=ci.astype(np.uint32), uw=X.pack_sorted(uw), li=wi[: len(at)].astype(np.uint32), wi=wi[len(at) :].astype(np.uint32),
-                    n=np.diff(at, append=z - a).astype(np.uint32), t=np.add.reduceat(train[a:z].astype(np.uint32), at), d=d.astype(np.uint32), g=rows[:1], row=rows[own], key=keys[own], null=nulls[own],
+                    n=np.diff(at, append=z - a).astype(np.uint32), t=np.add.reduceat(train[a:z].astype(np.uint32), at), d=d.astype(np.uint32), g=rows[:1], row=rows[own], told=told, key=keys[own][told], null=nulls[own][told],
                 )
                 yield pa.RecordBatch.from_arrays([pa.array([p], pa.int32()), pa.array([blob], pa.binary())], names=["part", "blob"])
 
@@ -312,31 +316,62 @@ def katz_scores(docs: DataFrame, train, text: str = "text", key: str = "doc_id",
     heavy_c = np.sort(_context(heavy))
     dealt = trigrams(src, parts, heavy)
 
-    def ask(batches):  # which words each part needs from each part of the unigram table
+    def ask(batches):  # which words a part needs from each part of the unigram table, with its bigrams of heavy contexts, and its types by count
         for p, blobs in _by_part(batches):
-            w = np.unique(np.concatenate([np.unique(_words_of(X.unpack(b.as_buffer()))[1]) for b in blobs]))
-            u = part_of(X.mix(w), parts)
-            for q in np.unique(u).tolist():
-                yield pa.RecordBatch.from_arrays([pa.array([q], pa.int32()), pa.array([p], pa.int32()), pa.array([X.pack(k=X.pack_sorted(w[u == q]))], pa.binary())], names=["part", "to", "ask"])
-
-    def answer(key, asked, own):
-        k, c = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+            c, w, u, t, _, _ = _load(blobs)
+            two = _Bigrams(c, w, t)
+            big = _member(heavy_c, two.c)
+            r = np.array(_types_by_count(two.t[~big]) + _types_by_count(t[u != NONE]))
+            words, (hc, hw, ht) = np.unique(two.w), (x[big] for x in (two.c, two.w, two.t))
+            of, hof = part_of(X.mix(words), parts), part_of(X.mix(hw), parts)
+            for q in np.unique(of).tolist():
+                i = hof == q
+                blob = X.pack(k=X.pack_sorted(words[of == q]), c=hc[i], w=hw[i], t=ht[i], r=r)
+                r = r[:0]
+                yield pa.RecordBatch.from_arrays([pa.array([q], pa.int32()), pa.array([p], pa.int32()), pa.array([blob], pa.binary())], names=["part", "to", "ask"])
+
+    state = pa.schema([("part", pa.int32()), ("words", pa.binary()), ("heavy", pa.binary()), ("c", pa.int64()), ("s", pa.list_(pa.float64()))])
+
+    def answer(key, asked, own):  # counts of words and of whole heavy bigrams; types by count; and what heavy contexts' normalisers need
+        k, n = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         if own.num_rows:
             x = X.unpack(own.column("blob")[0].as_buffer())
-            k, c = X.unpack_sorted(x["k"]), x["c"]
-        to, out = [], []
-        for p, blob in zip(asked.column("to").to_pylist(), asked.column("ask"), strict=True):
-            w = X.unpack_sorted(X.unpack(blob.as_buffer())["k"])
-            n = np.zeros(len(w), np.int64)
-            if len(k):
-                i = np.minimum(np.searchsorted(k, w), len(k) - 1)
-                n = np.where(k[i] == w, c[i], 0)
-            to.append(p)
-            out.append(X.pack(k=X.pack_sorted(w), c=n))
-        return pa.table({"part": pa.array(to, pa.int32()), "words": pa.array(out, pa.binary())})
-
-    asked = dealt.mapInArrow(ask, "part int, to int, ask binary")
-    told = asked.groupBy("part").cogroup(table.select("part", "blob").groupBy("part")).applyInArrow(answer, "part int, words binary")
+            k, n = X.unpack_sorted(x["k"]), x["c"]
+
+        def count_of(w):
+            if not len(k):
+                return np.zeros(len(w), np.int64)
+            i = np.minimum(np.searchsorted(k, w), len(k) - 1)
+            return np.where(k[i] == w, n[i], 0)
+
+        got = [X.unpack(b.as_buffer()) for b in asked.column("ask")]
+        if not got:
+            return state.empty_table()
+        c, w, t = (np.concatenate([x[f] for x in got]) for f in "cwt")
+        order = np.lexsort((w, c))
+        first, at = _groups(c[order], w[order])
+        whole = np.bincount(at, weights=t[order], minlength=len(first)).astype(np.int64)
+        back = np.empty(len(c), np.int64)
+        back[order] = whole[at]
+        types = sum([x["r"] for x in got if len(x["r"])], np.zeros(2 * K + 4, np.int64))
+        types[: K + 2] += np.array(_types_by_count(whole))
+        rows = [{"part": -1, "s": types.astype(float).tolist()}]
+        seen = whole > 0
+        uc, ci = np.unique(c[order][first][seen], return_inverse=True)
+        p1 = uni.unigram(count_of(w[order][first]))
+        sums = np.stack([np.bincount(ci, weights=x[seen], minlength=len(uc)) for x in (whole, p1, np.where(whole > K, whole, 0), *[whole == r for r in range(1, K + 1)])], 1)
+        rows += [{"part": -1, "c": x, "s": y} for x, y in zip(uc.astype(np.int64).tolist(), sums.tolist(), strict=True)]
+        lo = 0
+        for p, x in zip(asked.column("to").to_pylist(), got, strict=True):
+            hi = lo + len(x["c"])
+            words = X.unpack_sorted(x["k"])
+            rows.append({"part": p, "words": X.pack(k=x["k"], c=count_of(words)), "heavy": X.pack(c=x["c"], w=x["w"], t=back[lo:hi]) if hi > lo else None})
+            lo = hi
+        return pa.Table.from_pylist(rows, schema=state)
+
+    asked = dealt.mapInArrow(ask, "part int, to int, ask binary").repartitionById(parts, F.col("part"))
+    table_by = table.select("part", "blob").repartitionById(parts, F.col("part"))
+    told = asked.groupBy("part").cogroup(table_by.groupBy("part")).applyInArrow(answer, "part int, words binary, heavy binary, c bigint, s array<double>")
 
     def lookup(rows) -> tuple[np.ndarray, np.ndarray]:
         got = [X.unpack(b.as_buffer()) for b in rows if b.is_valid]
@@ -345,58 +380,25 @@ def katz_scores(docs: DataFrame, train, text: str = "text", key: str = "doc_id",
         o = np.argsort(k)
         return k[o], c[o]
 
-    def partial(key, own, words):  # this part's counts of the bigrams of heavy contexts, to where they are summed, and its types by count
-        c, w, u, t, _, _ = _load(own.column("blob"))
-        two, (k, n) = _Bigrams(c, w, t), lookup(words.column("words"))
-        big = _member(heavy_c, two.c)
-        use = np.flatnonzero(big)
-        p, me = part_of(X.mix(two.c[use] ^ X.mix(two.w[use])), parts), key[0].as_py()
-        out = [(me, -1, X.pack(r=np.array(_types_by_count(two.t[~big]) + _types_by_count(t[u != NONE]))))]
-        for q in np.unique(p).tolist():
-            i = use[p == q]
-            out.append((q, me, X.pack(c=two.c[i], w=two.w[i], t=two.t[i], n=n[np.searchsorted(k, two.w[i])])))
-        at, part, blob = zip(*out, strict=True)
-        return pa.table({"at": pa.array(at, pa.int32()), "part": pa.array(part, pa.int32()), "blob": pa.array(blob, pa.binary())})
-
-    state = pa.schema([("part", pa.int32()), ("heavy", pa.binary()), ("c", pa.int64()), ("s", pa.list_(pa.float64()))])
-
-    def add_up(batches):  # whole counts, back to the parts; types by count; and what the heavy contexts' normalisers need
-        by: dict[int, list] = {}
-        for b in batches:
-            for q, p, blob in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True):
-                by.setdefault(q, []).append((p, X.unpack(blob.as_buffer())))
-        for rows in by.values():
-            count = sum([x["r"] for p, x in rows if p < 0], np.zeros(2 * K + 4, np.int64))
-            got = [(p, x) for p, x in rows if p >= 0]
-            if got:
-                c, w, t, n = (np.concatenate([x[f] for _, x in got]) for f in "cwtn")
-                order = np.lexsort((w, c))
-                first, at = _groups(c[order], w[order])
-                whole = np.bincount(at, weights=t[order]).astype(np.int64)
-                back = np.empty(len(c), np.int64)
-                back[order] = whole[at]
-                count[: K + 2] += np.array(_types_by_count(whole))
-                fc, p1, seen = c[order][first], uni.unigram(n[order][first]), whole > 0
-                uc, ci = np.unique(fc[seen], return_inverse=True)
-                sums = np.stack([np.bincount(ci, weights=x[seen], minlength=len(uc)) for x in (whole, p1, np.where(whole > K, whole, 0), *[whole == r for r in range(1, K + 1)])], 1)
-                yield pa.RecordBatch.from_pylist([{"part": -1, "c": x, "s": y} for x, y in zip(uc.astype(np.int64).tolist(), sums.tolist(), strict=True)], schema=state)
-                cut = np.cumsum([0] + [len(x["c"]) for _, x in got])
-                for (p, x), i, j in zip(got, cut[:-1].tolist(), cut[1:].tolist(), strict=True):
-                    yield pa.RecordBatch.from_pylist([{"part": p, "heavy": X.pack(c=x["c"], w=x["w"], t=back[i:j])}], schema=state)
-            yield pa.RecordBatch.from_pylist([{"part": -1, "s": count.astype(float).tolist()}], schema=state)
-
-    shares = dealt.groupBy("part").cogroup(told.repartitionById(parts, F.col("part")).groupBy("part")).applyInArrow(partial, "at int, part int, blob binary")
-    summed = saved(shares.repartitionById(parts, F.col("at")).mapInArrow(add_up, "part int, heavy binary, c bigint, s array<double>"))
-    # as many rows as heavy contexts, which is at most 4 * parts, and one
-    sums = summed.where("part = -1").groupBy("c").agg(F.array(*[F.sum(F.get("s", F.lit(i))) for i in range(2 * K + 4)]).alias("s")).collect()
-    count = next((np.array(r["s"]) for r in sums if r["c"] is None), np.zeros(2 * K + 4))
-    d2, d3 = discounts(count[: K + 2]), discounts(count[K + 2 :])
-    norms = sorted((r["c"] & ((1 << 64) - 1), r["s"][: K + 3]) for r in sums if r["c"] is not None)
-    shared = spark.sparkContext.broadcast((np.array([c for c, _ in norms], np.uint64), np.array([x for _, x in norms], float).reshape(-1, K + 3)))
-    more = summed.where("part >= 0").select("part", F.lit(None).cast("binary").alias("words"), "heavy")
-    told_all = told.select("part", "words", F.lit(None).cast("binary").alias("heavy")).union(more).repartitionById(parts, F.col("part"))
+    # one row of as many entries as heavy contexts, which is at most 4 * parts, and one; it goes to every part once
+    sums = told.where("part = -1").groupBy("c").agg(F.array(*[F.sum(F.get("s", F.lit(i))) for i in range(2 * K + 4)]).alias("s"))
+    sums = sums.agg(F.collect_list(F.struct(F.col("c"), F.col("s"))).alias("sums")).withColumn("_z", F.lit(0))
+    every = spark.range(parts).select(F.col("id").cast("int").alias("part"), F.lit(0).alias("_z")).join(F.broadcast(sums), "_z").select("part", "sums")
+    nulls = [F.lit(None).cast("binary").alias(c) for c in ("words", "heavy")]
+    kind = "array<struct<c:bigint,s:array<double>>>"
+    told_all = told.where("part >= 0").select("part", "words", "heavy", F.lit(None).cast(kind).alias("sums"))
+    told_all = told_all.union(every.select("part", *nulls, F.col("sums").cast(kind))).repartitionById(parts, F.col("part"))
+
+    def global_sums(rows):
+        got = next(x.as_py() for x in rows if x.is_valid)
+        count = next((np.array(x["s"]) for x in got if x["c"] is None), np.zeros(2 * K + 4))
+        norms = sorted((x["c"] & ((1 << 64) - 1), x["s"][: K + 3]) for x in got if x["c"] is not None)
+        return discounts(count[: K + 2]), discounts(count[K + 2 :]), np.array([c for c, _ in norms], np.uint64), np.array([x for _, x in norms], float).reshape(-1, K + 3)
 
     def score(key, own, words):
+        if not own.num_rows:
+            return pa.table({"g": pa.array([], pa.int64()), "blob": pa.array([], pa.binary())})
+        d2, d3, names, sums = global_sums(words.column("sums"))
         c, w, u, t, loaded, place = _load(own.column("blob"))
         k, n = lookup(words.column("words"))
         two = _Bigrams(c, w, t)
@@ -411,7 +413,6 @@ def katz_scores(docs: DataFrame, train, text: str = "text", key: str = "doc_id",
         first, of = _groups(two.c)
         seen = two.t > 0
         size, kept, known = (np.bincount(of, weights=x, minlength=len(first)) for x in (two.t, discounted(two.t, d2), np.where(seen, p1, 0.0)))
-        names, sums = shared.value
         at = np.searchsorted(names, two.c[first])
         big = np.flatnonzero(_member(names, two.c[first]))
         if len(big):
@@ -438,7 +439,7 @@ def katz_scores(docs: DataFrame, train, text: str = "text", key: str = "doc_id",
             at += m
             docs_, z = x["d"], len(x["row"])
             blob = X.pack(
-                row=x["row"], key=x["key"], null=x["null"], n=np.bincount(docs_, minlength=z).astype(np.int32), known=np.bincount(docs_, weights=count[pair] > 0, minlength=z).astype(np.int32),
+                row=x["row"], told=x["told"], key=x["key"], null=x["null"], n=np.bincount(docs_, minlength=z).astype(np.int32), known=np.bincount(docs_, weights=count[pair] > 0, minlength=z).astype(np.int32),
                 base=np.bincount(docs_, weights=base[pair], minlength=z), logp=np.bincount(docs_, weights=logp[pair], minlength=z),
             )
             out.append((int(x["g"][0]), blob))
@@ -455,8 +456,10 @@ def katz_scores(docs: DataFrame, train, text: str = "text", key: str = "doc_id",
             rows = np.concatenate([x["row"] for x in got])
             _, one, at = np.unique(rows, return_index=True, return_inverse=True)
             total = lambda c: np.bincount(at, weights=np.concatenate([x[c] for x in got]), minlength=len(one))  # noqa: B023,E731
-            nulls, keys = np.concatenate([x["null"] for x in got])[one], np.concatenate([x["key"] for x in got])[one]
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64(), mask=nulls.astype(bool)), pa.array(total("n").astype(np.int64)), pa.array(total("known").astype(np.int64)), pa.array(total("base")), pa.array(total("logp"))], names=["_key", "n_tokens", "n_known", "base_score", "score"])
+            known = np.concatenate([x["told"] for x in got])
+            keys, nulls = np.empty(len(one), np.int64), np.empty(len(one), bool)
+            keys[at[known]], nulls[at[known]] = (np.concatenate([x[c] for x in got]) for c in ("key", "null"))
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64(), mask=nulls), pa.array(total("n").astype(np.int64)), pa.array(total("known").astype(np.int64)), pa.array(total("base")), pa.array(total("logp"))], names=["_key", "n_tokens", "n_known", "base_score", "score"])
 
     rows = dealt.groupBy("part").cogroup(told_all.groupBy("part")).applyInArrow(score, "g bigint, blob binary")
     sums = rows.repartition(parts, "g").mapInArrow(add, "_key bigint, n_tokens bigint, n_known bigint, base_score double, score double")
