@@ -176,10 +176,10 @@ def covered(starts: np.ndarray, ends: np.ndarray, n: int) -> np.ndarray:
     return np.cumsum(d)[:n] > 0
 
 
-def pack(**arrays: np.ndarray) -> bytes:
+def pack(_level: int = 1, **arrays: np.ndarray) -> bytes:
     """Arrays of one message, compressed; read with ``unpack``."""
     b = pa.BufferOutputStream()
-    codec = pa.Codec("zstd", 1)
+    codec = pa.Codec("zstd", _level)
     head, bodies = [], []
     for k, a in arrays.items():
         a = np.ascontiguousarray(a)

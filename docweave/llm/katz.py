@@ -24,6 +24,7 @@ from docweave.llm._spark import parts_for, saved, small_batches
 K = 5  # counts above K are not discounted
 NONE, START, END = np.uint64(0), np.uint64(1), np.uint64(2)
 BUFFER = 2_400_000  # tokens held by a map task before it sends messages
+LEVEL = 6  # of compression, for the one large exchange
 HEAVY = 1000  # a middle word met less often is never split
 
 
@@ -180,7 +181,7 @@ def trigrams(docs: DataFrame, parts: int, heavy: np.ndarray) -> DataFrame:
                 own, d = np.unique(ref[a:z], return_inverse=True)
                 told = first[own] == p
                 blob = X.pack(
-                    uc=X.pack_sorted(uc), ci=ci.astype(np.uint32), uw=X.pack_sorted(uw), li=wi[: len(at)].astype(np.uint32), wi=wi[len(at) :].astype(np.uint32),
+                    _level=LEVEL, uc=X.pack_sorted(uc), ci=ci.astype(np.uint32), uw=X.pack_sorted(uw), li=wi[: len(at)].astype(np.uint32), wi=wi[len(at) :].astype(np.uint32),
                     n=np.diff(at, append=z - a).astype(np.uint32), t=np.add.reduceat(train[a:z].astype(np.uint32), at), d=d.astype(np.uint32), g=rows[:1], row=rows[own], told=told, key=keys[own][told], null=nulls[own][told],
                 )
                 yield pa.RecordBatch.from_arrays([pa.array([p], pa.int32()), pa.array([blob], pa.binary())], names=["part", "blob"])
@@ -238,17 +239,6 @@ def _load(blobs):
     return c[pick], w[pick], u[pick], np.bincount(place, weights=t, minlength=len(pick)).astype(np.int64), loaded, place
 
 
-def _find(values: np.ndarray, x: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
-    """Place of each x in values[lo:hi], which is sorted and holds it."""
-    lo, hi = lo.copy(), hi.copy()
-    while (live := np.flatnonzero(hi - lo > 1)).size:
-        mid = (lo[live] + hi[live]) // 2
-        right = values[mid] <= x[live]
-        lo[live] = np.where(right, mid, lo[live])
-        hi[live] = np.where(right, hi[live], mid)
-    return lo
-
-
 def _katz(seen, t, size, kept, known, lower, of, d) -> np.ndarray:
     """One step of the back-off: discounted n-grams, or the lower order's probability times the context's exact weight.
 
@@ -330,7 +320,7 @@ def katz_scores(docs: DataFrame, train, text: str = "text", key: str = "doc_id",
                 r = r[:0]
                 yield pa.RecordBatch.from_arrays([pa.array([q], pa.int32()), pa.array([p], pa.int32()), pa.array([blob], pa.binary())], names=["part", "to", "ask"])
 
-    state = pa.schema([("part", pa.int32()), ("words", pa.binary()), ("heavy", pa.binary()), ("c", pa.int64()), ("s", pa.list_(pa.float64()))])
+    state = pa.schema([("part", pa.int32()), ("words", pa.binary()), ("c", pa.int64()), ("s", pa.list_(pa.float64()))])
 
     def answer(key, asked, own):  # counts of words and of whole heavy bigrams; types by count; and what heavy contexts' normalisers need
         k, n = np.zeros(0, np.uint64), np.zeros(0, np.int64)
@@ -364,30 +354,22 @@ def katz_scores(docs: DataFrame, train, text: str = "text", key: str = "doc_id",
         lo = 0
         for p, x in zip(asked.column("to").to_pylist(), got, strict=True):
             hi = lo + len(x["c"])
-            words = X.unpack_sorted(x["k"])
-            rows.append({"part": p, "words": X.pack(k=x["k"], c=count_of(words)), "heavy": X.pack(c=x["c"], w=x["w"], t=back[lo:hi]) if hi > lo else None})
+            # in the order asked, which the part knows
+            rows.append({"part": p, "words": X.pack(q=np.array([key[0].as_py()]), n=count_of(X.unpack_sorted(x["k"])), t=back[lo:hi])})
             lo = hi
         return pa.Table.from_pylist(rows, schema=state)
 
     asked = dealt.mapInArrow(ask, "part int, to int, ask binary").repartitionById(parts, F.col("part"))
     table_by = table.select("part", "blob").repartitionById(parts, F.col("part"))
-    told = asked.groupBy("part").cogroup(table_by.groupBy("part")).applyInArrow(answer, "part int, words binary, heavy binary, c bigint, s array<double>")
-
-    def lookup(rows) -> tuple[np.ndarray, np.ndarray]:
-        got = [X.unpack(b.as_buffer()) for b in rows if b.is_valid]
-        k = np.concatenate([X.unpack_sorted(x["k"]) for x in got])
-        c = np.concatenate([x["c"] for x in got])
-        o = np.argsort(k)
-        return k[o], c[o]
+    told = asked.groupBy("part").cogroup(table_by.groupBy("part")).applyInArrow(answer, "part int, words binary, c bigint, s array<double>")
 
     # one row of as many entries as heavy contexts, which is at most 4 * parts, and one; it goes to every part once
     sums = told.where("part = -1").groupBy("c").agg(F.array(*[F.sum(F.get("s", F.lit(i))) for i in range(2 * K + 4)]).alias("s"))
     sums = sums.agg(F.collect_list(F.struct(F.col("c"), F.col("s"))).alias("sums")).withColumn("_z", F.lit(0))
     every = spark.range(parts).select(F.col("id").cast("int").alias("part"), F.lit(0).alias("_z")).join(F.broadcast(sums), "_z").select("part", "sums")
-    nulls = [F.lit(None).cast("binary").alias(c) for c in ("words", "heavy")]
     kind = "array<struct<c:bigint,s:array<double>>>"
-    told_all = told.where("part >= 0").select("part", "words", "heavy", F.lit(None).cast(kind).alias("sums"))
-    told_all = told_all.union(every.select("part", *nulls, F.col("sums").cast(kind))).repartitionById(parts, F.col("part"))
+    told_all = told.where("part >= 0").select("part", "words", F.lit(None).cast(kind).alias("sums"))
+    told_all = told_all.union(every.select("part", F.lit(None).cast("binary"), F.col("sums").cast(kind))).repartitionById(parts, F.col("part"))
 
     def global_sums(rows):
         got = next(x.as_py() for x in rows if x.is_valid)
@@ -400,15 +382,14 @@ def katz_scores(docs: DataFrame, train, text: str = "text", key: str = "doc_id",
             return pa.table({"g": pa.array([], pa.int64()), "blob": pa.array([], pa.binary())})
         d2, d3, names, sums = global_sums(words.column("sums"))
         c, w, u, t, loaded, place = _load(own.column("blob"))
-        k, n = lookup(words.column("words"))
         two = _Bigrams(c, w, t)
-        for blob in words.column("heavy"):
-            if blob.is_valid:  # whole counts of this part's heavy bigrams
+        known_, big = np.unique(two.w), np.flatnonzero(_member(heavy_c, two.c))
+        of, hof, n = part_of(X.mix(known_), parts), part_of(X.mix(two.w[big]), parts), np.zeros(len(known_), np.int64)
+        for blob in words.column("words"):
+            if blob.is_valid:  # counts of this part's words, and whole counts of its heavy bigrams
                 x = X.unpack(blob.as_buffer())
-                lo = np.searchsorted(two.c, x["c"], "left")
-                hi = np.searchsorted(two.c, x["c"], "right")
-                two.t[_find(two.w, x["w"], lo, hi)] = x["t"]
-        count2 = n[np.searchsorted(k, two.w)]
+                n[of == x["q"][0]], two.t[big[hof == x["q"][0]]] = x["n"], x["t"]
+        count2 = n[np.searchsorted(known_, two.w)]
         p1 = uni.unigram(count2)
         first, of = _groups(two.c)
         seen = two.t > 0
