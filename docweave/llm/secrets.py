@@ -349,8 +349,14 @@ def fit(docs: DataFrame, text: str = "text", key: str = "doc_id", sample_rows: i
 
     # few rows leave each task, so the second kind is not worth a second scan
     picked = saved(rows.mapInArrow(pick, "hit boolean, o bigint, t string"))
-    few = [picked.where(F.col("hit") == hit).orderBy("o", "t").limit(half).select("t", "o") for hit in (True, False)]
-    got = sorted((r["o"], bytes(r["b"])) for r in few[0].union(few[1]).mapInArrow(cut, "o bigint, b binary").collect())
+    got = []
+    for hit in (True, False):
+        kind = picked.where(F.col("hit") == hit)
+        orders = [r["o"] for r in kind.select("o").distinct().orderBy("o").limit(half).collect()]  # numbers, not texts
+        if orders:
+            few = kind.where(F.col("o") <= orders[-1]).dropDuplicates(["o"]).select("t", "o")
+            got += [(r["o"], bytes(r["b"])) for r in few.mapInArrow(cut, "o bigint, b binary").collect()]
+    got.sort()
     drop(picked)
     if not got:
         return None
