@@ -134,7 +134,7 @@ def dual_traversal(a: SignatureTree, b: SignatureTree, num: int, den: int):
             lb -= 1
         if same and la == lb:
             i, j = i[i <= j], j[i <= j]
-        step = 500_000
+        step = 100_000 if la == 0 and lb == 0 else 1024  # inner pairs have up to FAN * FAN children each
         for k in range(0, len(i), step):
             stack.append((la, lb, i[k : k + step], j[k : k + step]))
 
