@@ -7,7 +7,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 EDGES = 200_000  # edges that one task joins
@@ -72,6 +72,21 @@ def drop(*tables: DataFrame) -> None:
             at.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def bit_set(of: DataFrame, value: Column, bits: int = 1 << 24) -> np.ndarray:
+    """A bitmap, the same size for any table, with the bit of every value of a long column."""
+    bit = of.select(F.pmod(value, F.lit(bits)).alias("b"))
+    marks = bit.groupBy(F.shiftright("b", 15).alias("k")).agg(F.bitmap_construct_agg(F.col("b").bitwiseAND(F.lit(32767))).alias("m")).collect()
+    out = np.zeros(bits // 8, np.uint8)
+    for r in marks:  # at most bits / 8 bytes in all
+        out[r["k"] * 4096 : (r["k"] + 1) * 4096] = np.frombuffer(r["m"], np.uint8)
+    return out
+
+
+def in_bit_set(marks: np.ndarray, value: np.ndarray) -> np.ndarray:
+    k = value % (len(marks) * 8)
+    return marks[k >> 3] >> (k & 7) & 1 > 0
+
+
 def hub_join(rows: DataFrame, few: DataFrame, key: str) -> DataFrame:
     """``rows`` left-joined with ``few``, which has a key once, though one key may hold a third of the rows.
 

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docweave.llm import _text as X
-from docweave.llm._spark import components, drop, hub_join, join_roots, parts_of, saved, small_batches
+from docweave.llm._spark import bit_set, components, drop, hub_join, in_bit_set, join_roots, parts_of, saved, small_batches
 from docweave.llm.katz import frequent_counts, unigrams
 
 CELL = 2000  # larger cells become one cluster without a look inside
@@ -349,11 +349,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
         A bitmap of BLOOM bits, the same at any size, tells most other texts
         apart before the join; whom it lets pass wrongly the join drops.
         """
-        bit = F.pmod(F.col("node").bitwiseXOR(F.col("_h")), F.lit(BLOOM))
-        marks = of.select(bit.alias("b")).groupBy(F.shiftright("b", 15).alias("k")).agg(F.bitmap_construct_agg(F.col("b").bitwiseAND(F.lit(32767))).alias("m")).collect()
-        bloom = np.zeros(BLOOM // 8, np.uint8)
-        for r in marks:  # at most BLOOM / 8 bytes in all
-            bloom[r["k"] * 4096 : (r["k"] + 1) * 4096] = np.frombuffer(r["m"], np.uint8)
+        bloom = bit_set(of, F.col("node").bitwiseXOR(F.col("_h")), BLOOM)
         shared = spark.sparkContext.broadcast(bloom)
 
         def whole(batches):
@@ -362,8 +358,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
                 for i, j in X.chunks(offs):
                     _, g, _, _, _, n, cut, digest = sets_of(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i])
                     digest, h = digest.astype(np.int64), b.column(0).slice(i, j - i).to_numpy()
-                    k = (digest ^ h) % BLOOM
-                    pick = np.flatnonzero((n > 0) & (shared.value[k >> 3] >> (k & 7) & 1 > 0))
+                    pick = np.flatnonzero((n > 0) & in_bit_set(shared.value, digest ^ h))
                     for lo in range(0, len(pick), 500):
                         p = pick[lo : lo + 500]
                         own = [X.pack(g=X.pack_sorted(g[cut[d] : cut[d + 1]])) for d in p]

@@ -2,9 +2,10 @@
 
 Words that look disguised (digits or symbols for letters, letters spaced out,
 letters repeated) become lattices of the letters they may stand for.  Viterbi
-under the words of the labelled texts, and a character language model counted
-over all texts for other words, restores them; plain words stay.  A logistic model over the restored
-words scores the text.  Scoring needs no shuffle.
+under the frequent words of all texts, and a character language model counted
+over all texts for other words, restores them; plain words stay.  A logistic
+model over the restored words, learnt from all labelled texts, scores the
+text.  Scoring needs no shuffle.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql import types as T
 
 from docweave.llm import _learn as L
 from docweave.llm import _text as X
-from docweave.llm._spark import small_batches
+from docweave.llm._spark import bit_set, drop, in_bit_set, saved, small_batches
 
 #: Letters that a disguising character may stand for; fixed values.
 LEET = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c"}
@@ -29,6 +30,8 @@ SUBSTITUTE, DELETE, DROP_LEET, REPEAT = -1.5, -3.0, -9.0, -0.5  # channel log-pr
 UNKNOWN = 0.05  # share of words that the lexicon lacks
 EDGE, SPACED_EDGE = -4.0, -1.0  # log-probabilities of a word edge inside a token, and between spaced letters
 BUCKETS = 1 << 20
+HELD = 500_000  # different words that a task counts at once
+GRAIN = float(1 << 24)
 _SYMBOLS = 28  # a-z, any other letter, word edge
 _LETTER = np.zeros(256, bool)
 _LETTER[0x41:0x5B] = _LETTER[0x61:0x7B] = True
@@ -76,21 +79,42 @@ def char_model(counts: np.ndarray) -> np.ndarray:
 
 
 def word_counts(docs: DataFrame, text: str = "text", most: int = 1 << 17) -> dict[str, int]:
-    """Documents that hold a word, for the ``most`` most frequent words of three documents or more."""
+    """Documents of all texts that hold a word, for the ``most`` most frequent words of three documents or more."""
 
     def run(batches):
+        held: dict[int, list] = {}  # by hash: the word, documents
         for b in batches:
-            n: dict[bytes, int] = {}
-            for t in b.column(0).to_pylist():
-                for w in {w for w in _WORD.findall((t or "").encode().lower()) if len(w) <= 40}:
-                    n[w] = n.get(w, 0) + 1
-            words = [w.decode(errors="replace") for w in n]
-            yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(list(n.values()), pa.int64())], names=["w", "n"])
+            data, offs = X.column_bytes(b.column(0))
+            for i, j in X.chunks(offs):
+                own = X.LOWER[data[offs[i] : offs[j]]]
+                h, starts, ends, first = X.words(own, offs[i : j + 1] - offs[i], _LETTER, lower=False)
+                raw, doc, short = own.tobytes(), X.owner(first), np.flatnonzero(ends - starts <= 40)
+                order = short[np.argsort(h[short], kind="stable")]  # by word and document
+                h, doc = h[order], doc[order]
+                new = np.ones(len(h), bool)
+                new[1:] = h[1:] != h[:-1]
+                once = new.copy()
+                once[1:] |= doc[1:] != doc[:-1]
+                at = np.flatnonzero(new)
+                n = np.add.reduceat(once.astype(np.int64), at) if len(at) else at
+                for k, m, s, e in zip(h[at].tolist(), n.tolist(), starts[order[at]].tolist(), ends[order[at]].tolist(), strict=True):
+                    if k in held:
+                        held[k][1] += m
+                    else:
+                        held[k] = [raw[s:e], m]
+            if len(held) > HELD:
+                yield _counted(held)
+                held = {}
+        yield _counted(held)
 
     n = docs.select(text).mapInArrow(run, "w string, n bigint").groupBy("w").agg(F.sum("n").alias("n")).where("n >= 3")
     return {r["w"]: r["n"] for r in n.orderBy(F.desc("n"), "w").limit(most).collect()}
 
 
+def _counted(held: dict) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([w.decode(errors="replace") for w, _ in held.values()], pa.string()), pa.array([n for _, n in held.values()], pa.int64())], names=["w", "n"])
+
+
 class Lexicon:
     """Log-probabilities of known words; ``begins`` tells whether one starts with the letters."""
 
@@ -238,63 +262,148 @@ def word_features(data: np.ndarray, offs: np.ndarray, lm: np.ndarray, cache: dic
     return u // BUCKETS, u % BUCKETS
 
 
-def train(rows: list[np.ndarray], y: np.ndarray, keep: int = 3000, steps: int = 300) -> dict:
-    """Logistic regression over the words whose presence tells most about the label."""
-    pos, neg = np.zeros(BUCKETS), np.zeros(BUCKETS)
-    for r, t in zip(rows, y, strict=True):
-        (pos if t else neg)[r] += 1
-    np_, nn = max(y.sum(), 1), max(len(y) - y.sum(), 1)
-    p, q, both = (pos + 0.1) / (np_ + 0.2), (neg + 0.1) / (nn + 0.2), (pos + neg + 0.2) / (np_ + nn + 0.4)
-
-    def gain(a, b, n):
-        return n * (a * np.log(a / b) + (1 - a) * np.log((1 - a + 1e-9) / (1 - b + 1e-9)))
-
-    g = gain(p, both, np_) + gain(q, both, nn)
-    g[pos + neg < 3] = 0
-    top = np.argsort(-g, kind="stable")[:keep]
-    top = top[g[top] > 4]
-    at = np.full(BUCKETS, -1)
-    at[top] = np.arange(len(top))
-    cols = [at[r][at[r] >= 0] for r in rows]
-    r = np.repeat(np.arange(len(cols)), [len(c) for c in cols])
-    c = np.concatenate([*cols, np.zeros(0, np.int64)]).astype(np.int64)
-    w, b, m, v = np.zeros(len(top)), float(np.log(np_ / nn)), np.zeros(len(top) + 1), np.zeros(len(top) + 1)
-    for step in range(1, steps + 1):
-        z = b + np.bincount(r, weights=w[c], minlength=len(y))
-        e = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - y
-        grad = np.append(np.bincount(c, weights=e[r], minlength=len(top)) + 0.2 * w, e.sum())
-        m = 0.9 * m + 0.1 * grad
-        v = 0.99 * v + 0.01 * grad**2
-        d = 0.1 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-6)
-        w -= d[:-1]
-        b -= d[-1]
-    return {"at": top[np.argsort(top)].astype(np.int64), "w": w[np.argsort(top)], "b": b}
-
-
-def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample_rows: int = 12000, held: int = 0, mod: int = 5) -> dict:
-    """Character model of all texts, and a lexicon and word weights from at most ``sample_rows`` labelled texts."""
+def telling_words(rows: DataFrame, keep: int) -> tuple[np.ndarray, np.ndarray, int, int]:
+    """The hashed words whose presence tells most about the label, ascending, with the rows that hold each; rows of label 1 and of label 0.
+
+    ``rows`` has (y, b), the hashed words of a text packed.
+    """
+    total = {r["y"]: r["count"] for r in rows.select((F.col("y") != 0).cast("int").alias("y")).groupBy("y").count().collect()}
+    yes, no = total.get(1, 0), total.get(0, 0)
+
+    def count(batches):
+        both = np.zeros((2, BUCKETS), np.int64)
+        for b in batches:
+            for y, blob in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                both[int(y != 0)][X.unpack(blob.as_buffer())["f"]] += 1
+        k = np.flatnonzero(both.any(0))
+        yield pa.RecordBatch.from_arrays([pa.array(k, pa.int64()), pa.array(both[1][k]), pa.array(both[0][k])], names=["k", "pos", "neg"])
+
+    def weigh(batches):
+        for b in batches:
+            k, pos, neg = (x.to_numpy() for x in b.columns)
+            p, q, both = (pos + 0.1) / (max(yes, 1) + 0.2), (neg + 0.1) / (max(no, 1) + 0.2), (pos + neg + 0.2) / (max(yes, 1) + max(no, 1) + 0.4)
+
+            def gain(a, n, both=both):
+                return n * (a * np.log(a / both) + (1 - a) * np.log((1 - a + 1e-9) / (1 - both + 1e-9)))
+
+            g = gain(p, max(yes, 1)) + gain(q, max(no, 1))
+            use = (pos + neg >= 3) & (g > 4)
+            yield pa.RecordBatch.from_arrays([pa.array(k[use]), pa.array((pos + neg)[use]), pa.array(g[use])], names=["k", "n", "g"])
+
+    counts = rows.select("y", "b").mapInArrow(count, "k bigint, pos bigint, neg bigint").groupBy("k").agg(F.sum("pos"), F.sum("neg"))
+    top = sorted((r["k"], r["n"]) for r in counts.mapInArrow(weigh, "k bigint, n bigint, g double").orderBy(F.desc("g"), "k").limit(keep).collect())
+    return np.array([k for k, _ in top], np.int64), np.array([n for _, n in top], np.int64), yes, no
+
+
+def train(rows: DataFrame, keep: int = 3000, steps: int = 50, ridge: float = 0.2) -> dict:
+    """Logistic regression on all ``rows`` (y, b) over the words whose presence tells most about the label.
+
+    The words chosen are stored once; every step of L-BFGS is one pass over
+    them that returns a gradient a task.  Errors are rounded to 2^-24, so sums
+    are exact and do not depend on how rows are dealt.
+    """
+    top, held, yes, no = telling_words(rows, keep)
+    if not yes or not no:
+        return {"prior": float(yes > 0)}
+
+    def choose(batches):
+        for b in batches:
+            got = [X.unpack(x.as_buffer())["f"] for x in b.column(1)]
+            if not got:
+                continue
+            f = np.concatenate(got)
+            k = np.minimum(np.searchsorted(top, f), max(len(top) - 1, 0))
+            use = top[k] == f if len(top) else np.zeros(len(f), bool)
+            n = np.bincount(np.repeat(np.arange(len(got)), [len(x) for x in got])[use], minlength=len(got))
+            y = (b.column(0).to_numpy() != 0).astype(np.uint8)
+            yield pa.RecordBatch.from_arrays([pa.array([X.pack(c=k[use].astype(np.int32), n=n.astype(np.int32), y=y)], pa.binary())], names=["b"])
+
+    chosen = saved(rows.select("y", "b").mapInArrow(choose, "b binary"))
+
+    def value(x: np.ndarray) -> tuple[float, np.ndarray]:
+        def run(batches):
+            total = np.zeros(len(x) + 1)
+            for b in batches:
+                for blob in b.column(0):
+                    d = X.unpack(blob.as_buffer())
+                    r = np.repeat(np.arange(len(d["n"])), d["n"])
+                    z = x[-1] + np.bincount(r, weights=x[d["c"]], minlength=len(d["y"]))
+                    e = np.rint((1 / (1 + np.exp(-np.clip(z, -30, 30))) - d["y"]) * GRAIN) / GRAIN
+                    loss = np.rint((np.logaddexp(0, z) - d["y"] * z) * GRAIN) / GRAIN
+                    total[:-2] += np.bincount(d["c"], weights=e[r], minlength=len(x) - 1)
+                    total[-2:] += e.sum(), loss.sum()
+            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["t"])
+
+        got = sum((np.frombuffer(bytes(r["t"])) for r in chosen.mapInArrow(run, "t binary").collect()), np.zeros(len(x) + 1))
+        got[: len(x) - 1] += ridge * x[:-1]
+        return float(got[-1] + ridge / 2 * (x[:-1] ** 2).sum()), got[:-1]
+
+    prior = yes / (yes + no)
+    # about the curvature at the start, without what words share
+    scale = 1 / (prior * (1 - prior) * np.append(held, yes + no) + np.append(np.full(len(top), ridge), 0))
+    x = minimise(value, np.append(np.zeros(len(top)), np.log(yes / no)), scale, steps)
+    drop(chosen)
+    return {"at": top, "w": x[:-1], "b": x[-1]}
+
+
+def minimise(value, x: np.ndarray, scale: np.ndarray, steps: int, memory: int = 10, least: float = 1e-6) -> np.ndarray:
+    """L-BFGS from x with a first inverse curvature ``scale``, until a step gains less than the share ``least`` of the value."""
+    f, g = value(x)
+    pairs: list[tuple] = []
+    for _ in range(steps):
+        d, back = g.copy(), []
+        for s, y in reversed(pairs):
+            back.append(s @ d / (s @ y))
+            d -= back[-1] * y
+        d *= scale * (pairs[-1][0] @ pairs[-1][1] / (pairs[-1][1] @ (scale * pairs[-1][1])) if pairs else 1.0)
+        for (s, y), a in zip(pairs, reversed(back), strict=True):
+            d += (a - y @ d / (s @ y)) * s
+        slope, t = g @ d, 1.0
+        while True:
+            new, after = value(x - t * d)
+            if new <= f - 1e-4 * t * slope or t < 1e-3:
+                break
+            t /= 2
+        if new >= f:
+            break
+        if (y := after - g) @ d < 0:
+            pairs = [*pairs[1 - memory :], (-t * d, y)]
+        gained, x, f, g = f - new, x - t * d, new, after
+        if gained < least * max(f, 1.0):
+            break
+    return x
+
+
+def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", held: int = 0, mod: int = 5) -> dict:
+    """Character model and lexicon of all texts, and word weights from all labelled texts outside the held-out remainder.
+
+    Labels travel as a bitmap that tells most other texts apart; whom it lets
+    pass wrongly the join of hashed words and labels drops.
+    """
     small_batches(docs.sparkSession)
-    lm = char_model(char_counts(docs))
-    sample = L.labelled(docs, labels, label, sample_rows, mod, held).select("_key", "y", "text")
-    counts = word_counts(sample)
-    shared = docs.sparkSession.sparkContext.broadcast((lm, counts))
+    lm, counts = char_model(char_counts(docs)), word_counts(docs)
+    known = saved(L.training(labels, label, mod, held))
+    bits = bit_set(known, F.xxhash64("_key"))
+    shared = docs.sparkSession.sparkContext.broadcast((lm, counts, bits))
 
     def run(batches):
         cache: dict = {}
-        lm, lexicon = shared.value[0], Lexicon(shared.value[1])
+        lm, lexicon, bits = shared.value[0], Lexicon(shared.value[1]), shared.value[2]
         for b in batches:
+            b = b.take(pa.array(np.flatnonzero(in_bit_set(bits, b.column(1).to_numpy()))))
             data, offs = X.column_bytes(b.column(2))
-            keys, y = b.column(0).to_pylist(), b.column(1).to_pylist()
             for i, j in X.chunks(offs):
                 d, f = word_features(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i], lm, cache, lexicon)
                 cut = np.searchsorted(d, np.arange(j - i + 1))
                 blobs = [X.pack(f=f[cut[k] : cut[k + 1]].astype(np.int32)) for k in range(j - i)]
-                yield pa.RecordBatch.from_arrays([pa.array([str(k) for k in keys[i:j]]), pa.array(y[i:j], pa.int32()), pa.array(blobs, pa.binary())], names=["k", "y", "b"])
-
-    got = sorted((r["k"], r["y"], bytes(r["b"])) for r in sample.mapInArrow(run, "k string, y int, b binary").collect())
-    if len({y for _, y, _ in got}) < 2:
-        return {"lm": lm, "words": counts, "prior": float(got[0][1]) if got else 0.0}
-    return {"lm": lm, "words": counts} | train([X.unpack(b)["f"] for *_, b in got], np.array([y for _, y, _ in got], float))
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.array(blobs, pa.binary())], names=["_key", "b"])
+
+    texts = docs.select(F.col("doc_id").alias("_key"), F.xxhash64(F.col("doc_id").cast(known.schema["_key"].dataType)).alias("_h"), F.col("text"))
+    hashed = texts.where("_key is not null").mapInArrow(run, T.StructType([texts.schema["_key"], T.StructField("b", T.BinaryType())]))
+    rows = saved(hashed.join(known, "_key").select("y", "b"))
+    model = {"lm": lm, "words": counts} | train(rows)
+    drop(known, rows)
+    return model
 
 
 def score_toxicity(docs: DataFrame, model: dict, text: str = "text", out: str = "score") -> DataFrame:

@@ -457,3 +457,22 @@ def test_near_vectors_of_several_lengths(spark):
     for d in (16, 24):
         assert all(got[1000 * d + i]["n_links"] == (1 if i < 20 or i >= 40 else 0) for i in range(60))
         assert all(got[1000 * d + 40 + i]["component_id"] == 1000 * d + i for i in range(20))
+
+
+def test_toxicity_learns_from_every_label_and_counts_words_of_every_text(spark):
+    # five of twenty thousand texts hold label 1
+    texts = [(i, f"plain bread river {'vile' if i in (1, 2, 3, 4, 6) else 'stone'}") for i in range(20_000)]
+    df = spark.createDataFrame([*texts, (30_000, "qwertz"), (30_001, "QWERTZ qwertz"), (30_002, "qwertz!")], "doc_id long, text string").repartition(3)
+    lab = spark.createDataFrame([(i, int("vile" in t)) for i, t in texts], "doc_id long, toxic int")
+    model = toxicity.fit(df, lab)
+    used = [i for i, _ in texts if zlib.crc32(str(i).encode()) % 5]
+    assert model["words"] == {"plain": 20_000, "bread": 20_000, "river": 20_000, "stone": 19_995, "vile": 5, "qwertz": 3}
+    x = np.array([["vile" in texts[i][1], "vile" not in texts[i][1]] for i in used], float)
+    hashed = lambda w: int(toxicity.X.words(*toxicity.X.column_bytes(toxicity.pa.array([w])), toxicity._LETTER)[0][0] % np.uint64(toxicity.BUCKETS))
+    assert set(model["at"].tolist()) == {hashed("vile"), hashed("stone")}
+    w = np.array([model["w"][model["at"].tolist().index(hashed(k))] for k in ("vile", "stone")])
+    # the gradient over all labelled texts, not over a part of them, is zero
+    e = 1 / (1 + np.exp(-(x @ w + model["b"]))) - x[:, 0]
+    assert abs(e.sum()) < 0.05 and np.abs(x.T @ e + 0.2 * w).max() < 0.05
+    again = toxicity.fit(df.repartition(7), lab)
+    assert (again["w"] == model["w"]).all() and again["b"] == model["b"]
