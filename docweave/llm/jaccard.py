@@ -4,6 +4,7 @@
    in one global order) goes to the part of each n-gram; nodes that share one
    form a cell.  Linked nodes always meet in some cell.  N-grams whose words
    are all frequent come last in the order, so common passages make no cells.
+   Large cells are cut into overlapping ranges of sizes that hold every link.
 2. In a cell the nodes' bitmaps stand in a signature tree: inner nodes hold
    OR-combined bitmaps and size ranges, and a dual traversal drops node pairs
    whose largest possible overlap is too small.  What is left joins nodes into
@@ -26,7 +27,8 @@ from docweave.llm import _text as X
 from docweave.llm._spark import bit_set, components, drop, hub_join, in_bit_set, join_roots, parts_of, saved, small_batches
 from docweave.llm.katz import frequent_counts, unigrams
 
-CELL = 2000  # larger cells become one cluster without a look inside
+WIDE = 2000  # larger cells are cut by the sizes of their sets
+CELL = 20_000  # what is larger even then becomes one cluster without a look inside
 CHUNK = 1500  # nodes of a cluster that meet in one task
 MEMBERS = 2_000_000  # about the members of their sets, unless one set has more
 FAN = 16
@@ -200,6 +202,23 @@ def small_cells(cell: np.ndarray, n: np.ndarray, bits: np.ndarray, at: np.ndarra
                 yield x[hit], y[hit]
 
 
+def size_ranges(n: np.ndarray, num: int, den: int) -> list[tuple[int, int]]:
+    """Ranges of ascending sizes, two neighbouring steps each, so that any two sizes that can link share one.
+
+    Sizes of one step, and those of linked sets, differ at most by the factor
+    den / num; a little more keeps rounding from parting two that can link.
+    """
+    step = np.floor(np.log(n) / max(np.log(den / num) * (1 + 1e-6), 1e-9)).astype(np.int64)
+    cut = np.append(np.flatnonzero(np.diff(step, prepend=-1)), len(n)).tolist()
+    out, upto = [], 0
+    for lo, mid, hi in zip(cut, cut[1:], [*cut[2:], len(n)], strict=False):
+        end = hi if mid < len(n) and step[mid] == step[lo] + 1 else mid
+        if end > upto:  # else the range before holds it
+            out.append((lo, end))
+            upto = end
+    return out
+
+
 def _cells(batches, key: str, rows: int = 1):
     """Tables of whole cells (rows with an equal key) of about ``rows`` rows or more; input comes sorted by the key."""
     held: list = []
@@ -245,7 +264,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
     counts = saved(unigrams(src.withColumn("_train", F.lit(True)), max(2, parts // 2)))
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
     often, seen = frequent_counts(counts, max(100, total // 65536))  # at most 65536 words, or a hundredth of a small corpus
-    rank = np.log2(np.maximum(seen, 1)).astype(np.int64) + 1
+    rank, fine = np.log2(np.maximum(seen, 1)).astype(np.int64) + 1, np.rint(8 * np.log2(np.maximum(seen, 1))).astype(np.int64)
 
     def sets_of(data, offs):
         doc, g, at, h, first = gram_sets(data, offs, k)
@@ -259,16 +278,19 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
             data, offs = X.column_bytes(b.column(1))
             for i, j in X.chunks(offs):
                 doc, g, at, h, first, n, cut, digest = sets_of(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i])
-                r = np.zeros(len(h), np.int64)
+                r = f = np.zeros(len(h), np.int64)
                 if len(often):
                     p = np.minimum(np.searchsorted(often, h), len(often) - 1)
-                    r = np.where(often[p] == h, rank[p], 0)
-                weight = r[at]
+                    known = often[p] == h
+                    r, f = np.where(known, rank[p], 0), np.where(known, fine[p], 0)
+                # the count of the rarest word bounds that of an n-gram; below it, words that are all rare rarely meet by chance
+                weight, chance = r[at], f[at]
                 size = np.diff(first)[doc]
                 for s in range(1, k):
                     use = s < size
                     weight[use] = np.minimum(weight[use], r[at[use] + s])
-                order = np.lexsort((g, weight, doc))
+                    chance[use] += f[at[use] + s]
+                order = np.lexsort((g, chance, weight, doc))
                 inside = np.arange(len(g)) - np.repeat(cut[:-1], n)
                 prefix = inside < (n - need(n, num, den) + 1)[doc]
                 sig, pre = [], []
@@ -296,7 +318,13 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
         new[1:] = (g[1:] != g[:-1]) | (n[:-1].astype(np.int64) * den < n[1:].astype(np.int64) * num)
         at = np.flatnonzero(new)
         size = np.diff(at, append=len(g))
-        who = np.add.reduceat(X.mix(d.astype(np.uint64)), at) if len(at) else at.astype(np.uint64)
+        large = np.flatnonzero(size > WIDE)
+        if len(large):
+            few = np.flatnonzero(size <= WIDE)
+            cut = [(a + lo, hi - lo) for a, m in zip(at[large].tolist(), size[large].tolist(), strict=True) for lo, hi in size_ranges(n[a : a + m], num, den)]
+            at, size = (np.append(x[few], np.array([c[i] for c in cut], np.int64)) for i, x in enumerate((at, size)))
+        who = np.concatenate([np.zeros(1, np.uint64), np.cumsum(X.mix(d.astype(np.uint64)))])
+        who = who[at + size] - who[at]
         keep = size > 1
         _, one = np.unique(who[keep], return_index=True)
         pick = np.flatnonzero(keep)[one]

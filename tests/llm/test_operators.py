@@ -476,3 +476,29 @@ def test_toxicity_learns_from_every_label_and_counts_words_of_every_text(spark):
     assert abs(e.sum()) < 0.05 and np.abs(x.T @ e + 0.2 * w).max() < 0.05
     again = toxicity.fit(df.repartition(7), lab)
     assert (again["w"] == model["w"]).all() and again["b"] == model["b"]
+
+
+def test_large_cells_are_cut_by_sizes_without_losing_a_link():
+    n = np.sort(np.random.default_rng(3).integers(1, 3000, 2000))
+    for num, den in ((90, 100), (80, 100), (1, 1)):
+        got = np.zeros((len(n), len(n)), bool)
+        for lo, hi in jaccard.size_ranges(n, num, den):
+            got[lo:hi, lo:hi] = True
+        can = (n[:, None] * den >= n[None] * num) & (n[None] * den >= n[:, None] * num)
+        assert got[can].all() and got.mean() < 0.3
+    n = np.array([81, 90, 100, 1000])  # exactly at the threshold
+    assert jaccard.size_ranges(n, 90, 100)[-1] == (3, 4) and any(lo <= 1 and hi == 3 for lo, hi in jaccard.size_ranges(n, 90, 100))
+
+
+def test_nodes_that_share_one_rare_passage_form_no_cluster(spark, monkeypatch):
+    # one shingle in every text, sizes far apart: such a cell was taken as one cluster whose sets all met
+    r, seen = random.Random(8), []
+    rows = [(i, "common words stand first " + " ".join(f"x{i}y{j}" for j in range(10 + 13 * i))) for i in range(60)]
+    rows += [(100, rows[40][1] + " more")]
+    monkeypatch.setattr(jaccard, "WIDE", 20)
+    real = jaccard.components
+    monkeypatch.setattr(jaccard, "components", lambda links, *a: seen.append(links.where("a <> b").count()) or real(links, *a))
+    r.shuffle(rows)
+    got = {x["doc_id"]: x["component_id"] for x in jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), 3, 90, 100).collect()}
+    assert got == {i: 40 if i == 100 else i for i, _ in rows}
+    assert seen[0] <= 10
