@@ -30,6 +30,9 @@ from docweave.llm.katz import part_of
 
 SLICE = 1_000_000  # symbols that suffix structures are built over at once
 GROUP = 250_000  # suffixes of one subtree
+CHUNK = 130_000  # bytes that are scanned at once, so that their hashes stay in the cache
+PENDING = 1_000_000  # anchors of a bucket before equal ones are merged
+JUMPS = 24  # steps to a smaller document before tables of ranges are made
 LAST = np.iinfo(np.int64).max  # stands for a null key: larger than all others
 
 
@@ -56,17 +59,18 @@ def anchors(sym: np.ndarray, first: np.ndarray, size: int, q: int):
         step = min(span, width - span)
         key = np.minimum(key[: len(key) - step], key[step:])
         span += step
-    at = (key & low).astype(np.int64)
-    text = X.owner(first)[: n - size + 1]
-    ok = np.arange(n - size + 1) + size <= first[1:][text]
-    at = at[: n - size + 1]
-    new = np.ones(len(at), bool)
-    new[1:] = (at[1:] != at[:-1]) | (text[1:] != text[:-1]) | (ok[1:] != ok[:-1])
+    new = np.ones(n - size + 1, bool)
+    np.not_equal(key[1:], key[:-1], out=new[1:])
+    # texts begin with a run, and so do the windows that reach out of them
+    edge = np.concatenate([first, first - size + 1])
+    new[edge[(edge >= 0) & (edge < len(new))]] = True
     s = np.flatnonzero(new)
-    m = np.diff(s, append=len(at))
-    use = ok[s]
-    s, m = s[use], m[use]
-    return text[s], s, m, at[s], g[at[s]]
+    m = np.diff(s, append=len(new))
+    text = np.searchsorted(first, s, "right") - 1
+    use = s + size <= first[text + 1]
+    s, m, text = s[use], m[use], text[use]
+    at = (key[s] & low).astype(np.int64)
+    return text, s, m, at, g[at]
 
 
 def run_hash(sym: np.ndarray, s: np.ndarray, e: np.ndarray, anchor: np.ndarray, place: np.ndarray) -> np.ndarray:
@@ -126,6 +130,58 @@ class Suffixes:
         return n
 
 
+class AnchoredSuffixes:
+    """The same for bytes, of windows only, by their anchor, by how far they start before it, and only then by their symbols.
+
+    Equal windows have equal anchors at equal places, so suffixes of another
+    anchor or place never share a window.  Those that start at their anchor
+    are sorted as they are; one that starts a byte earlier is ordered by that
+    byte, then by the order of the suffix behind it.  The runs come ordered by
+    anchor.
+    """
+
+    def __init__(self, sym: np.ndarray, at: np.ndarray, m: np.ndarray, anchor: np.ndarray, place: np.ndarray, size: int):
+        span = m + size - 1
+        self.x, first = X.eights(sym), np.cumsum(m) - m
+        self.starts = np.repeat(at - first, m) + np.arange(m.sum())
+        self.ends = np.repeat(at + span, span)
+        p, right, low = at + place, span - place, place - m + 1
+        kind = np.cumsum(np.diff(anchor, prepend=anchor[:1]) != 0).astype(np.uint64) << np.uint64(40)
+        words = [right]
+        for k in reversed(range(0, int(right.max()), 8)):
+            left = np.clip(right - k, 0, 8)
+            words.append((self.x[np.where(left > 0, p + k, 0)] & X._LOW_BYTES[left]).byteswap())
+        now = np.lexsort((*words, kind))
+        found = []
+        for j in range(int(place.max()) + 1):
+            found.append((first + place - j)[now][low[now] <= j])
+            now = now[place[now] > j]
+            key = kind[now] | sym[p[now] - j - 1].astype(np.uint64) << np.uint64(32) | np.arange(len(now), dtype=np.uint64)
+            key.sort()
+            now = now[(key & np.uint64(0xFFFFFFFF)).astype(np.int64)]
+        self.sorted = np.concatenate(found)
+
+    def order(self, own: np.ndarray) -> np.ndarray:
+        if len(own) == len(self.sorted):
+            return self.sorted
+        rank = np.empty(len(self.sorted), np.int64)
+        rank[self.sorted] = np.arange(len(self.sorted))
+        return own[np.argsort(rank[own])]
+
+    def common(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        n, most = np.zeros(len(a), np.int64), np.minimum(self.ends[a] - a, self.ends[b] - b)
+        live, k = np.arange(len(a)), 0
+        while len(live):
+            d = self.x[a[live] + k] ^ self.x[b[live] + k]
+            k += 8
+            off = d != 0
+            n[live[off]] = k - 8 + (np.bitwise_count((d & (~d + np.uint64(1))) - np.uint64(1))[off] >> 3)
+            live = live[~off]
+            n[live] = k
+            live = live[most[live] > k]
+        return np.minimum(n, most)
+
+
 class Least:
     """Smallest value of any range, from tables of ranges of 1, 2, 4, ... values."""
 
@@ -225,16 +281,37 @@ def solve_by_trees(suffixes: Suffixes, doc: np.ndarray, size: int) -> tuple[np.n
     return before, again
 
 
+def smaller_before(common: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Common prefix lengths with the nearest suffix before that a smaller document has, 0 without one.
+
+    A suffix looks at its neighbour; while that is no smaller, it goes on from
+    where the neighbour looks, as nothing between is smaller.  The few that
+    JUMPS do not settle are found in tables of ranges.
+    """
+    n = len(doc)
+    to = np.arange(-1, n - 1)
+    low = np.concatenate([np.zeros(1, np.int64), common])
+    live = np.flatnonzero(doc[1:] <= doc[:-1]) + 1
+    for _ in range(JUMPS):
+        if not len(live):
+            return low
+        by = to[live]
+        to[live], low[live] = to[by], np.minimum(low[live], low[by])
+        # a common prefix of 0 stays 0
+        live = live[low[live] > 0]
+        live = live[doc[to[live]] >= doc[live]]
+    if len(live):
+        docs, prefix = Least(doc), Least(common)
+        prev = docs.before(doc)[live]
+        low[live] = 0
+        live, prev = live[prev >= 0], prev[prev >= 0]
+        low[live] = prefix.of(prev, live)
+    return low
+
+
 def previous_factors(common: np.ndarray, doc: np.ndarray) -> np.ndarray:
     """Lengths of the longest previous factors of suffixes in order: common prefixes with the previous and next smaller document."""
-    docs, prefix = Least(doc), Least(common)
-    prev, nxt, at = docs.before(doc), docs.after(doc), np.arange(len(doc))
-    out = np.zeros(len(doc), np.int64)
-    use = np.flatnonzero(prev >= 0)
-    out[use] = prefix.of(prev[use], at[use])
-    use = np.flatnonzero(nxt < len(doc))
-    out[use] = np.maximum(out[use], prefix.of(at[use], nxt[use]))
-    return out
+    return np.maximum(smaller_before(common, doc), smaller_before(common[::-1], doc[::-1])[::-1])
 
 
 def solve_by_lpf(suffixes: Suffixes, doc: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -242,13 +319,28 @@ def solve_by_lpf(suffixes: Suffixes, doc: np.ndarray, size: int) -> tuple[np.nda
     starts = suffixes.starts
     order = suffixes.order(np.arange(len(starts)))
     length = np.zeros(len(starts), np.int64)
-    if len(order) > 1:
-        length[order] = previous_factors(suffixes.common(starts[order[:-1]], starts[order[1:]]), doc[order])
+    common = suffixes.common(starts[order[:-1]], starts[order[1:]])
+    # a suffix that shares no window with a neighbour shares none at all
+    deep = np.zeros(len(order) + 1, bool)
+    deep[1:-1] = common >= size
+    use = np.flatnonzero(deep[1:] | deep[:-1])
+    if len(use):
+        length[order[use]] = previous_factors(common[use[1:] - 1], doc[order[use]])
     return length >= size, suffixes.ends[starts] - starts >= size
 
 
 def _equal_runs(sym: np.ndarray, at: np.ndarray, length: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
     """Raise unless the runs a and b, whose hashes are equal, agree symbol by symbol."""
+    if sym.dtype == np.uint8 and len(a):  # eight symbols at a time
+        n, x, y, word = length[a], at[a], at[b], X.eights(sym)
+        equal = (n == length[b]).all()
+        for k in range(0, int(n.max()), 8):
+            use = n > k
+            n, x, y = n[use], x[use], y[use]
+            equal = equal and not ((word[x + k] ^ word[y + k]) & X._LOW_BYTES[np.minimum(n - k, 8)]).any()
+        if not equal:
+            raise ValueError("two different runs share a hash")
+        return
     for i in range(0, len(a), 20_000):
         x, y = a[i : i + 20_000], b[i : i + 20_000]
         n = length[x]
@@ -272,7 +364,7 @@ def mark_repeats(docs: DataFrame, by_words: bool, size: int, q: int, solve: Call
         """Runs of some rows, chunk by chunk."""
         data, offs = X.column_bytes(batch_text)
         keys = batch_key.cast(pa.int64()).fill_null(LAST).to_numpy()
-        for i, j in X.chunks(offs, 1_000_000):
+        for i, j in X.chunks(offs, CHUNK if not by_words else 1_000_000):
             d, o = data[offs[i] : offs[j]], offs[i : j + 1] - offs[i]
             sym, first, s, e = symbols(d, o, by_words)
             yield keys[i:j], d, o, sym, first, s, e, anchors(sym, first, size, q)
@@ -284,7 +376,10 @@ def mark_repeats(docs: DataFrame, by_words: bool, size: int, q: int, solve: Call
             for k in np.unique(bk).tolist():
                 pick = pa.array(np.flatnonzero(bk == k))
                 for keys, _, _, _, _, _, _, (t, _, _, _, a) in scan(b.column(0).take(pick), b.column(1).take(pick)):
-                    held.setdefault(k, []).append(_owners(a, keys[t], np.zeros(len(a), bool)))
+                    own = held.setdefault(k, [])
+                    own.append((a, keys[t], np.zeros(len(a), bool)))
+                    if sum(len(x[0]) for x in own[1:]) > PENDING:
+                        own[:] = [_owners(*(np.concatenate([x[i] for x in own]) for i in range(3)))]
             X.release()
         for k, got in held.items():
             a, w, many = _owners(*(np.concatenate([x[i] for x in got]) for i in range(3)))
@@ -311,7 +406,7 @@ def mark_repeats(docs: DataFrame, by_words: bool, size: int, q: int, solve: Call
             a, _, many = _owners(*(np.concatenate([x[i] for x in got]) for i in (1, 2, 3)))
             a = a[many]
             for k, own, _, _ in got:
-                own = own[np.isin(own, a, assume_unique=True)]
+                own = own[_member(a, own)]
                 if len(own):
                     yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([X.pack(a=X.pack_sorted(own))], pa.binary())], names=["bk", "blob"])
 
@@ -323,19 +418,19 @@ def mark_repeats(docs: DataFrame, by_words: bool, size: int, q: int, solve: Call
             return pa.table({"part": pa.array([], pa.int32()), "bk": pa.array([], pa.int32()), "blob": pa.array([], pa.binary())})
         known = np.sort(np.concatenate([X.unpack_sorted(X.unpack(x.as_buffer())["a"]) for x in told.column("blob")]))
         out: list[list] = [[], [], []]
-        texts = []
+        texts, base = [], 0
         for keys, _, _, sym, _, _, _, (t, s, m, p, a) in scan(rows.column("_key"), rows.column("_text")):
             use = _member(known, a)
             t, s, m, p, a = t[use], s[use], m[use], p[use], a[use]
             e = s + m + size - 1
-            texts.append((run_hash(sym, s, e, a, p), a, keys[t], s, e, m, p - s, sym, np.full(len(s), len(texts))))
-        h, a, kk, s, e, m, place, which = (np.concatenate([x[i] for x in texts]) for i in (0, 1, 2, 3, 4, 5, 6, 8))
+            texts.append((run_hash(sym, s, e, a, p), a, keys[t], s + base, e + base, m, p - s, sym))
+            base += len(sym)
+        h, a, kk, s, e, m, place, sym = (np.concatenate([x[i] for x in texts]) for i in range(8))
         order = np.lexsort((kk, h))
         new = np.ones(len(h), bool)
         new[1:] = h[order][1:] != h[order][:-1]
-        for w, x in enumerate(texts):  # neighbours of one chunk; others are compared where they meet
-            same = np.flatnonzero(~new & (which[order] == w) & (np.roll(which[order], 1) == w))
-            _equal_runs(x[7], s, e - s, order[same], order[same - 1])
+        same = np.flatnonzero(~new)
+        _equal_runs(sym, s, e - s, order[same], order[same - 1])
         pick = order[new]
         p = part_of(X.mix(a[pick]), parts)
         pick = pick[np.argsort(p, kind="stable")]
@@ -345,8 +440,7 @@ def mark_repeats(docs: DataFrame, by_words: bool, size: int, q: int, solve: Call
             if not len(own):
                 continue
             own = own[np.argsort(a[own], kind="stable")]
-            runs = [texts[which[x]][7][s[x] : e[x]] for x in own.tolist()]
-            body = np.concatenate(runs)
+            body = np.concatenate([sym[i:j] for i, j in zip(s[own].tolist(), e[own].tolist(), strict=True)])
             words = {"sym": body}
             if by_words:
                 u, at = np.unique(body, return_inverse=True)
@@ -354,7 +448,7 @@ def mark_repeats(docs: DataFrame, by_words: bool, size: int, q: int, solve: Call
             out[0].append(i)
             out[1].append(rows.column("bk")[0].as_py())
             out[2].append(X.pack(h=h[own], a=X.pack_sorted(a[own]), k=kk[own], m=m[own].astype(np.uint8), o=place[own].astype(np.uint8), **words))
-        del texts
+        del texts, sym
         X.release()
         return pa.table({"part": pa.array(out[0], pa.int32()), "bk": pa.array(out[1], pa.int32()), "blob": pa.array(out[2], pa.binary())})
 
@@ -370,7 +464,7 @@ def mark_repeats(docs: DataFrame, by_words: bool, size: int, q: int, solve: Call
             h = np.concatenate([x["h"] for x in got])
             a = np.concatenate([X.unpack_sorted(x["a"]) for x in got])
             k = np.concatenate([x["k"] for x in got])
-            m = np.concatenate([x["m"] for x in got]).astype(np.int64)
+            m, o = (np.concatenate([x[c] for x in got]).astype(np.int64) for c in "mo")
             body = [X.unpack_sorted(x["u"])[x["at"]] if by_words else x["sym"] for x in got]
             sym = np.concatenate(body)
             length = m + size - 1
@@ -392,7 +486,7 @@ def mark_repeats(docs: DataFrame, by_words: bool, size: int, q: int, solve: Call
                 hi = int(edge[max(np.searchsorted(edge, most, "right") - 1, 0)])
                 hi = hi if hi > lo else int(edge[np.searchsorted(edge, lo, "right")])
                 own = kinds[lo:hi]
-                before[own], again[own] = _masks(sym, at[one[own]], m[one[own]], least[own], size, solve)
+                before[own], again[own] = _masks(sym, at[one[own]], m[one[own]], a[one[own]], o[one[own]], least[own], size, solve)
                 lo = hi
             mask = np.where(k == least[kind], before[kind], again[kind] | before[kind])
             later = again[kind]
@@ -400,7 +494,7 @@ def mark_repeats(docs: DataFrame, by_words: bool, size: int, q: int, solve: Call
                 own = np.flatnonzero(bk == i)
                 own = own[np.argsort(h[own])]
                 yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([X.pack(h=X.pack_sorted(h[own]), k=k[own], x=mask[own], y=later[own])], pa.binary())], names=["bk", "blob"])
-            del got, body, sym, h, a, k, m, kind, uh, mask, later, before, again
+            del got, body, sym, h, a, k, m, o, kind, uh, mask, later, before, again
             X.release()
 
     decided = sent.mapInArrow(decide, "bk int, blob binary").repartitionById(buckets, F.col("bk"))
@@ -420,10 +514,14 @@ def mark_repeats(docs: DataFrame, by_words: bool, size: int, q: int, solve: Call
                 i = np.minimum(np.searchsorted(h, r), len(h) - 1)
                 known = h[i] == r
                 bits = np.where(known, np.where(least[i] < keys[t], mask[i] | later[i], mask[i]), np.uint64(0))
-                n = np.repeat(np.arange(len(s)), m)
-                off = np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m)
-                win = (s[n] + off)[(bits[n] >> off.astype(np.uint64)) & np.uint64(1) > 0]
-                removed = X.covered(win, win + size, len(sym))
+                use = np.flatnonzero(bits)
+                run, off = np.nonzero(np.unpackbits(bits[use].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little"))
+                removed[s[use[run]] + off] = True
+                reach = 1
+                while reach < size:  # every window's symbols
+                    step = min(reach, size - reach)
+                    removed[step:] |= removed[:-step].copy()
+                    reach += step
             n = len(keys)
             out.append(finish(rows.column("_key").slice(at, n), data, offs, first, starts, ends, removed))
             at += n
@@ -432,26 +530,30 @@ def mark_repeats(docs: DataFrame, by_words: bool, size: int, q: int, solve: Call
     return dealt.groupBy("bk").cogroup(decided.groupBy("bk")).applyInArrow(close, schema)
 
 
-def _masks(sym: np.ndarray, at: np.ndarray, m: np.ndarray, least: np.ndarray, size: int, solve: Callable) -> tuple[np.ndarray, np.ndarray]:
+def _masks(sym: np.ndarray, at: np.ndarray, m: np.ndarray, anchor: np.ndarray, place: np.ndarray, least: np.ndarray, size: int, solve: Callable) -> tuple[np.ndarray, np.ndarray]:
     """Bits of the windows of some runs that a smaller document among them holds, and that a later copy of the run repeats."""
     span = m + size - 1
     s0, w0 = np.cumsum(span) - span, np.cumsum(m) - m
     own = sym[np.repeat(at - s0, span) + np.arange(span.sum())]
     off = np.arange(m.sum()) - np.repeat(w0, m)
-    got = solve(Suffixes(own, np.repeat(s0 + span, span), np.repeat(s0, m) + off), np.repeat(least, m), size)
+    if sym.dtype == np.uint8:
+        suffixes = AnchoredSuffixes(own, s0, m, anchor, place, size)
+    else:
+        suffixes = Suffixes(own, np.repeat(s0 + span, span), np.repeat(s0, m) + off)
+    got = solve(suffixes, np.repeat(least, m), size)
     bit = np.uint64(1) << off.astype(np.uint64)
     return tuple(np.bitwise_or.reduceat(np.where(hit, bit, np.uint64(0)), w0) for hit in got)
 
 
 def _owners(a: np.ndarray, w: np.ndarray, many: np.ndarray):
     """Distinct anchors with one document that has each, and whether different ones do."""
-    order = np.lexsort((w, a))
+    order = np.argsort(a)
     a, w, many = a[order], w[order], many[order]
     at = np.flatnonzero(np.concatenate([[True], a[1:] != a[:-1]])) if len(a) else np.zeros(0, np.int64)
     if not len(at):
         return a, w, many
-    end = np.append(at[1:], len(a)) - 1
-    return a[at], w[at], np.logical_or.reduceat(many, at) | (w[at] != w[end])
+    least = np.minimum.reduceat(w, at)
+    return a[at], least, np.logical_or.reduceat(many, at) | (np.maximum.reduceat(w, at) != least)
 
 
 def _member(known: np.ndarray, a: np.ndarray) -> np.ndarray:
@@ -495,9 +597,11 @@ def drop_repeated_bytes(docs: DataFrame, size: int = 50, text: str = "text", key
         edge[1:] &= ~removed[:-1]
         full = np.diff(offs) > 0
         edge[offs[:-1][full]] = removed[offs[:-1][full]]
-        kept = [data[offs[d] : offs[d + 1]][~removed[offs[d] : offs[d + 1]]].tobytes() for d in range(len(offs) - 1)]
-        count = lambda x: pa.array(X.sums(x.astype(np.int64), offs), pa.int64())
-        return pa.table({key: keys.cast(pa.int64()), "n_bytes": pa.array(np.diff(offs), pa.int64()), "n_removed": count(removed), "n_spans": count(edge), "kept": pa.array(kept, pa.binary())})
+        count = lambda x: np.diff(np.searchsorted(np.flatnonzero(x), offs))
+        lost = count(removed)
+        ends = np.cumsum(np.diff(offs) - lost, dtype=np.int64)
+        kept = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(lost), [None, pa.py_buffer(np.concatenate([[0], ends])), pa.py_buffer(data[~removed])]).cast(pa.binary())
+        return pa.table({key: keys.cast(pa.int64()), "n_bytes": pa.array(np.diff(offs), pa.int64()), "n_removed": pa.array(lost, pa.int64()), "n_spans": pa.array(count(edge), pa.int64()), "kept": kept})
 
     return mark_repeats(docs, False, size, min(16, size), solve_by_lpf, finish, f"{key} bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary", text, key)
 

@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -412,6 +413,80 @@ def test_suffix_structures(monkeypatch, by_bytes):
     assert repeats.solve_by_lpf(s, doc, size)[0].tolist() == held
 
 
+def anchored(rng, size, texts):
+    """Different runs of some texts, ordered by anchor, as _masks takes them: symbols, first symbols, windows, anchors, places and documents."""
+    sym = np.concatenate(texts)
+    first = np.concatenate([[0], np.cumsum([len(x) for x in texts])])
+    t, s, m, p, a = repeats.anchors(sym, first, size, min(size, 16))
+    seen = {}
+    for i in np.argsort(a, kind="stable").tolist():
+        seen.setdefault((int(a[i]), sym[s[i] : s[i] + m[i] + size - 1].tobytes()), i)
+    own = np.array(list(seen.values()))
+    span = m[own] + size - 1
+    body = np.concatenate([sym[s[i] : s[i] + m[i] + size - 1] for i in own.tolist()])
+    return body, np.cumsum(span) - span, m[own], a[own], (p - s)[own], rng.integers(0, 9, len(own))
+
+
+@pytest.mark.parametrize("jumps", [0, 1, 24])
+def test_anchored_suffixes(monkeypatch, jumps):
+    monkeypatch.setattr(repeats, "JUMPS", jumps)
+    rng, size = np.random.default_rng(1), 50
+    texts = [rng.integers(0, 3, n).astype(np.uint8) for n in (300, 20, 0, 50, 400)]
+    texts += [np.concatenate([texts[0][k : 250 - k], rng.integers(0, 3, 30).astype(np.uint8)]) for k in range(0, 60, 5)] + [np.zeros(150, np.uint8), np.zeros(90, np.uint8), texts[4]]
+    sym, at, m, anchor, place, doc = anchored(rng, size, texts)
+    span = m + size - 1
+    ends, kind, start = np.repeat(at + span, span), np.repeat(anchor, m), np.concatenate([np.arange(x, x + n) for x, n in zip(at, m, strict=True)])
+    ahead = np.repeat(at + place, m) - start
+    doc = np.repeat(doc, m)
+    s = repeats.AnchoredSuffixes(sym, at, m, anchor, place, size)
+    assert s.starts.tolist() == start.tolist() and s.ends.tolist() == ends.tolist()
+    order = s.order(np.arange(len(start)))
+    text = [sym[i : ends[i]].tobytes() for i in start]
+    assert [text[i] for i in order] == [text[i] for i in sorted(range(len(start)), key=lambda i: (ahead[i], kind[i], text[i]))]
+    assert s.order(np.arange(0, len(start), 3)).tolist() == [i for i in order.tolist() if i % 3 == 0]
+    common = s.common(start[order[:-1]], start[order[1:]])
+    assert common.tolist() == [shared_prefix(sym, ends, start[i], start[j]) for i, j in zip(order[:-1], order[1:], strict=True)]
+    least = {}
+    for t, d in zip(text, doc, strict=True):
+        least[t[:size]] = min(least.get(t[:size], 99), d)
+    held = [least[t[:size]] < d for t, d in zip(text, doc, strict=True)]
+    assert 0 < sum(held) < len(held)
+    assert repeats.solve_by_lpf(s, doc, size)[0].tolist() == held
+    assert repeats.solve_by_lpf(repeats.Suffixes(sym, ends, start), doc, size)[0].tolist() == held
+    # a long fall and a low end need many jumps
+    for far in (np.arange(500)[::-1], np.append(np.arange(500), 0), rng.integers(0, 5, 500)):
+        near = rng.integers(0, 60, len(far) - 1)
+        want = [max([int(near[min(i, j) : max(i, j)].min()) for j in range(len(far)) if far[j] < far[i]], default=0) for i in range(len(far))]
+        assert repeats.previous_factors(near, far).tolist() == want
+
+
+def test_bytes_are_sorted_at_windows_only():
+    """Half the time of the suffixes of all symbols, at most; it takes some seventh."""
+    rng, size = np.random.default_rng(2), 50
+    base = rng.integers(97, 123, 40_000).astype(np.uint8)
+    texts = [base]
+    for _ in range(7):
+        texts.append(base.copy())
+        texts[-1][rng.integers(0, len(base), 800)] = 65
+    sym, at, m, anchor, place, doc = anchored(rng, size, texts)
+    took = []
+    for plain in (True, False):
+        best = math.inf
+        for _ in range(3):
+            begun = time.process_time()
+            if plain:
+                span = m + size - 1
+                s = repeats.Suffixes(sym, np.repeat(at + span, span), np.concatenate([np.arange(x, x + n) for x, n in zip(at, m, strict=True)]))
+                want = repeats.solve_by_lpf(s, np.repeat(doc, m), size)[0]
+            else:
+                got = repeats._masks(sym, at, m, anchor, place, doc, size, repeats.solve_by_lpf)
+            best = min(best, time.process_time() - begun)
+        took.append(best)
+    bits = [sum(1 << int(k) for k in np.flatnonzero(x)) for x in np.split(want, np.cumsum(m)[:-1])]
+    assert got[0].tolist() == bits and any(bits)
+    assert took[1] < took[0] / 2
+
+
 @pytest.mark.parametrize("name", ["solve_by_trees", "solve_by_lpf"])
 def test_suffix_structures_alone_decide(docs, monkeypatch, name):
     monkeypatch.setattr(repeats, name, lambda suffixes, doc, size: (np.zeros(len(doc), bool),) * 2)
@@ -427,6 +502,15 @@ def test_unequal_runs_are_told_apart():
         repeats._equal_runs(sym, at, n, np.array([1]), np.array([0]))
 
 
+def test_unequal_runs_of_bytes_are_told_apart():
+    sym = np.frombuffer(b"a run of nineteen..a run of nineteen.!a run of nineteen..", np.uint8)
+    at, n = np.array([0, 19, 38]), np.array([19, 19, 19])
+    repeats._equal_runs(sym, at, n, np.array([2]), np.array([0]))
+    for a, n in ((1, n), (2, np.array([19, 19, 18]))):
+        with pytest.raises(ValueError, match="hash"):
+            repeats._equal_runs(sym, at, n, np.array([a]), np.array([0]))
+
+
 def test_near_vectors(spark, monkeypatch):
     monkeypatch.setattr(vectors, "CHUNK", 40)
     rng = np.random.default_rng(7)
