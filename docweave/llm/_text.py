@@ -125,26 +125,26 @@ def multipliers(k: int) -> np.ndarray:
     return _MULTIPLIERS[:k] if k <= len(_MULTIPLIERS) else np.random.Generator(np.random.PCG64(20240229)).integers(0, 1 << 64, k, dtype=np.uint64) | U64(1)
 
 
-def grams(h: np.ndarray, k: int) -> np.ndarray:
-    """Hash of the k values from each position on; len(h) - k + 1 of them."""
-    n = len(h) - k + 1
+def grams(h: np.ndarray, k: int, at: np.ndarray | None = None) -> np.ndarray:
+    """Hash of the k values from each position on, or from those given; len(h) - k + 1 of them."""
+    n = len(h) - k + 1 if at is None else len(at)
     if n <= 0:
         return np.zeros(0, U64)
     g = np.full(n, U64(k))
     for j, m in enumerate(multipliers(k)):
-        g += h[j : j + n] * m
+        g += (h[j : j + n] if at is None else h[at + j]) * m
     return mix(g)
 
 
-def byte_grams(data: np.ndarray, q: int) -> np.ndarray:
-    """Hash of the q bytes from each position on; len(data) - q + 1 of them."""
-    n = len(data) - q + 1
+def byte_grams(data: np.ndarray, q: int, at: np.ndarray | None = None) -> np.ndarray:
+    """Hash of the q bytes from each position on, or from those given; len(data) - q + 1 of them."""
+    n = len(data) - q + 1 if at is None else len(at)
     if n <= 0:
         return np.zeros(0, U64)
     x, g = eights(data), np.full(n, U64(q))
     for j, m in zip(range(0, q, 8), multipliers(-(-q // 8)), strict=True):
-        v = x[j : j + n] * m if q - j >= 8 else (x[j : j + n] & _LOW_BYTES[q - j]) * m
-        g += v
+        v = x[j : j + n] if at is None else x[at + j]
+        g += v * m if q - j >= 8 else (v & _LOW_BYTES[q - j]) * m
     return mix(g)
 
 

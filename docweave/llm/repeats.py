@@ -31,6 +31,7 @@ from docweave.llm.katz import part_of
 SLICE = 1_000_000  # symbols that suffix structures are built over at once
 GROUP = 250_000  # suffixes of one subtree
 CHUNK = 130_000  # bytes that are scanned at once, so that their hashes stay in the cache
+LEVEL = 6  # compression of runs
 PENDING = 1_000_000  # anchors of a bucket before equal ones are merged
 JUMPS = 24  # steps to a smaller document before tables of ranges are made
 LAST = np.iinfo(np.int64).max  # stands for a null key: larger than all others
@@ -44,13 +45,25 @@ def symbols(data: np.ndarray, offs: np.ndarray, by_words: bool):
     return data, offs, None, None
 
 
+def gram_hash(sym: np.ndarray, q: int, at: np.ndarray | None = None) -> np.ndarray:
+    return (X.byte_grams if sym.dtype == np.uint8 else X.grams)(sym, q, at)
+
+
+def anchor_name(a: np.ndarray) -> np.ndarray:
+    """Forty bits of anchors, which are small hashes and so are mixed again; ascending names go to ascending parts.
+
+    Texts ask by name.  Two anchors of one name only send runs that turn out alone.
+    """
+    return X.mix(a) >> np.uint64(24)
+
+
 def anchors(sym: np.ndarray, first: np.ndarray, size: int, q: int):
     """Runs of windows with one anchor: (text, first window, windows, anchor place, anchor hash)."""
     n = len(sym)
     if n < size:
         z = np.zeros(0, np.int64)
         return z, z, z, z, np.zeros(0, np.uint64)
-    g = X.byte_grams(sym, q) if sym.dtype == np.uint8 else X.grams(sym, q)
+    g = gram_hash(sym, q)
     width = size - q + 1
     # the upper half of a hash and its place below: the least of span places is the leftmost, doubled up to the width
     low = np.uint64((1 << 32) - 1)
@@ -369,7 +382,7 @@ def mark_repeats(docs: DataFrame, by_words: bool, size: int, q: int, solve: Call
             sym, first, s, e = symbols(d, o, by_words)
             yield keys[i:j], d, o, sym, first, s, e, anchors(sym, first, size, q)
 
-    def ask(batches):  # anchors of a bucket, with a document that has each and whether others have it, too
+    def ask(batches):  # names of the anchors of a bucket, with whether different documents in it have them
         held: dict[int, list] = {}
         for b in batches:
             bk = b.column(2).to_numpy()
@@ -377,23 +390,19 @@ def mark_repeats(docs: DataFrame, by_words: bool, size: int, q: int, solve: Call
                 pick = pa.array(np.flatnonzero(bk == k))
                 for keys, _, _, _, _, _, _, (t, _, _, _, a) in scan(b.column(0).take(pick), b.column(1).take(pick)):
                     own = held.setdefault(k, [])
-                    own.append((a, keys[t], np.zeros(len(a), bool)))
+                    own.append((anchor_name(a), keys[t], np.zeros(len(a), bool)))
                     if sum(len(x[0]) for x in own[1:]) > PENDING:
                         own[:] = [_owners(*(np.concatenate([x[i] for x in own]) for i in range(3)))]
             X.release()
         for k, got in held.items():
-            a, w, many = _owners(*(np.concatenate([x[i] for x in got]) for i in range(3)))
-            p = part_of(X.mix(a), parts)  # anchors are small hashes, so they are mixed again
-            order = np.argsort(p, kind="stable")
-            p, a, w, many = p[order], a[order], w[order], many[order]
-            cut = np.searchsorted(p, np.arange(parts + 1))
+            a, _, many = _owners(*(np.concatenate([x[i] for x in got]) for i in range(3)))
+            cut = np.searchsorted(part_of(a << np.uint64(24), parts), np.arange(parts + 1))
             for i in range(parts):
                 s = slice(cut[i], cut[i + 1])
                 if cut[i] < cut[i + 1]:
-                    own, at = np.unique(w[s], return_inverse=True)
-                    yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([k], pa.int32()), pa.array([X.pack(a=X.pack_sorted(a[s]), w=own, i=at.astype(np.uint32), m=many[s])], pa.binary())], names=["part", "bk", "blob"])
+                    yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([k], pa.int32()), pa.array([X.pack(a=X.pack_sorted(a[s]), m=many[s])], pa.binary())], names=["part", "bk", "blob"])
 
-    def share(batches):  # anchors that different documents have, back to the buckets
+    def share(batches):  # anchors that different documents, or buckets, have, back to the buckets
         by: dict[int, list] = {}
         for b in batches:
             for p, k, blob in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True):
@@ -402,10 +411,10 @@ def mark_repeats(docs: DataFrame, by_words: bool, size: int, q: int, solve: Call
             got = []
             for k, blob in rows:
                 x = X.unpack(blob.as_buffer())
-                got.append((k, X.unpack_sorted(x["a"]), x["w"][x["i"]], x["m"]))
-            a, _, many = _owners(*(np.concatenate([x[i] for x in got]) for i in (1, 2, 3)))
+                got.append((k, X.unpack_sorted(x["a"]), x["m"]))
+            a, _, many = _owners(np.concatenate([x[1] for x in got]), np.repeat(np.arange(len(got)), [len(x[1]) for x in got]), np.concatenate([x[2] for x in got]))
             a = a[many]
-            for k, own, _, _ in got:
+            for k, own, _ in got:
                 own = own[_member(a, own)]
                 if len(own):
                     yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([X.pack(a=X.pack_sorted(own))], pa.binary())], names=["bk", "blob"])
@@ -420,7 +429,7 @@ def mark_repeats(docs: DataFrame, by_words: bool, size: int, q: int, solve: Call
         out: list[list] = [[], [], []]
         texts, base = [], 0
         for keys, _, _, sym, _, _, _, (t, s, m, p, a) in scan(rows.column("_key"), rows.column("_text")):
-            use = _member(known, a)
+            use = _member(known, anchor_name(a))
             t, s, m, p, a = t[use], s[use], m[use], p[use], a[use]
             e = s + m + size - 1
             texts.append((run_hash(sym, s, e, a, p), a, keys[t], s + base, e + base, m, p - s, sym))
@@ -447,7 +456,7 @@ def mark_repeats(docs: DataFrame, by_words: bool, size: int, q: int, solve: Call
                 words = {"u": X.pack_sorted(u), "at": at.astype(np.uint32)}
             out[0].append(i)
             out[1].append(rows.column("bk")[0].as_py())
-            out[2].append(X.pack(h=h[own], a=X.pack_sorted(a[own]), k=kk[own], m=m[own].astype(np.uint8), o=place[own].astype(np.uint8), **words))
+            out[2].append(X.pack(LEVEL, k=kk[own], m=m[own].astype(np.uint8), o=place[own].astype(np.uint8), **words))
         del texts, sym
         X.release()
         return pa.table({"part": pa.array(out[0], pa.int32()), "bk": pa.array(out[1], pa.int32()), "blob": pa.array(out[2], pa.binary())})
@@ -461,15 +470,20 @@ def mark_repeats(docs: DataFrame, by_words: bool, size: int, q: int, solve: Call
                 by.setdefault(p, []).append((k, blob))
         for rows in by.values():
             got = [X.unpack(blob.as_buffer()) for _, blob in rows]
-            h = np.concatenate([x["h"] for x in got])
-            a = np.concatenate([X.unpack_sorted(x["a"]) for x in got])
             k = np.concatenate([x["k"] for x in got])
             m, o = (np.concatenate([x[c] for x in got]).astype(np.int64) for c in "mo")
             body = [X.unpack_sorted(x["u"])[x["at"]] if by_words else x["sym"] for x in got]
             sym = np.concatenate(body)
             length = m + size - 1
             at = np.cumsum(length) - length
-            bk = np.repeat(np.arange(len(rows)), [len(x["h"]) for x in got])
+            bk = np.repeat(np.arange(len(rows)), [len(x["k"]) for x in got])
+            h, a = np.empty((2, len(k)), np.uint64)
+            for i in range(0, len(k), 20_000):  # anchors and hashes travel as the symbols that they are made of
+                x, n, p = at[i : i + 20_000], length[i : i + 20_000], o[i : i + 20_000]
+                own = sym[x[0] : x[-1] + n[-1]]
+                x = x - x[0]
+                a[i : i + 20_000] = gram_hash(own, q, x + p)
+                h[i : i + 20_000] = run_hash(own, x, x + n, a[i : i + 20_000], x + p)
             uh, one, kind = np.unique(h, return_index=True, return_inverse=True)
             copies = np.flatnonzero(one[kind] != np.arange(len(h)))
             _equal_runs(sym, at, length, copies, one[kind[copies]])

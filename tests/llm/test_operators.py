@@ -502,6 +502,18 @@ def test_unequal_runs_are_told_apart():
         repeats._equal_runs(sym, at, n, np.array([1]), np.array([0]))
 
 
+def test_anchors_are_named_and_made_again():
+    rng = np.random.default_rng(3)
+    for sym in (rng.integers(0, 256, 400).astype(np.uint8), rng.integers(0, 1 << 63, 400).astype(np.uint64)):
+        _, s, m, p, a = repeats.anchors(sym, np.array([0, 150, 150, 400]), 50, 16)
+        assert repeats.gram_hash(sym, 16, p).tolist() == a.tolist()
+        name = np.sort(repeats.anchor_name(a))
+        assert name.max() < 1 << 40
+        part = repeats.part_of(name << np.uint64(24), 7)
+        assert (np.diff(part) >= 0).all()
+        assert Counter(part.tolist()) == Counter(repeats.part_of(repeats.X.mix(a), 7).tolist())
+
+
 def test_unequal_runs_of_bytes_are_told_apart():
     sym = np.frombuffer(b"a run of nineteen..a run of nineteen.!a run of nineteen..", np.uint8)
     at, n = np.array([0, 19, 38]), np.array([19, 19, 19])
